@@ -37,11 +37,12 @@ def sanitize_decisions(decisions: DataFrame, salt: str) -> DataFrame:
     return apply_export_policy(decisions, DECISION_EXPORT_POLICY, salt)
 
 
-def decision_feed(decisions: DataFrame) -> DataFrame:
+FEED_COLUMNS = ("event_id", "event_type", "created_at", "ai_risk_probability", "ai_prediction", "final_decision")
+
+
+def decision_feed(decisions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """SNK-8: the six dashboard columns, without user ids."""
-    return decisions.select(
-        "event_id", "event_type", "created_at", "ai_risk_probability", "ai_prediction", "final_decision"
-    )
+    return decisions.select(*keep, *FEED_COLUMNS)
 
 
 def as_json_lines(df: DataFrame, out: str = "json") -> DataFrame:

@@ -63,3 +63,25 @@ def with_global_index(
         .withColumn(index_col, (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_pid", "_local", "_offset")
     )
+
+
+def with_rank_within(
+    df: DataFrame,
+    group_col: str,
+    order_by: list[Column],
+    rank_col: str = "rank",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Zero-based position inside each ``group_col`` value.
+
+    Same result as ``row_number() OVER (PARTITION BY g ORDER BY ...) - 1``,
+    but a group holding a large share of the rows is ranked by many tasks:
+    the global index over ``(g, order_by)`` minus the group's first index
+    (one row per group, partial-aggregated and broadcast)."""
+    indexed = with_global_index(df, [F.col(group_col), *order_by], "_gidx", num_partitions)
+    starts = indexed.groupBy(group_col).agg(F.min("_gidx").alias("_gstart"))
+    return (
+        indexed.join(F.broadcast(starts), group_col)
+        .withColumn(rank_col, F.col("_gidx") - F.col("_gstart"))
+        .drop("_gidx", "_gstart")
+    )
