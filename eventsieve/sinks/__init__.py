@@ -1 +1,5 @@
-"""Package module."""
+"""Writers for stage tables, reports and the BI export."""
+
+from eventsieve.sinks.writers import render_timestamps, save_bucketed, verify_outputs, write_table
+
+__all__ = ["render_timestamps", "save_bucketed", "verify_outputs", "write_table"]
