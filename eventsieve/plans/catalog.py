@@ -316,5 +316,86 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pseudonymized_export": q_pseudonymized_export,
 }
 
+def _fitted(spark, sf):
+    """Split features and the three fitted candidates (ML-1..4, ML-6)."""
+    from eventsieve.operators import models
+    from eventsieve.plans.modeling import fit_candidates
+
+    from eventsieve.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    # The fits iterate over the training rows: checkpoint the split once so
+    # each pass reads stored rows, not the history windows again.
+    split = _split(spark, sf).checkpoint(eager=True)
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test")
+    mean, std = scoring.train_statistics(train)
+    return split, test, mean, std, fit_candidates(train, mean, std, R), models
+
+
+def _evaluated(spark, sf, name):
+    from eventsieve.plans.modeling import _prepare_for
+
+    _, test, mean, std, cands, models = _fitted(spark, sf)
+    cand = cands[name]
+    return models.evaluate(cand, _prepare_for(cand, test, mean, std), R.threshold)
+
+
+def q_logistic_model(spark, sf):
+    """ML-4 + ML-9: evaluation row of the fitted logistic regression."""
+    return _evaluated(spark, sf, MODEL_LOGISTIC)
+
+
+def q_random_forest_model(spark, sf):
+    """ML-6 + ML-9: evaluation row of the fitted random forest."""
+    from eventsieve.config import MODEL_FOREST
+
+    return _evaluated(spark, sf, MODEL_FOREST)
+
+
+def q_model_comparison(spark, sf):
+    """ML-10/11/12: three candidates on the same split, with ``selected``."""
+    from eventsieve.operators.models import select_model
+    from eventsieve.plans.modeling import _prepare_for
+
+    _, test, mean, std, cands, models = _fitted(spark, sf)
+    rows = [models.evaluate(c, _prepare_for(c, test, mean, std), R.threshold) for c in cands.values()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return select_model(out)
+
+
+def q_feature_weights(spark, sf):
+    """ML-14 / SRT-3: weights of the fitted logistic model by |weight|."""
+    _, _, _, _, cands, models = _fitted(spark, sf)
+    return models.weights_table(spark, models.feature_weights(cands[MODEL_LOGISTIC]))
+
+
+def q_all_event_decisions(spark, sf):
+    """ML-16 + VAL-4: every event scored by the fitted forest, rules first."""
+    from eventsieve.config import MODEL_FOREST
+    from eventsieve.plans.modeling import _prepare_for
+
+    from eventsieve.operators import models
+    from eventsieve.plans.modeling import _prepare
+    from eventsieve.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    model = model_events(spark, sf).withColumn("_raw_type", F.col("event_type"))
+    split = scoring.stratified_split(features.engineer_features(model)).checkpoint(eager=True)
+    train = split.filter(F.col("split") == "train")
+    mean, std = scoring.train_statistics(train)
+    forest = models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), R)
+    scored = models.predict(forest, _prepare_for(forest, split, mean, std))
+    return decisions.decide(scored.withColumn("event_type", F.col("_raw_type")), F.col("probability_risky"), R, keep=("seq",))
+
+
 # Fitted models: no SQL equivalent (iterative optimisers), rows-only check.
-ROWS_ONLY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ROWS_ONLY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "logistic_model": q_logistic_model,
+    "random_forest_model": q_random_forest_model,
+    "model_comparison": q_model_comparison,
+    "feature_weights": q_feature_weights,
+    "all_event_decisions": q_all_event_decisions,
+}

@@ -43,5 +43,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     local = tempfile.mkdtemp(prefix="eventsieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return local
