@@ -32,7 +32,6 @@ from eventsieve.functions.numeric import parse_flag, parse_number
 from eventsieve.functions.text import is_blank, strip_ws
 from eventsieve.functions.timestamps import parse_timestamp
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 _MICROS = 1_000_000
 
 
@@ -52,7 +51,7 @@ def history_signals(
         raise ValueError("history_bucket_seconds must be at least velocity_window_seconds")
 
     base = (
-        events.withColumn("_us", F.timestamp_diff("MICROSECOND", _EPOCH, F.col(ts_col)))
+        events.withColumn("_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts_col)))
         .withColumn("_bucket", F.floor(F.col("_us") / F.lit(bucket_s * _MICROS)))
         .withColumn("_flag", F.coalesce(report_flag.cast("int"), F.lit(0)))
     )
