@@ -31,6 +31,11 @@ def signal_medians(df: DataFrame, columns=NUMERIC_SIGNALS, default: float = 0.0)
 
     present = [c for c in columns if c in df.columns]
     medians = {c: default for c in columns}
+    if present:
+        # One partial-aggregated pass: medians are only needed for columns
+        # with an unparsable value (the quantile sort is skipped otherwise).
+        missing = df.agg(*[F.count_if(parse_number(c).isNull()).alias(c) for c in present]).first()
+        present = [c for c in present if missing[c] > 0]
     if present:
         long = df.select(
             F.explode(F.array(*[F.struct(F.lit(c).alias("name"), parse_number(c).alias("value")) for c in present])).alias("kv")

@@ -168,33 +168,42 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlation_matrix(features: DataFrame, columns=FEATURE_COLUMNS + (LABEL_COLUMN,)) -> DataFrame:
-    """AGG-8: Pearson matrix in one pass of upper-triangle moments.
-
-    Each pair's value is ``covar_pop / (stddev_pop * stddev_pop)`` over the
-    rows where both values are present, null when either column is
-    constant (pandas leaves those cells blank; plain ``corr`` would divide by
-    zero under ANSI).  Output is long: ``(row_feature, column_feature, correlation)``.
+    """AGG-8: Pearson matrix with the two-pass (centred) algorithm.
+
+    Pass 1 is one aggregate of per-column mean, min and max (48 numbers,
+    read on the driver).  Pass 2 is one aggregate of plain sums of centred
+    products ``sum((x_i - m_i)(x_j - m_j))`` for the 136 pairs and the 16
+    squares: simple sums keep the aggregate inside whole-stage codegen and
+    merge map-side, and centring first keeps the result accurate.  A
+    constant column (``min = max``) gives null cells, as pandas leaves them
+    blank (plain ``corr`` would divide by zero under ANSI).  Rows with a null
+    in any column are left out; engineered features are never null, so this
+    equals pandas' pairwise rule.  Output ``(row_feature, column_feature,
+    correlation)``.
     """
     cols = list(columns)
-    exprs = []
-    pairs = list(combinations(range(len(cols)), 2))
-    for i, j in pairs:
-        a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-        exprs.append(F.covar_pop(a, b).alias(f"cov_{i}_{j}"))
-        exprs.append(F.stddev_pop(F.when(b.isNotNull(), a)).alias(f"sa_{i}_{j}"))
-        exprs.append(F.stddev_pop(F.when(a.isNotNull(), b)).alias(f"sb_{i}_{j}"))
-    for i, c in enumerate(cols):
-        exprs.append(F.stddev_pop(F.col(c).cast("double")).alias(f"s_{i}"))
-    moments = features.agg(*exprs)
+    complete = features.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
+    first = complete.agg(
+        *[F.avg(f"c{i}").alias(f"m{i}") for i in range(len(cols))],
+        *[(F.max(f"c{i}") > F.min(f"c{i}")).alias(f"v{i}") for i in range(len(cols))],
+    ).first()
+    varying = [i for i in range(len(cols)) if first[f"v{i}"]]
+    centred = complete.select(*[(F.col(f"c{i}") - F.lit(float(first[f"m{i}"]))).alias(f"d{i}") for i in varying])
+    pairs = list(combinations(varying, 2))
+    sums = centred.agg(
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p_{i}_{j}") for i, j in pairs],
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{i}")).alias(f"q_{i}") for i in varying],
+    )
     cells = []
-    for i, j in pairs:
-        value = F.when(
-            (F.col(f"sa_{i}_{j}") > 0) & (F.col(f"sb_{i}_{j}") > 0),
-            F.col(f"cov_{i}_{j}") / (F.col(f"sa_{i}_{j}") * F.col(f"sb_{i}_{j}")),
-        )
-        cells.append(F.struct(F.lit(cols[i]).alias("row_feature"), F.lit(cols[j]).alias("column_feature"), value.alias("correlation")))
-        cells.append(F.struct(F.lit(cols[j]).alias("row_feature"), F.lit(cols[i]).alias("column_feature"), value.alias("correlation")))
+    for i, j in combinations(range(len(cols)), 2):
+        if i in varying and j in varying:
+            value = F.col(f"p_{i}_{j}") / F.sqrt(F.col(f"q_{i}") * F.col(f"q_{j}"))
+        else:
+            value = F.lit(None).cast("double")
+        for a, b in ((i, j), (j, i)):
+            cells.append(F.struct(F.lit(cols[a]).alias("row_feature"), F.lit(cols[b]).alias("column_feature"),
+                                  value.alias("correlation")))
     for i, c in enumerate(cols):
-        diag = F.when(F.col(f"s_{i}") > 0, F.lit(1.0))
+        diag = F.lit(1.0) if i in varying else F.lit(None).cast("double")
         cells.append(F.struct(F.lit(c).alias("row_feature"), F.lit(c).alias("column_feature"), diag.alias("correlation")))
-    return moments.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")

@@ -27,6 +27,7 @@ from eventsieve.functions.timestamps import format_millis
 from eventsieve.operators import cleaning, decisions, evaluation, export, features, notifications, rules, scoring, stats
 from eventsieve.operators.indexing import with_global_index
 from eventsieve.plans.oracle_sql import EXPORT_SALT, FILTER_DECISION, FILTER_TYPE, REVIEW_TOP_N
+from eventsieve.session import materialize
 from eventsieve.sources.driver_tables import model_events, raw_events
 
 R = DEFAULT_RULES
@@ -49,7 +50,9 @@ def _out(df: DataFrame, extra=()) -> DataFrame:
 
 
 def _features(spark, sf) -> DataFrame:
-    return features.engineer_features(model_events(spark, sf))
+    # Medians, split sampling and scoring each run a job over the model
+    # table: store it once instead of recomputing the history windows.
+    return features.engineer_features(materialize(model_events(spark, sf)))
 
 
 def _split(spark, sf) -> DataFrame:
@@ -69,7 +72,7 @@ def _test(spark, sf) -> DataFrame:
 def _decisions(spark, sf) -> DataFrame:
     """Decisions over all model events, scored with the stored linear model
     on batch-imputed features (VAL-6), in one plan (no self-join)."""
-    model = model_events(spark, sf).withColumn("_raw_type", F.col("event_type"))
+    model = materialize(model_events(spark, sf)).withColumn("_raw_type", F.col("event_type"))
     feats = features.engineer_features(model).withColumn("event_type", F.col("_raw_type"))
     return decisions.decide(feats, scoring.REFERENCE_MODEL.probability(), R, keep=("seq",))
 

@@ -17,6 +17,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -44,3 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="eventsieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut lineage before several jobs read the same frame.
+
+    Reliable ``checkpoint`` into the shared checkpoint folder: later jobs
+    (and recomputation after a lost executor) read the stored rows instead
+    of re-running windows and shuffles.  Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
