@@ -53,8 +53,24 @@ def add_seconds(c: str | Column, seconds: str | Column) -> Column:
     return col_of(c) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col_of(seconds).cast("decimal(18,6)"))
 
 
+def epoch_micros(c: str | Column) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 of an NTZ value, from date and
+    clock fields only (``timestamp_diff``/``unix_micros`` would first convert
+    the NTZ value to a session-zone TIMESTAMP and shift across DST)."""
+    ts = col_of(c)
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    micros_of_day = (
+        F.hour(ts).cast("long") * 3_600_000_000
+        + F.minute(ts).cast("long") * 60_000_000
+        + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    )
+    return days * 86_400_000_000 + micros_of_day
+
+
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    return F.timestamp_diff("SECOND", col_of(start), col_of(end))
+    """Whole seconds from ``start`` to ``end`` (truncated toward zero)."""
+    diff = epoch_micros(end) - epoch_micros(start)
+    return (diff / 1_000_000).cast("long")
 
 
 def hour_or_missing(c: str | Column) -> Column:
@@ -67,5 +83,5 @@ def weekday_or_missing(c: str | Column) -> Column:
 
 
 def epoch_seconds(c: str | Column) -> Column:
-    """Seconds since 1970-01-01 of an NTZ value (zone-free)."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_of(c))
+    """Whole seconds since 1970-01-01 of an NTZ value (zone-free)."""
+    return F.floor(epoch_micros(c) / 1_000_000)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from eventsieve.config import DEFAULT_RULES, RuleConfig
 from eventsieve.functions.numeric import parse_flag, parse_number
 from eventsieve.functions.text import is_blank, strip_ws
-from eventsieve.functions.timestamps import parse_timestamp
+from eventsieve.functions.timestamps import epoch_micros, parse_timestamp
 
 _MICROS = 1_000_000
 
@@ -51,14 +51,14 @@ def history_signals(
         raise ValueError("history_bucket_seconds must be at least velocity_window_seconds")
 
     base = (
-        events.withColumn("_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts_col)))
+        events.withColumn("_us", epoch_micros(ts_col))
         .withColumn("_bucket", F.floor(F.col("_us") / F.lit(bucket_s * _MICROS)))
         .withColumn("_flag", F.coalesce(report_flag.cast("int"), F.lit(0)))
     )
 
     # 1. per (user, bucket) totals, then per-user prefixes on the small table.
     totals = base.groupBy(user_col, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_flag").alias("_f"), F.min(ts_col).alias("_first")
+        F.count(F.lit(1)).alias("_n"), F.sum("_flag").alias("_f"), F.min("_us").alias("_first")
     )
     by_user = Window.partitionBy(user_col).orderBy("_bucket")
     before = by_user.rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +96,7 @@ def history_signals(
     return joined.select(
         *events.columns,
         F.col("interaction_velocity_5m").cast("bigint").alias("interaction_velocity_5m"),
-        F.timestamp_diff("DAY", F.col("_user_first"), F.col(ts_col)).cast("bigint").alias("account_age_days"),
+        F.floor((F.col("_us") - F.col("_user_first")) / F.lit(86_400 * _MICROS)).cast("bigint").alias("account_age_days"),
         F.coalesce(F.try_divide(earlier_f.cast("double"), F.nullif(earlier_n, F.lit(0)).cast("double")), F.lit(0.0)).alias(
             "historical_report_rate"
         ),

@@ -31,7 +31,11 @@ def exact_quantiles(long: DataFrame, probabilities=(0.25, 0.5, 0.75)) -> DataFra
     """``long(name, value)`` -> ``(name, p, value)``, linear interpolation
     between order statistics; nulls ignored; a column with no value gets null."""
     values = long.filter(F.col("value").isNotNull())
-    indexed = with_global_index(values, [F.col("name"), F.col("value")], "_idx")
+    # A row id breaks ties so the range partitioner can split a value held
+    # by a large share of the rows (e.g. length 0) over many partitions.
+    if "rid" not in values.columns:
+        values = values.withColumn("rid", F.monotonically_increasing_id())
+    indexed = with_global_index(values, [F.col("name"), F.col("value"), F.col("rid")], "_idx")
     bounds = indexed.groupBy("name").agg(
         F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n")
     )
@@ -70,12 +74,14 @@ def modes(long: DataFrame) -> DataFrame:
 
 
 def to_long(df: DataFrame, columns) -> DataFrame:
-    """Unpivot ``columns`` into ``(name, value double)``."""
+    """Unpivot ``columns`` into ``(name, value double, rid)``; ``rid`` is a
+    per-source-row id (a tiebreak for sorting)."""
     return df.select(
+        F.monotonically_increasing_id().alias("rid"),
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-        ).alias("kv")
-    ).select("kv.name", "kv.value")
+        ).alias("kv"),
+    ).select("kv.name", "kv.value", "rid")
 
 
 def quality_counts(features: DataFrame) -> DataFrame:

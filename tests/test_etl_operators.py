@@ -143,3 +143,18 @@ def test_valid_and_rejected_partition_processed(spark):
     assert processed.groupBy("event_id").count().filter(F.col("count") > 1).count() == 0
     lat = {r[0] for r in generate_notifications(valid).select("latency_seconds").distinct().collect()}
     assert lat <= {2, 3, 4, 5}
+
+
+def test_timestamp_math_ignores_session_zone(spark):
+    from eventsieve.functions.timestamps import add_seconds, epoch_micros, seconds_between
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 1, 59, 59),)], "t timestamp_ntz")
+        later = add_seconds("t", F.lit(3))
+        row = df.select(seconds_between("t", later).alias("d"), format_millis(later).alias("s"),
+                        epoch_micros("t").alias("us")).first()
+        assert (row.d, row.s) == (3, "2024-03-10 02:00:02.000")
+        assert row.us == int((datetime(2024, 3, 10, 1, 59, 59) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
