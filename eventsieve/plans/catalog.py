@@ -329,7 +329,7 @@ def _fitted(spark, sf):
     ensure_checkpoint_dir(spark)
     # The fits iterate over the training rows: checkpoint the split once so
     # each pass reads stored rows, not the history windows again.
-    split = _split(spark, sf).checkpoint(eager=True)
+    split = materialize(_split(spark, sf))
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     mean, std = scoring.train_statistics(train)
@@ -386,7 +386,7 @@ def q_all_event_decisions(spark, sf):
 
     ensure_checkpoint_dir(spark)
     model = model_events(spark, sf).withColumn("_raw_type", F.col("event_type"))
-    split = scoring.stratified_split(features.engineer_features(model)).checkpoint(eager=True)
+    split = materialize(scoring.stratified_split(features.engineer_features(model)))
     train = split.filter(F.col("split") == "train")
     mean, std = scoring.train_statistics(train)
     forest = models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), R)

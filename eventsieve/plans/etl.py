@@ -19,7 +19,7 @@ from eventsieve.config import DEFAULT_RULES, LATENCY_MEASUREMENT_TYPE, RuleConfi
 from eventsieve.operators.cleaning import clean_transform
 from eventsieve.operators.notifications import calculate_kpis, generate_notifications, recent_views
 from eventsieve.operators.rules import require_min_rows, split_valid_rejected, with_error_reason
-from eventsieve.session import ensure_checkpoint_dir
+from eventsieve.session import ensure_checkpoint_dir, materialize
 from eventsieve.sinks.writers import render_timestamps, save_bucketed, write_table
 
 
@@ -46,7 +46,7 @@ def run_etl(
     ensure_checkpoint_dir(spark)
     require_min_rows(raw, rules.minimum_input_rows)
 
-    checked = with_error_reason(clean_transform(raw, rules), rules).checkpoint(eager=True)
+    checked = materialize(with_error_reason(clean_transform(raw, rules), rules))
     valid, rejected = split_valid_rejected(checked)
     notes = generate_notifications(valid, rules)
 
@@ -61,7 +61,7 @@ def run_etl(
     write_table(render_timestamps(checked.drop("error_reason")), outputs["events_processed"], fmt)
     write_table(render_timestamps(valid), outputs["events_validated"], fmt)
     write_table(render_timestamps(rejected), outputs["validation_errors"], fmt)
-    notes = notes.checkpoint(eager=True)
+    notes = materialize(notes)
     write_table(notes, outputs["notifications"], fmt)
     # SRT-1 / partition pruning: one directory per type instead of one file per view.
     write_table(recent_views(valid, rules)["all"], outputs["events_recent"], fmt, partition_by=("event_type",))

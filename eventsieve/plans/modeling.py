@@ -26,7 +26,7 @@ from eventsieve.config import (
 from eventsieve.operators import decisions as decisions_op
 from eventsieve.operators import evaluation, features, models, scoring, stats
 from eventsieve.operators.rules import require_columns, require_min_rows
-from eventsieve.session import ensure_checkpoint_dir
+from eventsieve.session import ensure_checkpoint_dir, materialize
 from eventsieve.sinks.writers import write_table
 
 Z_COLUMNS = tuple(f"{c}_z" for c in FEATURE_COLUMNS)
@@ -82,7 +82,7 @@ def run_model_job(
 
     medians = features.signal_medians(events)
     feats = features.engineer_features(events.withColumn("_raw_type", F.col("event_type")), rules, medians)
-    split = scoring.stratified_split(feats, rules=rules).checkpoint(eager=True)
+    split = materialize(scoring.stratified_split(feats, rules=rules))
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     mean, std = scoring.train_statistics(train)

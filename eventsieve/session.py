@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,8 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df):
     """Cut lineage before several jobs read the same frame.
 
-    Reliable ``checkpoint`` into the shared checkpoint folder: later jobs
-    (and recomputation after a lost executor) read the stored rows instead
-    of re-running windows and shuffles.  Never ``localCheckpoint``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    The frame is written as a parquet table under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and read back: later jobs, and any
+    recomputation after a lost executor, start from the stored table with
+    columnar reads and column pruning instead of re-running windows and
+    shuffles.  Never ``localCheckpoint``."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
