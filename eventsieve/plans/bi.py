@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import SparkSession
 
+from eventsieve.functions.text import underscores_to_spaces
 from eventsieve.operators.export import sanitize_decisions
 from eventsieve.operators.stats import operational_part, statistics_part, value_counts
 from eventsieve.sinks.writers import write_table
@@ -42,7 +43,8 @@ def build_bi_dataset(spark: SparkSession, model_dir: str, output_dir: str, salt:
     put("estadisticas_calidad", statistics_part(quality))
     decisions = read_stage_table(spark, os.path.join(model_dir, "final_event_decisions"))
     put("decisiones_finales", sanitize_decisions(decisions, salt))
-    put("resumen_decisiones", value_counts(decisions, "final_decision"))
+    summary = value_counts(decisions, "final_decision")
+    put("resumen_decisiones", summary.withColumn("decision_label", underscores_to_spaces("final_decision")))
     if etl_kpi_path and os.path.exists(etl_kpi_path):
         put("rendimiento_local", spark.read.json(etl_kpi_path))
     return paths

@@ -375,6 +375,13 @@ def q_feature_weights(spark, sf):
     return models.weights_table(spark, models.feature_weights(cands[MODEL_LOGISTIC]))
 
 
+def q_top_features(spark, sf):
+    """SRT-4: the ten largest fitted logistic weights by |weight|."""
+    _, _, _, _, cands, models = _fitted(spark, sf)
+    weights = models.weights_table(spark, models.feature_weights(cands[MODEL_LOGISTIC]))
+    return decisions.top_rows(weights, [F.desc("abs_weight"), F.col("feature")], 10)
+
+
 def q_all_event_decisions(spark, sf):
     """ML-16 + VAL-4: every event scored by the fitted forest, rules first."""
     from eventsieve.config import MODEL_FOREST
@@ -400,5 +407,6 @@ ROWS_ONLY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_forest_model": q_random_forest_model,
     "model_comparison": q_model_comparison,
     "feature_weights": q_feature_weights,
+    "top_features": q_top_features,
     "all_event_decisions": q_all_event_decisions,
 }

@@ -27,8 +27,11 @@ from eventsieve.operators import decisions as decisions_op
 from eventsieve.operators import evaluation, features, models, scoring, stats
 from eventsieve.operators.rules import require_columns, require_min_rows
 from eventsieve.session import ensure_checkpoint_dir, materialize
+from eventsieve.operators.export import decision_feed
 from eventsieve.sinks.writers import write_table
 
+SELECTION_POLICY = "mayor F1; preferir regresion logistica si queda a 0.03 o menos del mejor F1"
+
 Z_COLUMNS = tuple(f"{c}_z" for c in FEATURE_COLUMNS)
 
 
@@ -175,7 +178,22 @@ def write_outputs(result: TrainResult, output_dir: str) -> dict[str, str]:
     for name, df in tables.items():
         paths[name] = os.path.join(output_dir, name)
         write_table(df, paths[name])
+    # SNK-8: the decision feed (no user ids) as JSON lines.
+    paths["decision_feed"] = os.path.join(output_dir, "decision_feed")
+    write_table(decision_feed(result.decisions), paths["decision_feed"], "json")
+    # SNK-5: the selected fitted model plus a one-row metadata table.
     chosen = result.candidates[result.selected_model]
     if chosen.model is not None:
         chosen.model.write().overwrite().save(os.path.join(output_dir, "model"))
+    lm = result.linear_model
+    spark = result.comparison.sparkSession
+    meta = spark.createDataFrame(
+        [(result.selected_model, SELECTION_POLICY, LABEL_COLUMN, list(FEATURE_COLUMNS),
+          [round(lm.intercept, 8), *[round(w, 8) for w in lm.weights]] if lm else [],
+          [round(m, 8) for m in lm.mean] if lm else [], [round(x, 8) for x in lm.std] if lm else [])],
+        "model string, selection_policy string, target string, feature_columns array<string>, "
+        "weights array<double>, mean array<double>, std array<double>",
+    ).withColumn("generated_at_utc", F.current_timestamp())
+    paths["model_metadata"] = os.path.join(output_dir, "model_metadata")
+    write_table(meta, paths["model_metadata"], "json")
     return paths

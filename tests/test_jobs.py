@@ -45,6 +45,11 @@ def test_model_and_bi_jobs(spark, out):
     exported = spark.read.parquet(paths["decisiones_finales"])
     assert "source_user_id" not in exported.columns and "content" not in exported.columns
     assert exported.filter(F.col("source_user_key").startswith("usr_") | (F.col("source_user_key") == "")).count() == 1000
+    assert spark.read.json(os.path.join(out, "model", "model_metadata")).first().model == res.selected_model
+    feed = spark.read.json(os.path.join(out, "model", "decision_feed"))
+    assert "source_user_id" not in feed.columns and feed.count() == 1000
+    labels = {r.decision_label for r in spark.read.parquet(paths["resumen_decisiones"]).collect()}
+    assert labels <= {"rechazado por reglas", "revision por ia", "aprobado para notificar"}
     stats = spark.read.parquet(paths["estadisticas_calidad"]).count()
     ops = spark.read.parquet(paths["calidad_datos"]).count()
     assert (stats, ops) == (20, 9)

@@ -42,7 +42,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_sql_query_has_an_oracle():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "logistic_model", "random_forest_model", "model_comparison", "feature_weights", "all_event_decisions"}
+        "logistic_model", "random_forest_model", "model_comparison", "feature_weights", "top_features",
+        "all_event_decisions"}
 
 
 def test_entry_smoke(spark):
