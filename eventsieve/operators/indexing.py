@@ -76,12 +76,14 @@ def with_rank_within(
 
     Same result as ``row_number() OVER (PARTITION BY g ORDER BY ...) - 1``,
     but a group holding a large share of the rows is ranked by many tasks:
-    the global index over ``(g, order_by)`` minus the group's first index
-    (one row per group, partial-aggregated and broadcast)."""
+    the global index over ``(g, order_by)`` minus the group's first index.
+    The starts table has one row per group; the number of groups is not
+    bounded in general, so no broadcast hint: AQE broadcasts it only after
+    measuring it, and a hot group is split by AQE's skew-join handling."""
     indexed = with_global_index(df, [F.col(group_col), *order_by], "_gidx", num_partitions)
     starts = indexed.groupBy(group_col).agg(F.min("_gidx").alias("_gstart"))
     return (
-        indexed.join(F.broadcast(starts), group_col)
+        indexed.join(starts, group_col)
         .withColumn(rank_col, F.col("_gidx") - F.col("_gstart"))
         .drop("_gidx", "_gstart")
     )

@@ -66,7 +66,8 @@ def stratified_split(
         F.min("_idx").alias("_start"),
         F.greatest(F.lit(1), F.bround(F.count(F.lit(1)) * F.lit(rules.test_fraction), 0).cast("bigint")).alias("_test_n"),
     )
-    # One row per class value: broadcast is bounded by the label domain.
+    # One row per class value: the label is a 0/1 class, so the broadcast
+    # holds at most a handful of rows.
     return (
         indexed.join(F.broadcast(classes), label)
         .withColumn("split", F.when(F.col("_idx") - F.col("_start") < F.col("_test_n"), "test").otherwise("train"))
