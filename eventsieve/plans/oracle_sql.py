@@ -335,8 +335,8 @@ def oracle_queries() -> dict[str, str]:
         "notifications": with_ctes("SELECT * FROM notes", "notes"),
         "kpi_report": with_ctes(
             """
-SELECT count(*) AS events_processed, count_if(error_reason = '') AS valid_events,
-       count_if(error_reason <> '') AS rejected_events,
+SELECT count(*) AS events_processed, CAST(count_if(error_reason = '') AS BIGINT) AS valid_events,
+       CAST(count_if(error_reason <> '') AS BIGINT) AS rejected_events,
        (SELECT count(*) FROM notes) AS notifications_generated,
        round(coalesce(100.0::DOUBLE * (SELECT count_if(delivery_status = 'sent') FROM notes)
                       / nullif((SELECT count(*) FROM notes), 0), 0.0), 2) AS delivery_success_rate_pct,
@@ -422,7 +422,8 @@ FROM checked""",
         ),
         "confusion_matrix": with_ctes(
             f"SELECT CASE WHEN label = 1 THEN 'real_riesgoso' ELSE 'real_valido' END AS real_class, "
-            f"count_if(probability < {R.threshold}) AS pred_valido, count_if(probability >= {R.threshold}) AS pred_riesgoso "
+            f"CAST(count_if(probability < {R.threshold}) AS BIGINT) AS pred_valido, "
+            f"CAST(count_if(probability >= {R.threshold}) AS BIGINT) AS pred_riesgoso "
             "FROM test GROUP BY 1",
             "test",
         ),

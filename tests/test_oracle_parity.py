@@ -27,6 +27,17 @@ def con():
     return c
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_result_types_match_oracle(spark, con, name):
+    rel = con.sql(entry.oracle_sql()[name])
+    want = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in entry.queries()[name](spark, SF_SMALL).schema.fields:
+        assert SPARK_TO_DUCKDB.get(f.dataType.simpleString()) == want[f.name], f.name
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
