@@ -73,9 +73,9 @@ def fit_logistic(train: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> FittedC
     The reference minimises mean log-loss + ``l2/(2n)·|w|²`` (intercept not
     penalised) by gradient descent; Spark's ``regParam = l2/n`` with
     ``elasticNetParam = 0`` is the same objective, solved to the optimum.
-    Standardisation uses the population std (AGG-11), so it is done by
-    ``StandardScaler`` only for the sample/population ratio: here the
-    features are scaled by an explicit expression instead."""
+    ``train`` carries features already standardised with the population std
+    (AGG-11), so ``standardization=False``; ``StandardScaler`` is not used
+    because it divides by the sample std."""
     from pyspark.ml.classification import LogisticRegression
 
     n = train.count()

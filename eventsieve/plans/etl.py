@@ -13,7 +13,6 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventsieve.config import DEFAULT_RULES, LATENCY_MEASUREMENT_TYPE, RuleConfig
 from eventsieve.operators.cleaning import clean_transform

@@ -1,6 +1,5 @@
 """The skew-safe plans equal the plain single-window definitions."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
