@@ -103,7 +103,9 @@ def q_notifications(spark, sf):
 
 
 def q_kpi_report(spark, sf):
-    valid, rejected = rules.split_valid_rejected(_checked(spark, sf))
+    # Both branches read the checked table: store it once (as the ETL job
+    # does) instead of running the dedup shuffles twice.
+    valid, rejected = rules.split_valid_rejected(materialize(_checked(spark, sf)))
     return notifications.calculate_kpis(rejected, notifications.generate_notifications(valid, R))
 
 
