@@ -14,11 +14,11 @@ which is a partial-aggregated ``groupBy(score)``:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.functions.numeric import ratio
+from eventsieve.session import materialize
 
 
 def with_prefix_sums(
@@ -32,11 +32,7 @@ def with_prefix_sums(
     Range-partition on the key, running sum inside each partition, then add
     the prefix of the partition totals (one row per partition, broadcast)."""
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = (
-        df.repartitionByRange(parts, *order_by)
-        .withColumn("_pid", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    ranged = materialize(df.repartitionByRange(parts, *order_by).withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(src).over(local_w).alias(f"_loc_{out}") for out, src in sums.items()])
     totals = ranged.groupBy("_pid").agg(*[F.sum(src).alias(f"_tot_{out}") for out, src in sums.items()])

@@ -10,15 +10,17 @@ each partition, and numbered in three steps:
 3. the offsets (bounded by the partition count, so broadcast is safe) are
    joined back and added to the local position.
 
-The sorted frame is persisted so both consumers see the same partitions.
+The numbered frame is stored once (parquet under the checkpoint folder) so
+both consumers see the same ids.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventsieve.session import materialize
+
 _LOCAL_BITS = 33
 
 
@@ -47,8 +49,11 @@ def with_global_index(
         .withColumn("_pid", F.shiftright("_mono", _LOCAL_BITS))
         .withColumn("_local", F.col("_mono").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
         .drop("_mono")
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # Store the numbered rows once: both consumers (counts and the final
+    # join) read the same stored _pid/_local, and a lost executor re-reads
+    # the table instead of recomputing ids.
+    ranged = materialize(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-task window here is bounded by `parts`.
     offsets = counts.select(
