@@ -1,4 +1,4 @@
-"""Session construction and the shared checkpoint folder."""
+"""Session construction, the shared checkpoint folder and stored tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and aggregates at run
 # time: it coalesces small shuffle partitions, splits skewed ones and turns a
@@ -32,32 +32,61 @@ def get_spark(master: str | None = None, app_name: str = "eventsieve", **conf: s
     return builder.getOrCreate()
 
 
+def _single_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is.  Only when it
-    is unset (local tests) a fresh scratch folder is created and registered.
+    A folder the caller registered with ``setCheckpointDir`` comes first, then
+    ``spark.checkpoint.dir``.  Only on a single-machine master, and only when
+    both are unset (as in tests), a scratch folder is created; on a cluster an
+    unset folder is an error, since executors would write to their own disks.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="eventsieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    registered = spark.sparkContext.getCheckpointDir()
+    if registered:
+        return registered
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        if not _single_machine(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="eventsieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir() or configured
+
+
+def shared_path(spark: SparkSession, name: str = "table") -> str:
+    """A fresh path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df):
+def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage before several jobs read the same frame.
 
     The frame is written as a parquet table under the shared checkpoint
-    folder (``spark.checkpoint.dir``) and read back: later jobs, and any
-    recomputation after a lost executor, start from the stored table with
-    columnar reads and column pruning instead of re-running windows and
-    shuffles.  Never ``localCheckpoint``."""
+    folder and read back: later jobs, and any recomputation after a lost
+    executor, start from the stored table with columnar reads and column
+    pruning instead of re-running windows and shuffles.  Never
+    ``localCheckpoint``.  ``release`` deletes the stored copy."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_path = path
+    return stored
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system, wherever it lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(*stored: DataFrame) -> None:
+    """Delete stored copies that no later job reads."""
+    for df in stored:
+        path = getattr(df, "_stored_path", None)
+        if path:
+            delete_path(df.sparkSession, path)
