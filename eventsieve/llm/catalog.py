@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from eventsieve.llm import mixing, simhash
+from eventsieve.llm import language, mixing, simhash
 
 
 def queries() -> dict:
     return {
+        "op2_language_id": language.q_language,
         "op7_simhash_near_dedup": simhash.q_simhash,
         "op8_mix_sources": mixing.q_mixing,
     }
