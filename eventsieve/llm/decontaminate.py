@@ -39,7 +39,6 @@ MAX_REPETITIONS = 128
 SIZE_RATIO = 1.2
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
-TABLE_BITS = 22
 
 # Bytes that make words: ASCII letters and digits and all bytes of other scripts.
 WORD_BYTE = np.zeros(256, bool)
@@ -134,8 +133,10 @@ class SizeClass:
         self.window = int(sizes.min())
         self.needed = self.window - int(edits_allowed(sizes.max(), similarity))
         pool = np.concatenate([w for _, w in items])
-        self.member = np.zeros(1 << TABLE_BITS, bool)
-        self.member[pool & np.uint64((1 << TABLE_BITS) - 1)] = True
+        # A table of 16 slots a word: a slot taken by another word only lets a window through to the check.
+        self.low_bits = np.uint64((1 << max(10, (16 * len(pool)).bit_length())) - 1)
+        self.member = np.zeros(int(self.low_bits) + 1, bool)
+        self.member[pool & self.low_bits] = True
         words, starts, _ = _laid_out([w for _, w in items])
         probe = rng.permutation(len(items))[:200]
         allowed = edits_allowed(sizes, similarity)
@@ -159,7 +160,7 @@ class SizeClass:
 
     def candidates(self, words: np.ndarray, stop_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(start, item)`` pairs that share a bucket, each once."""
-        own = self.member[words & np.uint64((1 << TABLE_BITS) - 1)] & (words != 0)
+        own = self.member[words & self.low_bits] & (words != 0)
         sums = np.concatenate(([0], np.cumsum(own, dtype=np.int64)))
         starts = np.flatnonzero(own)
         starts = starts[sums[np.minimum(starts + self.window, stop_of[starts])] - sums[starts] >= self.needed]
@@ -257,10 +258,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     texts = docs.select(F.col("doc_id").cast("long"), lowered(F.col("text")))
     out = spark.createDataFrame([], HITS)
     for index in item_blocks(benchmark, similarity):
-        shared = spark.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = shared.value
+        def run(batches: Iterator[pa.RecordBatch], own=index) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, 1):
                 hits = own.hits(batch.column(1))
                 ids = batch.column(0).to_pylist()

@@ -285,12 +285,10 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     gives ``und``, 0.0 and no runs, as does every text where no model could
     be fitted.  Repeated rows stay, other columns are ignored.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = model
         names = pa.array((m.langs if m else []), pa.string())
         for batch in pieces(batches, 1):
             data, offsets = flat(batch.column(1))

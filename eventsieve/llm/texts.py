@@ -76,10 +76,13 @@ class WordHash:
         rng = np.random.default_rng(seed)
         self.code = [rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in (0, 1)]
         bases = [int(x) | 5 for x in rng.integers(1 << 60, 1 << 62, 2)]
-        self.bases, self.step = bases, step
+        self.made, self.bases, self.step = (seed, step), bases, step
         self.up = [_powers(b, step + 1) for b in bases]
         self.down = [_powers(pow(b, -1, 1 << 64), step + 1) for b in bases]
 
+    def __reduce__(self):
+        return WordHash, self.made  # tasks build the tables anew
+
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
         out = np.empty(len(starts), np.uint64)
         lo = 0
