@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventsieve.llm import decontaminate, language, mixing, simhash
+from eventsieve.llm import decontaminate, language, mixing, pii, simhash
 
 
 def queries() -> dict:
     return {
         "op2_language_id": language.q_language,
+        "op5_personal_data": pii.q_pii,
         "op6_decontamination": decontaminate.q_decontamination,
         "op7_simhash_near_dedup": simhash.q_simhash,
         "op8_mix_sources": mixing.q_mixing,
