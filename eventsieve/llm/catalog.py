@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from eventsieve.llm import decontaminate, language, mixing, pii, simhash
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op2_language_id": language.q_language,
         "op5_personal_data": pii.q_pii,
         "op6_decontamination": decontaminate.q_decontamination,

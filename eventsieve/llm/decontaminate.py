@@ -273,5 +273,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     return out
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, that hold no item of the benchmark."""
+    schema, last = docs.schema, len(docs.columns)
+    for index in item_blocks(benchmark, similarity):
+
+        def run(batches: Iterator[pa.RecordBatch], own=index) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, last):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[h[0] for h in own.hits(batch.column(last))]] = False
+                yield batch.filter(pa.array(keep)).select(range(last))
+
+        docs = docs.withColumn("__lowered_text", lowered(F.col("text"))).mapInArrow(run, schema)
+    return docs
+
+
 def q_decontamination(spark, sf_dir: str) -> DataFrame:
     return find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

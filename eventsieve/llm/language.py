@@ -276,6 +276,36 @@ def training_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -
     return labelled.filter(picked).select("text", "lang").orderBy(at).limit(2 * rows_per_language * len(counts)).collect()
 
 
+def _label(m: Model | None, column: pa.Array):
+    """``(language, score, words, runs, (label, start, end) of all runs)`` of a column of led texts."""
+    data, offsets = flat(column)
+    rows = len(column)
+    letters, starts, ends, keys = letter_runs(data)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    lengths = np.bincount(doc, minlength=rows)
+    pred, score, n_runs = [UNDETERMINED] * rows, np.zeros(rows), np.zeros(rows, np.int64)
+    nothing = np.zeros(0, np.int64)
+    if m is None or not len(starts):
+        return pred, score, lengths, n_runs, (nothing, nothing, nothing)
+    post = marginals(_potentials(m.emissions(letters, starts, ends, keys)), lengths, np.exp(m.first), np.exp(m.steps))
+    filled = np.flatnonzero(lengths)
+    edges = np.concatenate(([0], np.cumsum(lengths[filled])[:-1]))
+    means = np.add.reduceat(post.astype(np.float64), edges, axis=0) / lengths[filled][:, None]
+    best = means.argmax(1)
+    # Runs of bytes beyond ASCII may hold no letter (other scripts' signs).
+    ascii_letters = np.add.reduceat((LETTER[data] - np.uint8(1) < 127).astype(np.int64), offsets[:-1])
+    for i, d in enumerate(filled.tolist()):
+        if ascii_letters[d] or any(map(str.isalpha, column[d].as_py())):
+            pred[d], score[d] = m.langs[best[i]], min(1.0, float(means[i, best[i]]))
+    label = post.argmax(1)
+    head = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (doc[1:] != doc[:-1]))))
+    keep = np.array([p != UNDETERMINED for p in pred])[doc[head]]
+    tail = np.concatenate((head[1:], [len(label)])) - 1
+    shift = offsets[doc[head]] + 1
+    runs = (label[head][keep], (starts[head] - shift)[keep], (ends[tail] - shift)[keep])
+    return pred, score, lengths, np.bincount(doc[head][keep], minlength=rows), runs
+
+
 def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     """Every document's words labelled: ``(doc_id, lang_pred, score, n_words, n_runs, runs)``.
 
@@ -286,40 +316,15 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     be fitted.  Repeated rows stay, other columns are ignored.
     """
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    names = pa.array(model.langs if model else [], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model
-        names = pa.array((m.langs if m else []), pa.string())
         for batch in pieces(batches, 1):
-            data, offsets = flat(batch.column(1))
-            rows = batch.num_rows
-            letters, starts, ends, keys = letter_runs(data)
-            doc = np.searchsorted(offsets, starts, "right") - 1
-            lengths = np.bincount(doc, minlength=rows)
-            pred, score, n_runs = [UNDETERMINED] * rows, np.zeros(rows), np.zeros(rows, np.int64)
-            run_lang = run_start = run_end = np.zeros(0, np.int64)
-            if m and len(starts):
-                post = marginals(_potentials(m.emissions(letters, starts, ends, keys)), lengths, np.exp(m.first), np.exp(m.steps))
-                filled = np.flatnonzero(lengths)
-                edges = np.concatenate(([0], np.cumsum(lengths[filled])[:-1]))
-                means = np.add.reduceat(post.astype(np.float64), edges, axis=0) / lengths[filled][:, None]
-                best = means.argmax(1)
-                # Words of letter bytes alone may still hold no letter (other scripts' signs).
-                ascii_words = np.add.reduceat((LETTER[data] - np.uint8(1) < 127).astype(np.int64), offsets[:-1])
-                for i, d in enumerate(filled.tolist()):
-                    if ascii_words[d] or any(map(str.isalpha, batch.column(1)[d].as_py())):
-                        pred[d], score[d] = m.langs[best[i]], min(1.0, float(means[i, best[i]]))
-                label = post.argmax(1)
-                fresh = np.concatenate(([True], (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])))
-                head = np.flatnonzero(fresh)
-                keep = np.array([p != UNDETERMINED for p in pred])[doc[head]]
-                tail = np.concatenate((head[1:], [len(label)])) - 1
-                run_lang, run_start, run_end = label[head][keep], (starts[head] - offsets[doc[head]] - 1)[keep], (ends[tail] - offsets[doc[head]] - 1)[keep]
-                n_runs = np.bincount(doc[head][keep], minlength=rows)
+            pred, score, lengths, n_runs, (lang, start, end) = _label(model, batch.column(1))
             listed = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(n_runs))), pa.int32()),
                 pa.StructArray.from_arrays(
-                    [names.take(pa.array(run_lang)), pa.array(run_start, pa.int64()), pa.array(run_end, pa.int64())], ["lang", "start", "end"]
+                    [names.take(pa.array(lang)), pa.array(start, pa.int64()), pa.array(end, pa.int64())], ["lang", "start", "end"]
                 ),
             ).cast(run_type)
             yield pa.RecordBatch.from_arrays(
@@ -331,6 +336,19 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), led_text(F.col("text"))).mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model | None, least_share: float) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, whose text has a language holding ``least_share`` of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, batches_text):
+            pred, score, *_ = _label(model, batch.column(batches_text))
+            keep = (np.array(pred) != UNDETERMINED) & (score >= least_share)
+            yield batch.filter(pa.array(keep)).select(range(batches_text))
+
+    batches_text = len(docs.columns)
+    return docs.withColumn("__led_text", led_text(F.col("text"))).mapInArrow(run, docs.schema)
+
+
 def identify_languages(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """Fit on the labelled part of ``docs`` and label all of it."""
     rows = training_rows(docs, rows_per_language)

@@ -66,7 +66,7 @@ def _offset(source: Column, seed: int) -> Column:
 
 
 def mix_sources(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED, carry: bool = False
 ) -> DataFrame:
     """``docs(doc_id, text, source)`` -> ``(doc_id, source, size, source_size, target, copies, taken)``.
 
@@ -75,13 +75,18 @@ def mix_sources(
     and is never above 0 words; a null source is a source of its own, last; a
     source without words has target 0 and no copies; equal sizes go by
     doc_id, repeated ids in any order of equal rows; an empty table gives an
-    empty one; other columns are ignored.  Reruns agree.
+    empty one; other columns are ignored.  Reruns agree.  With ``carry`` the
+    whole input row comes along as the struct ``row``.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sized = materialize(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text").cast("string")).alias("size"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    sized = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        word_count(F.col("text").cast("string")).alias("size"), *row,
     )
+    if not carry:
+        sized = materialize(sized)  # range splitters are sampled first; texts are read once
     by = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
     ordered = materialize(
         sized.repartitionByRange(parts, *by)
@@ -93,7 +98,7 @@ def mix_sources(
     pieces = ordered.groupBy("part", "source").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-    totals = source_targets(sized, weights, most)
+    totals = source_targets(ordered, weights, most)
     plan = pieces.join(totals, pieces.source.eqNullSafe(totals.source)).select(
         F.col("part").alias("p_part"), pieces.source.alias("p_source"), "first", "before", "source_size", "target"
     )
@@ -104,7 +109,8 @@ def mix_sources(
     crossed = F.floor((rank + 1) * expected + offset) - F.floor(rank * expected + offset)
     copies = F.least(crossed, F.lit(most)).cast("long")
     return joined.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        *(["row"] if carry else []),
     )
 
 

@@ -234,5 +234,23 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     )
 
 
+def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, one per near-duplicate group: that of the smallest doc_id.
+
+    Rows are dropped by id: rows without an id stay.  Rows that repeat the
+    id of a kept one go, one of them stays.
+    """
+    groups = materialize(simhash_components(docs, shingle, max_bits))
+    dropped = groups.filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    kept = docs.join(dropped, docs["doc_id"].cast("long") == F.col("__dropped"), "left_anti")
+    repeated = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    ids = repeated.select(F.col("doc_id").alias("__repeated"))
+    match = F.col("doc_id").cast("long") == F.col("__repeated")
+    once = kept.join(ids, match, "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(ids, match, "left_anti").unionByName(once)
+
+
 def q_simhash(spark, sf_dir: str) -> DataFrame:
     return simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
