@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from eventsieve.llm import decontaminate, language, mixing, pii, simhash
+from eventsieve.llm import decontaminate, embeddings, language, mixing, pii, simhash
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_decontamination": decontaminate.q_decontamination,
         "op7_simhash_near_dedup": simhash.q_simhash,
         "op8_mix_sources": mixing.q_mixing,
+        "op9_embedding_near_dedup": embeddings.q_embeddings,
     }
 
 
