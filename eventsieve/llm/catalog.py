@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from eventsieve.llm import classlm, decontaminate, embeddings, language, mixing, pii, simhash
+from eventsieve.llm import classlm, decontaminate, embeddings, language, mixing, pii, simhash, suffixes
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "pipeline": corpus_pipeline.run,
         "op2_language_id": language.q_language,
         "op3_class_lm": classlm.q_class_lm,
+        "op4_suffix_dedup": suffixes.q_suffixes,
         "op5_personal_data": pii.q_pii,
         "op6_decontamination": decontaminate.q_decontamination,
         "op7_simhash_near_dedup": simhash.q_simhash,
