@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from eventsieve.llm import classlm, decontaminate, embeddings, language, mixing, pii, simhash, suffixes
+from eventsieve.llm import chat, classlm, decontaminate, embeddings, language, mixing, pii, simhash, suffixes, tokens
 
 
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
+        "op1_token_counts": tokens.q_tokens,
         "op2_language_id": language.q_language,
         "op3_class_lm": classlm.q_class_lm,
         "op4_suffix_dedup": suffixes.q_suffixes,
@@ -17,8 +18,9 @@ def queries() -> dict:
         "op7_simhash_near_dedup": simhash.q_simhash,
         "op8_mix_sources": mixing.q_mixing,
         "op9_embedding_near_dedup": embeddings.q_embeddings,
+        "op10_chat_prefix_tree": chat.q_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": mixing.ORACLE_SQL}
+    return {"op8_mix_sources": mixing.ORACLE_SQL, "op10_chat_prefix_tree": chat.ORACLE_SQL}
