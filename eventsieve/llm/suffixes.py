@@ -151,10 +151,12 @@ def sample_splitters(texts: DataFrame, buckets: int, length: int, gram: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(Anchors(batch.column(0), hasher, length, gram).lead.view(np.int64))], names=["lead"])
+            a = Anchors(batch.column(0), hasher, length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(a.lead.view(np.int64)), pa.array(a.x.view(np.int64))], names=["lead", "x"])
 
-    chosen = texts.filter(F.pmod(F.xxhash64("f", "r"), F.lit(every)) == 0).select("text").mapInArrow(run, "lead long")
-    leads_ = chosen.orderBy(F.xxhash64("lead", F.monotonically_increasing_id())).limit(SAMPLE_LEADS).toPandas()["lead"].to_numpy(np.int64)
+    chosen = texts.filter(F.pmod(F.xxhash64("f", "r"), F.lit(every)) == 0).select("text").mapInArrow(run, "lead long, x long")
+    # Copies collapse before the shuffle, so a context counts once.
+    leads_ = chosen.dropDuplicates(["lead", "x"]).orderBy(F.xxhash64("x")).limit(SAMPLE_LEADS).toPandas()["lead"].to_numpy(np.int64)
     ordered = np.sort(leads_.view(np.uint64))
     if not len(ordered):
         return np.zeros(0, np.uint64)
@@ -187,7 +189,7 @@ def anchor_marks(texts: DataFrame, splitters: np.ndarray, buckets: int, length:
             copies = np.bincount(group)[group]
             # One row per distinct context is compared; further copies are settled here and go where there is room.
             sent = np.where(same, 0, copies)
-            bucket = np.where(same, (a.x[order] % np.uint64(buckets)).astype(np.int64), bucket_of(a.lead, a.x, splitters)[order])
+            bucket = np.where(same, np.arange(len(order)) % buckets, bucket_of(a.lead, a.x, splitters)[order])
             f, r = (batch.column(i).to_numpy()[a.row[order]] for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket.astype(np.int32)), pa.array(a.g[order].view(np.int64)), pa.array(a.x[order].view(np.int64)), pa.array(f), pa.array(r),
