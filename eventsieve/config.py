@@ -127,7 +127,6 @@ class RuleConfig:
     latency_cycle: int = 4
     # History signals (re-aimed from the reference's generator).
     velocity_window_seconds: int = 300
-    history_bucket_seconds: int = 3600
     report_event_type: str = "error"
     velocity_risk_min: float = 34.0
     report_rate_risk_min: float = 0.22
@@ -136,12 +135,12 @@ class RuleConfig:
     # Model step.
     test_fraction: float = 0.30
     seed: int = 42
-    logistic_learning_rate: float = 0.08
-    logistic_epochs: int = 3500
+    logistic_max_iterations: int = 200
     logistic_l2: float = 0.01
     forest_trees: int = 200
     forest_max_depth: int = 8
     forest_min_leaf: int = 3
+    forest_max_bins: int = 32  # split candidates per feature, from a sample of the rows
     feature_columns: tuple[str, ...] = field(default=FEATURE_COLUMNS)
 
 

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from eventsieve.functions.text import col_of
 
 
+# Decimal or exponent notation, or an infinity; a cast alone also takes Java's '5d' and '5f'.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
+
+
 def parse_number(c: str | Column) -> Column:
     """Text or number to DOUBLE; bad text and NaN give null (pandas' coerce)."""
-    value = col_of(c).cast("string").try_cast("double")
+    text = col_of(c).cast("string")
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 

@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from eventsieve.functions.text import col_of
 
 
+DATE_TIME = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?\s*$"
+
+
 def parse_timestamp(c: str | Column) -> Column:
     """Text to ``TIMESTAMP_NTZ``; unparsable or blank text gives null.
 
-    Accepted forms are ISO dates and date-times with optional fraction
-    (``yyyy-MM-dd``, ``yyyy-MM-dd HH:mm:ss[.ffffff]``, ``T`` separator),
-    one explicit list for every step that parses dates.
+    Accepted forms, for every step that parses dates: ``yyyy-MM-dd`` and
+    ``yyyy-MM-dd HH:mm[:ss[.f to .fffffffff]]`` with a space or ``T``
+    between, spaces around.  No bare years or months, no zones or offsets
+    (a cast alone takes them and drops the offset).
     """
-    return col_of(c).try_cast("timestamp_ntz")
+    text = col_of(c).cast("string")
+    return F.when(text.rlike(DATE_TIME), text.try_cast("timestamp_ntz"))
 
 
 def as_timestamp(c: str | Column) -> Column:

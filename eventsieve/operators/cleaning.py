@@ -1,7 +1,7 @@
 """Cleaning and deduplication (PRJ-1..4, DED-1, REA-2).
 
 Deduplication keeps the first row per trimmed ``event_id`` in input order
-(``seq``).  It is done as an aggregate plus a join on ``(event_id, seq)``:
+(``seq``: given by the caller, or numbered once from a file scan).  It is done as an aggregate plus a join on ``(event_id, seq)``:
 
 * ``min(seq)`` per id is a hash aggregate with map-side partial
   aggregation, so even an id shared by a third of all rows (blank ids)
@@ -14,25 +14,35 @@ Deduplication keeps the first row per trimmed ``event_id`` in input order
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve.config import DEFAULT_RULES, RuleConfig
 from eventsieve.functions.text import notification_text, strip_ws
 from eventsieve.functions.timestamps import parse_timestamp
+from eventsieve.operators.indexing import with_global_index
 
 SEQ = "seq"
 
 
 def with_sequence(df: DataFrame) -> DataFrame:
-    """Attach an input-order key when the source has none.
+    """Attach the input order ``seq`` when the source has none.
 
-    Must be called directly on the scan: ``monotonically_increasing_id``
-    follows file-split order only without a preceding shuffle.
+    Rows of a file scan are numbered by file path (as text), then place in
+    the file, whatever order the splits are packed in; the numbered rows are
+    stored once, so every later use sees the same numbers.  A frame that has
+    neither ``seq`` nor a file behind each row has no input order, and raises.
     """
     if SEQ in df.columns:
         return df
-    return df.withColumn(SEQ, F.monotonically_increasing_id())
+    try:
+        placed = df.withColumns({"_file": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start")})
+    except AnalysisException as exc:
+        raise ValueError(f"the input has no order: add a {SEQ!r} column or pass a file scan") from exc
+    placed = placed.withColumn("_row", F.monotonically_increasing_id())
+    order = [F.col("_file"), F.col("_split"), F.col("_row")]
+    return with_global_index(placed, order, SEQ).drop("_file", "_split", "_row")
 
 
 def add_missing_columns(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

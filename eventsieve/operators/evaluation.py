@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.functions.numeric import ratio
+from eventsieve.operators.indexing import _num_partitions
 from eventsieve.session import materialize
 
 
@@ -31,7 +32,7 @@ def with_prefix_sums(
 
     Range-partition on the key, running sum inside each partition, then add
     the prefix of the partition totals (one row per partition, broadcast)."""
-    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = _num_partitions(df, num_partitions)
     ranged = materialize(df.repartitionByRange(parts, *order_by).withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(src).over(local_w).alias(f"_loc_{out}") for out, src in sums.items()])
@@ -61,22 +62,26 @@ def _cumulative(scored: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """ML-8: ``(false_positive_rate, true_positive_rate)`` for thresholds
-    +inf, every distinct score (descending) and -inf; rates use
-    ``max(1, class size)``.  ``point`` orders the points."""
-    cum = _cumulative(scored, label, score)
+    """ML-8: ``(point, false_positive_rate, true_positive_rate)`` for
+    thresholds +inf, every distinct score (descending) and -inf; rates use
+    ``max(1, class size)``.  ``point`` counts them from 0."""
+    cum = with_prefix_sums(
+        score_table(scored, label, score).withColumn("one", F.lit(1)),
+        [F.col("score").desc()], {"cum_pos": "pos", "cum_neg": "neg", "point": "one"},
+    )
     # Class sizes: one bounded row, read once on the driver as literals.
-    totals = scored.agg(
-        F.count_if(F.col(label) == 1).alias("P"), F.count_if(F.col(label) == 0).alias("N")
+    totals = cum.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("P"), F.coalesce(F.sum("neg"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("points")
     ).first()
     P, N = F.lit(int(totals["P"])), F.lit(int(totals["N"]))
     per_score = cum.select(
+        F.col("point").cast("bigint").alias("point"),
         ratio(F.col("cum_neg"), N).alias("false_positive_rate"),
         ratio(F.col("cum_pos"), P).alias("true_positive_rate"),
     )
     ends = scored.sparkSession.createDataFrame(
-        [(0.0, 0.0), (int(totals["N"]) / max(1, int(totals["N"])), int(totals["P"]) / max(1, int(totals["P"])))],
-        "false_positive_rate double, true_positive_rate double",
+        [(0, 0.0, 0.0), (int(totals["points"]) + 1, int(totals["N"]) / max(1, int(totals["N"])), int(totals["P"]) / max(1, int(totals["P"])))],
+        "point bigint, false_positive_rate double, true_positive_rate double",
     )
     return per_score.unionByName(ends)
 

@@ -10,27 +10,27 @@ each user's own event history:
   ``ts``, then id) that were reports; the first event gets 0.
 
 Scale: a per-user window would put a user holding a third of all rows in
-one task.  The work is split on ``(user, time bucket)`` instead:
-
-1. bucket totals (count, reports, first time) are a partial-aggregated
-   ``groupBy(user, bucket)``; their per-user prefix sums run over this small
-   table (one row per user-bucket);
-2. the trailing window runs inside ``(user, bucket)`` partitions, where the
-   previous bucket's last ``window`` seconds are added as context rows;
-3. bucket prefixes are joined back on ``(user, bucket)``.
-
-The result equals the per-user window exactly (tested against it).
+one task, and a sliding frame rebuilds its aggregate at every row of a burst.
+Instead every event is a ``+1`` at its time and a ``-1`` just after its
+window ends, and one range-partitioned prefix sum over ``(user, time)`` gives
+all three signals: the running total at a time is the number of events in
+the trailing window (a user's steps cancel, so users do not disturb each
+other), the running counts of events and reports less those at the user's
+first event are the earlier ones.  The cost is linear in the events, however
+they fall.  Null users are one user; events without a time come first, are
+peers of each other, and have no age.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve.config import DEFAULT_RULES, RuleConfig
 from eventsieve.functions.numeric import parse_flag, parse_number
 from eventsieve.functions.text import is_blank, strip_ws
 from eventsieve.functions.timestamps import epoch_micros, parse_timestamp
+from eventsieve.operators.evaluation import with_prefix_sums
 
 _MICROS = 1_000_000
 
@@ -45,57 +45,34 @@ def history_signals(
 ) -> DataFrame:
     """Add ``interaction_velocity_5m`` (bigint), ``account_age_days`` (bigint)
     and ``historical_report_rate`` (double) to every row of ``events``."""
-    window_s = rules.velocity_window_seconds
-    bucket_s = rules.history_bucket_seconds
-    if window_s > bucket_s:
-        raise ValueError("history_bucket_seconds must be at least velocity_window_seconds")
-
-    base = (
-        events.withColumn("_us", epoch_micros(ts_col))
-        .withColumn("_bucket", F.floor(F.col("_us") / F.lit(bucket_s * _MICROS)))
-        .withColumn("_flag", F.coalesce(report_flag.cast("int"), F.lit(0)))
+    window_us = rules.velocity_window_seconds * _MICROS
+    base = events.select(
+        "*", epoch_micros(ts_col).alias("_us"), F.coalesce(report_flag.cast("long"), F.lit(0)).alias("_flag"), F.lit(1).cast("long").alias("_one")
     )
-
-    # 1. per (user, bucket) totals, then per-user prefixes on the small table.
-    totals = base.groupBy(user_col, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_flag").alias("_f"), F.min("_us").alias("_first")
+    adds = base.withColumns({"_t": F.col("_us"), "_step": F.lit(1).cast("long")})
+    # An event leaves the window one microsecond after its end; those without a time leave before all others come.
+    ends = base.select(
+        F.col(user_col), F.coalesce(F.col("_us") + F.lit(window_us + 1), F.lit(-(1 << 63))).alias("_t"), F.lit(-1).cast("long").alias("_step"),
+        F.lit(0).cast("long").alias("_flag"), F.lit(0).cast("long").alias("_one"),
     )
-    by_user = Window.partitionBy(user_col).orderBy("_bucket")
-    before = by_user.rowsBetween(Window.unboundedPreceding, -1)
-    prefixes = totals.select(
-        user_col,
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.coalesce(F.sum("_f").over(before), F.lit(0)).alias("_f_before"),
-        F.min("_first").over(Window.partitionBy(user_col)).alias("_user_first"),
+    order = [F.col(user_col), F.col("_t"), F.col("_step"), F.col(order_col)]
+    run = with_prefix_sums(
+        adds.unionByName(ends, allowMissingColumns=True), order, {"_in_window": "_step", "_n": "_one", "_f": "_flag"}
+    ).filter(F.col("_step") == 1)
+    user = F.col(user_col).alias("_user")
+    # At one time ends come first, so the last of the peers has the largest total: all peers count.
+    peaks = run.groupBy(user, F.col("_us").alias("_time")).agg(F.max("_in_window").alias("_velocity"))
+    starts = run.groupBy(user).agg(
+        F.min(F.col("_n") - 1).alias("_n_start"), F.min(F.col("_f") - F.col("_flag")).alias("_f_start"), F.min("_us").alias("_user_first")
+    ).withColumnRenamed("_user", "_user2")
+    joined = run.join(peaks, F.col(user_col).eqNullSafe(F.col("_user")) & F.col("_us").eqNullSafe(F.col("_time"))).join(
+        starts, F.col(user_col).eqNullSafe(F.col("_user2"))
     )
-
-    # 2. rows of each bucket plus the previous bucket's tail as context.
-    tail = (
-        base.filter(F.col("_us") >= (F.col("_bucket") + 1) * F.lit(bucket_s * _MICROS) - F.lit(window_s * _MICROS))
-        .withColumn("_bucket", F.col("_bucket") + 1)
-        .withColumn("_ctx", F.lit(1))
-    )
-    rows = base.withColumn("_ctx", F.lit(0)).unionByName(tail)
-    part = Window.partitionBy(user_col, "_bucket")
-    trailing = part.orderBy("_us").rangeBetween(-window_s * _MICROS, 0)
-    earlier = part.orderBy("_us", order_col).rowsBetween(Window.unboundedPreceding, -1)
-    real = F.lit(1) - F.col("_ctx")
-    local = rows.select(
-        *[c for c in base.columns],
-        "_ctx",
-        F.count(F.lit(1)).over(trailing).alias("interaction_velocity_5m"),
-        F.coalesce(F.sum(real).over(earlier), F.lit(0)).alias("_n_local"),
-        F.coalesce(F.sum(F.col("_flag") * real).over(earlier), F.lit(0)).alias("_f_local"),
-    ).filter(F.col("_ctx") == 0)
-
-    # 3. join bucket prefixes back on (user, bucket).
-    joined = local.join(prefixes, [user_col, "_bucket"], "left")
-    earlier_n = F.col("_n_before") + F.col("_n_local")
-    earlier_f = F.col("_f_before") + F.col("_f_local")
+    earlier_n = F.col("_n") - 1 - F.col("_n_start")
+    earlier_f = F.col("_f") - F.col("_flag") - F.col("_f_start")
     return joined.select(
         *events.columns,
-        F.col("interaction_velocity_5m").cast("bigint").alias("interaction_velocity_5m"),
+        F.col("_velocity").cast("bigint").alias("interaction_velocity_5m"),
         F.floor((F.col("_us") - F.col("_user_first")) / F.lit(86_400 * _MICROS)).cast("bigint").alias("account_age_days"),
         F.coalesce(F.try_divide(earlier_f.cast("double"), F.nullif(earlier_n, F.lit(0)).cast("double")), F.lit(0.0)).alias(
             "historical_report_rate"

@@ -22,12 +22,27 @@ from pyspark.sql import functions as F
 from eventsieve.session import materialize
 
 _LOCAL_BITS = 33
+RANGE_BYTES = 256 << 20
+UNKNOWN_BYTES = 1 << 55
 
 
 def _num_partitions(df: DataFrame, requested: int | None) -> int:
+    """At least ``spark.sql.shuffle.partitions``; more where the tables read would give larger ranges.
+
+    The sizes of the plan's leaves are summed: the planner's estimate of the
+    whole multiplies the sides of a join."""
     if requested:
         return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    # A leaf of unknown size says "as large as can be", which tells nothing.
+    return max(least, -(-sum(s for s in sizes if s < UNKNOWN_BYTES) // RANGE_BYTES))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """Hint a broadcast only after counting: beyond ``rows`` rows the join shuffles."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def with_global_index(
@@ -82,13 +97,13 @@ def with_rank_within(
     Same result as ``row_number() OVER (PARTITION BY g ORDER BY ...) - 1``,
     but a group holding a large share of the rows is ranked by many tasks:
     the global index over ``(g, order_by)`` minus the group's first index.
-    The starts table has one row per group; the number of groups is not
-    bounded in general, so no broadcast hint: AQE broadcasts it only after
-    measuring it, and a hot group is split by AQE's skew-join handling."""
+    The starts table has one row per group and is stored; where it counts few
+    rows it is broadcast and the rows are not shuffled again, else AQE's
+    skew-join handling splits a hot group.  A null group is a group."""
     indexed = with_global_index(df, [F.col(group_col), *order_by], "_gidx", num_partitions)
-    starts = indexed.groupBy(group_col).agg(F.min("_gidx").alias("_gstart"))
+    starts = materialize(indexed.groupBy(F.col(group_col).alias("_group")).agg(F.min("_gidx").alias("_gstart")))
     return (
-        indexed.join(starts, group_col)
+        indexed.join(broadcast_if_small(starts), F.col(group_col).eqNullSafe(F.col("_group")))
         .withColumn(rank_col, F.col("_gidx") - F.col("_gstart"))
-        .drop("_gidx", "_gstart")
+        .drop("_gidx", "_gstart", "_group")
     )

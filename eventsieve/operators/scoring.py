@@ -19,7 +19,8 @@ from eventsieve.config import (
     RuleConfig,
 )
 from eventsieve.functions.numeric import linear_score
-from eventsieve.operators.indexing import with_global_index
+from eventsieve.operators.indexing import broadcast_if_small, with_global_index
+from eventsieve.session import materialize
 
 
 @dataclass(frozen=True)
@@ -62,16 +63,16 @@ def stratified_split(
     """
     keyed = features.withColumn("_key", split_key(id_col, rules.seed))
     indexed = with_global_index(keyed, [F.col(label), F.col("_key"), F.col(id_col)], "_idx")
-    classes = indexed.groupBy(label).agg(
+    classes = indexed.groupBy(F.col(label).alias("_class")).agg(
         F.min("_idx").alias("_start"),
         F.greatest(F.lit(1), F.bround(F.count(F.lit(1)) * F.lit(rules.test_fraction), 0).cast("bigint")).alias("_test_n"),
     )
-    # One row per class value: the label is a 0/1 class, so the broadcast
-    # holds at most a handful of rows.
+    # One row per class value (a null label is a class); broadcast only after counting them.
+    classes = materialize(classes)
     return (
-        indexed.join(F.broadcast(classes), label)
+        indexed.join(broadcast_if_small(classes), F.col(label).eqNullSafe(F.col("_class")))
         .withColumn("split", F.when(F.col("_idx") - F.col("_start") < F.col("_test_n"), "test").otherwise("train"))
-        .drop("_key", "_idx", "_start", "_test_n")
+        .drop("_key", "_idx", "_start", "_test_n", "_class")
     )
 
 

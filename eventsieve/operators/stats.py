@@ -1,12 +1,10 @@
 """Quality statistics, value counts and correlation (AGG-3..8, AGG-12/13, FLT-5, SET-3).
 
-Exact quantiles (pandas' linear interpolation) are computed by sorting the
-values: the long table ``(name, value)`` is globally indexed in
-``(name, value)`` order by the range-partitioned index, each column's rank
-is ``index - first index of the column``, and only the ranks a quantile
-needs are kept.  Unlike ``percentile``/``median`` aggregates, nothing holds
-a map of all distinct values in one task, so continuous columns at any size
-are fine.  Modes come from a partial-aggregated ``groupBy(name, value)``.
+Means, modes and exact quantiles (pandas' linear interpolation) all come
+from one table of rows per distinct value with its running total, which is
+range-partitioned in ``(name, value)`` order.  Unlike ``percentile`` and
+``median`` aggregates, nothing holds a map of all distinct values in one
+task, so continuous columns at any size are fine.
 """
 
 from __future__ import annotations
@@ -24,64 +22,69 @@ from eventsieve.config import (
     STATISTIC_COLUMNS,
     STATISTIC_SUFFIX_PATTERN,
 )
-from eventsieve.operators.indexing import with_global_index
+from eventsieve.operators.evaluation import with_prefix_sums
+from eventsieve.operators.indexing import broadcast_if_small
+from eventsieve.session import materialize
+
+
+def value_distribution(long: DataFrame) -> DataFrame:
+    """``long(name, value)`` -> stored ``(name, value, c, cum)``: rows per
+    distinct value and their running total over all names; nulls left out.
+
+    One partial-aggregated pass over the rows; means, modes and quantiles all
+    read this table.  The running total is range-partitioned, so columns of
+    many distinct values never meet in one task."""
+    counts = long.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("c"))
+    return materialize(with_prefix_sums(counts, [F.col("name"), F.col("value")], {"cum": "c"}))
+
+
+def _bounds(dist: DataFrame) -> DataFrame:
+    """One row per column: first running total, rows, mean, count of the mode."""
+    return dist.groupBy("name").agg(
+        F.min(F.col("cum") - F.col("c")).alias("_start"), F.sum("c").alias("_n"),
+        (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("_mean"), F.max("c").alias("_most"),
+    )
+
+
+def _quantiles(dist: DataFrame, probabilities) -> DataFrame:
+    """``(name, p, value)`` by linear interpolation between order statistics."""
+    probs = F.array(*[F.lit(float(p)) for p in probabilities])
+    wanted = _bounds(dist).select("name", "_start", "_n", F.explode(probs).alias("p")).withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+    ends = F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))
+    # Columns x probabilities x 2 rows.
+    ranks = broadcast_if_small(wanted.select(F.col("name").alias("_name"), "p", "_pos", F.posexplode(ends).alias("_side", "_rank"), "_start"))
+    at = F.col("_start") + F.col("_rank")
+    picked = dist.join(ranks, (F.col("name") == F.col("_name")) & (at >= F.col("cum") - F.col("c")) & (at < F.col("cum")))
+    low, high = (F.max(F.when(F.col("_side") == k, F.col("value"))) for k in (0, 1))
+    return picked.groupBy("name", "p", "_pos").agg((low + (high - low) * (F.col("_pos") - F.floor("_pos"))).alias("value")).drop("_pos")
 
 
 def exact_quantiles(long: DataFrame, probabilities=(0.25, 0.5, 0.75)) -> DataFrame:
     """``long(name, value)`` -> ``(name, p, value)``, linear interpolation
     between order statistics; nulls ignored; a column with no value gets null."""
-    values = long.filter(F.col("value").isNotNull())
-    # A row id breaks ties so the range partitioner can split a value held
-    # by a large share of the rows (e.g. length 0) over many partitions.
-    if "rid" not in values.columns:
-        values = values.withColumn("rid", F.monotonically_increasing_id())
-    indexed = with_global_index(values, [F.col("name"), F.col("value"), F.col("rid")], "_idx")
-    bounds = indexed.groupBy("name").agg(
-        F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n")
-    )
-    # One row per (column, probability): the probabilities are literals.
     probs = F.array(*[F.lit(float(p)) for p in probabilities])
-    wanted = bounds.select(
-        "name", "_start", F.explode(probs).alias("p"), "_n"
-    ).select(
-        "name", "p", "_start",
-        (F.col("p") * (F.col("_n") - 1)).alias("_pos"),
-    ).select(
-        "name", "p", "_start", "_pos",
-        F.floor("_pos").cast("bigint").alias("_lo"),
-        F.ceil("_pos").cast("bigint").alias("_hi"),
-    )
-    ranks = wanted.select("name", "p", "_pos", "_lo", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"), "_start")
-    picked = indexed.join(
-        F.broadcast(ranks.select("name", "p", "_pos", "_lo", (F.col("_start") + F.col("_rank")).alias("_idx"), "_rank")),
-        ["name", "_idx"],
-    )
-    lo_val = F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("value")))
-    hi_val = F.max(F.when(F.col("_rank") != F.col("_lo"), F.col("value")))
-    frac = F.first("_pos") - F.first("_lo")
-    result = picked.groupBy("name", "p").agg(
-        F.when(hi_val.isNull(), lo_val).otherwise(lo_val + (hi_val - lo_val) * frac).alias("value")
-    )
     names = long.select("name").distinct().select("name", F.explode(probs).alias("p"))
-    return names.join(result, ["name", "p"], "left")
+    return names.join(_quantiles(value_distribution(long), probabilities), ["name", "p"], "left")
+
+
+def _modes(dist: DataFrame) -> DataFrame:
+    most = _bounds(dist).select(F.col("name").alias("_name"), "_most")
+    same = (F.col("name") == F.col("_name")) & (F.col("c") == F.col("_most"))
+    return dist.join(broadcast_if_small(most), same).groupBy("name").agg(F.min("value").alias("value"))
 
 
 def modes(long: DataFrame) -> DataFrame:
     """``long(name, value)`` -> ``(name, value)``: most frequent, smallest on ties."""
-    counts = long.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("_c"))
-    best = counts.groupBy("name").agg(F.max("_c").alias("_c"))
-    return counts.join(best, ["name", "_c"]).groupBy("name").agg(F.min("value").alias("value"))
+    return _modes(value_distribution(long))
 
 
 def to_long(df: DataFrame, columns) -> DataFrame:
-    """Unpivot ``columns`` into ``(name, value double, rid)``; ``rid`` is a
-    per-source-row id (a tiebreak for sorting)."""
+    """Unpivot ``columns`` into ``(name, value double)``."""
     return df.select(
-        F.monotonically_increasing_id().alias("rid"),
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
         ).alias("kv"),
-    ).select("kv.name", "kv.value", "rid")
+    ).select("kv.name", "kv.value")
 
 
 def quality_counts(features: DataFrame) -> DataFrame:
@@ -108,17 +111,20 @@ def quality_counts(features: DataFrame) -> DataFrame:
 
 def quality_statistics(features: DataFrame, columns=STATISTIC_COLUMNS) -> DataFrame:
     """AGG-4: mean, median, mode, p25, p75 per column, rounded to 4 places."""
-    long = to_long(features, columns)
-    means = long.groupBy("name").agg(F.avg("value").alias("value")).withColumn("stat", F.lit("mean"))
-    quants = exact_quantiles(long, (0.5, 0.25, 0.75)).select(
+    dist = value_distribution(to_long(features, columns))
+    means = _bounds(dist).select("name", F.col("_mean").alias("value"), F.lit("mean").alias("stat"))
+    quants = _quantiles(dist, (0.5, 0.25, 0.75)).select(
         "name",
         F.when(F.col("p") == 0.5, "median").when(F.col("p") == 0.25, "p25").otherwise("p75").alias("stat"),
         "value",
     )
-    mode_rows = modes(long).withColumn("stat", F.lit("mode"))
+    mode_rows = _modes(dist).withColumn("stat", F.lit("mode"))
+    # A column without any value still has its five rows (0.0).
+    stats_ = [(c, s) for c in columns for s in ("mean", "median", "mode", "p25", "p75")]
+    every = features.sparkSession.createDataFrame(stats_, "name string, stat string")
     stat_order = {"mean": 0, "median": 1, "mode": 2, "p25": 3, "p75": 4}
     col_order = {c: i for i, c in enumerate(columns)}
-    allstats = means.unionByName(quants).unionByName(mode_rows)
+    allstats = every.join(means.unionByName(quants).unionByName(mode_rows), ["name", "stat"], "left")
     position = F.lit(8) + F.lit(5) * F.element_at(
         F.create_map(*[x for c, i in col_order.items() for x in (F.lit(c), F.lit(i))]), F.col("name")
     ) + F.element_at(F.create_map(*[x for s, i in stat_order.items() for x in (F.lit(s), F.lit(i))]), F.col("stat"))
@@ -132,11 +138,14 @@ def quality_statistics(features: DataFrame, columns=STATISTIC_COLUMNS) -> DataFr
 
 def quality_summary(features: DataFrame) -> DataFrame:
     """AGG-3..5: counts, statistics and the imputation note (``text_value``)."""
-    note = features.sparkSession.createDataFrame(
+    return quality_counts(features).unionByName(quality_statistics(features)).unionByName(imputation_note(features.sparkSession))
+
+
+def imputation_note(spark) -> DataFrame:
+    return spark.createDataFrame(
         [("imputation_strategy", None, IMPUTATION_NOTE, 8 + 5 * len(STATISTIC_COLUMNS))],
         "indicator string, value double, text_value string, position int",
     )
-    return quality_counts(features).unionByName(quality_statistics(features)).unionByName(note)
 
 
 def statistics_part(quality: DataFrame) -> DataFrame:
@@ -176,24 +185,27 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 def correlation_matrix(features: DataFrame, columns=FEATURE_COLUMNS + (LABEL_COLUMN,)) -> DataFrame:
     """AGG-8: Pearson matrix with the two-pass (centred) algorithm.
 
-    Pass 1 is one aggregate of per-column mean, min and max (48 numbers,
-    read on the driver).  Pass 2 is one aggregate of plain sums of centred
-    products ``sum((x_i - m_i)(x_j - m_j))`` for the 136 pairs and the 16
-    squares: simple sums keep the aggregate inside whole-stage codegen and
-    merge map-side, and centring first keeps the result accurate.  A
-    constant column (``min = max``) gives null cells, as pandas leaves them
-    blank (plain ``corr`` would divide by zero under ANSI).  Rows with a null
-    in any column are left out; engineered features are never null, so this
-    equals pandas' pairwise rule.  Output ``(row_feature, column_feature,
-    correlation)``.
+    Pass 1 is one aggregate of per-column mean, variation and nulls, read on
+    the driver.  Pass 2 is one aggregate of plain sums of centred products
+    ``sum((x_i - m_i)(x_j - m_j))`` for the 136 pairs and the 16 squares:
+    simple sums keep the aggregate inside whole-stage codegen and merge
+    map-side, and centring first keeps the result accurate.  A constant
+    column (``min = max``) gives null cells, as pandas leaves them blank
+    (plain ``corr`` would divide by zero under ANSI).  Where a column holds
+    nulls each pair uses the rows in which both have a value, as pandas does;
+    that needs the pair's own sums and takes a second form of pass 2.  Output
+    ``(row_feature, column_feature, correlation)``.
     """
     cols = list(columns)
-    complete = features.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
+    complete = features.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     first = complete.agg(
         *[F.avg(f"c{i}").alias(f"m{i}") for i in range(len(cols))],
-        *[(F.max(f"c{i}") > F.min(f"c{i}")).alias(f"v{i}") for i in range(len(cols))],
+        *[F.coalesce(F.max(f"c{i}") > F.min(f"c{i}"), F.lit(False)).alias(f"v{i}") for i in range(len(cols))],
+        F.count_if(F.greatest(*[F.col(f"c{i}").isNull() for i in range(len(cols))])).alias("nulls"),
     ).first()
     varying = [i for i in range(len(cols)) if first[f"v{i}"]]
+    if first["nulls"]:
+        return _pairwise_correlation(complete, cols, varying, first)
     centred = complete.select(*[(F.col(f"c{i}") - F.lit(float(first[f"m{i}"]))).alias(f"d{i}") for i in varying])
     pairs = list(combinations(varying, 2))
     sums = centred.agg(
@@ -213,3 +225,30 @@ def correlation_matrix(features: DataFrame, columns=FEATURE_COLUMNS + (LABEL_COL
         diag = F.lit(1.0) if i in varying else F.lit(None).cast("double")
         cells.append(F.struct(F.lit(c).alias("row_feature"), F.lit(c).alias("column_feature"), diag.alias("correlation")))
     return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def _pairwise_correlation(complete: DataFrame, cols: list[str], varying: list[int], first) -> DataFrame:
+    """Correlations over the rows in which both columns of a pair have a value."""
+    shifted = complete.select(*[(F.col(f"c{i}") - F.lit(float(first[f"m{i}"]))).alias(f"d{i}") for i in varying])
+    pairs = list(combinations(varying, 2))
+    sums = []
+    for i, j in pairs:
+        a, b = F.col(f"d{i}"), F.col(f"d{j}")
+        both = a.isNotNull() & b.isNotNull()
+        for name, value in (("n", F.lit(1.0)), ("a", a), ("b", b), ("aa", a * a), ("bb", b * b), ("ab", a * b)):
+            sums.append(F.coalesce(F.sum(F.when(both, value)), F.lit(0.0)).alias(f"{name}_{i}_{j}"))
+    row = shifted.agg(*sums) if sums else complete.sparkSession.range(1)
+    values = {}
+    for i, j in pairs:
+        n, a, b, aa, bb, ab = (F.col(f"{x}_{i}_{j}") for x in ("n", "a", "b", "aa", "bb", "ab"))
+        spread = (n * aa - a * a) * (n * bb - b * b)
+        values[i, j] = F.when(spread > 0, F.try_divide(n * ab - a * b, F.sqrt(spread)))
+    cells = []
+    for i in range(len(cols)):
+        for j in range(len(cols)):
+            if i == j:
+                value = F.lit(1.0) if i in varying else F.lit(None).cast("double")
+            else:
+                value = values.get((min(i, j), max(i, j)), F.lit(None).cast("double"))
+            cells.append(F.struct(F.lit(cols[i]).alias("row_feature"), F.lit(cols[j]).alias("column_feature"), value.alias("correlation")))
+    return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")

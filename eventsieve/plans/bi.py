@@ -45,6 +45,6 @@ def build_bi_dataset(spark: SparkSession, model_dir: str, output_dir: str, salt:
     put("decisiones_finales", sanitize_decisions(decisions, salt))
     summary = value_counts(decisions, "final_decision")
     put("resumen_decisiones", summary.withColumn("decision_label", underscores_to_spaces("final_decision")))
-    if etl_kpi_path and os.path.exists(etl_kpi_path):
+    if etl_kpi_path:  # a path that is given must be there, on any file system
         put("rendimiento_local", spark.read.json(etl_kpi_path))
     return paths

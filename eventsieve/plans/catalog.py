@@ -2,8 +2,8 @@
 whose columns match the SQL of the same name in ``oracle_sql.py``.
 
 Every query reads the driver tables (``events``) and runs over all rows.
-Shared sub-plans are built per call; Spark reuses identical exchanges
-inside one plan.
+Sub-plans that several jobs of one query read are stored eagerly while the
+query is built.
 """
 
 from __future__ import annotations
@@ -21,14 +21,17 @@ from eventsieve.config import (
     LABEL_RISKY,
     LABEL_VALID,
     MODEL_BASELINE,
+    MODEL_FOREST,
     MODEL_LOGISTIC,
 )
+from eventsieve.functions.text import underscores_to_spaces
 from eventsieve.functions.timestamps import format_millis
 from eventsieve.operators import cleaning, decisions, evaluation, export, features, notifications, rules, scoring, stats
 from eventsieve.operators.indexing import with_global_index
 from eventsieve.plans.oracle_sql import EXPORT_SALT, FILTER_DECISION, FILTER_TYPE, REVIEW_TOP_N
-from eventsieve.session import materialize
-from eventsieve.sources.driver_tables import model_events, raw_events
+from eventsieve.session import materialize, shared_path
+from eventsieve.sinks.writers import render_timestamps
+from eventsieve.sources.driver_tables import dirty_signals, model_events, raw_events
 
 R = DEFAULT_RULES
 PROCESSED_COLUMNS = (
@@ -55,6 +58,11 @@ def _features(spark, sf) -> DataFrame:
     return features.engineer_features(materialize(model_events(spark, sf)))
 
 
+def _types(spark, sf) -> DataFrame:
+    """Cleaned event types, flags and labels without medians or a stored table."""
+    return features.engineer_features(model_events(spark, sf), medians={})
+
+
 def _split(spark, sf) -> DataFrame:
     return scoring.stratified_split(_features(spark, sf))
 
@@ -63,8 +71,14 @@ def _scored(spark, sf) -> DataFrame:
     return _split(spark, sf).withColumn("_p", scoring.REFERENCE_MODEL.probability())
 
 
+def _narrow_scored(spark, sf) -> DataFrame:
+    """Split of ids, labels and probabilities: only these columns are sorted and stored."""
+    scored = _features(spark, sf).withColumn("_p", scoring.REFERENCE_MODEL.probability())
+    return scoring.stratified_split(scored.select("seq", LABEL_COLUMN, "_p"))
+
+
 def _test(spark, sf) -> DataFrame:
-    return _scored(spark, sf).filter(F.col("split") == "test").select(
+    return _narrow_scored(spark, sf).filter(F.col("split") == "test").select(
         F.col(LABEL_COLUMN).alias("label"), F.col("_p").alias("probability")
     )
 
@@ -147,20 +161,21 @@ def q_feature_matrix(spark, sf):
 
 
 def q_event_type_counts(spark, sf):
-    return stats.value_counts(_features(spark, sf), "event_type", blank_label="vacio")
+    typed = features.engineer_features(raw_events(spark, sf), medians={})  # types need no history
+    return stats.value_counts(typed, "event_type", blank_label="vacio")
 
 
 def q_label_counts(spark, sf):
-    feats = _features(spark, sf).withColumn("label", features.label_text())
+    feats = _types(spark, sf).withColumn("label", features.label_text())
     return stats.value_counts(feats, "label")
 
 
 def q_risk_by_event_type(spark, sf):
-    return stats.mean_by_group(_features(spark, sf), "event_type", LABEL_COLUMN, "risk_rate")
+    return stats.mean_by_group(_types(spark, sf), "event_type", LABEL_COLUMN, "risk_rate")
 
 
 def q_distinct_event_types(spark, sf):
-    return stats.distinct_sorted(_features(spark, sf), "event_type")
+    return stats.distinct_sorted(features.engineer_features(raw_events(spark, sf), medians={}), "event_type")
 
 
 def q_quality_summary(spark, sf):
@@ -168,11 +183,11 @@ def q_quality_summary(spark, sf):
 
 
 def q_quality_statistics(spark, sf):
-    return stats.statistics_part(stats.quality_summary(_features(spark, sf)))
+    return stats.statistics_part(stats.quality_statistics(_features(spark, sf)))
 
 
 def q_quality_operational(spark, sf):
-    return stats.operational_part(stats.quality_summary(_features(spark, sf)))
+    return stats.operational_part(stats.quality_counts(_features(spark, sf)).unionByName(stats.imputation_note(spark)))
 
 
 def q_correlation_matrix(spark, sf):
@@ -228,7 +243,7 @@ def q_model_selection(spark, sf):
     """ML-3 / ML-10 / ML-11 on the SQL-checkable candidates."""
     from eventsieve.operators.models import select_model
 
-    scored = _scored(spark, sf)
+    scored = materialize(_narrow_scored(spark, sf))
     train = scored.filter(F.col("split") == "train")
     test = scored.filter(F.col("split") == "test").select(F.col(LABEL_COLUMN).alias("label"), "_p")
     base_p = scoring.baseline_probability(train)
@@ -279,6 +294,30 @@ def q_pseudonymized_export(spark, sf):
     return export.sanitize_decisions(_decisions(spark, sf), EXPORT_SALT)
 
 
+def q_imputed_signals(spark, sf):
+    """AGG-10, NUM-1 and every reason of VAL-1, on signals and ids dirtied by fixed arithmetic."""
+    dirty = features.engineer_features(rules.with_error_reason(cleaning.normalize_events(dirty_signals(raw_events(spark, sf)))))
+    return dirty.select("seq", "event_id", "interaction_velocity_5m", "account_age_days", "historical_report_rate", "error_reason")
+
+
+def q_serialized_events(spark, sf):
+    """SNK-4: timestamps as millisecond text, blank where a date is bad."""
+    return render_timestamps(cleaning.normalize_events(raw_events(spark, sf)).select("seq", "event_id", "created_at", "content"))
+
+
+def q_bi_decision_summary(spark, sf):
+    """JOB-3, STR-4: decision counts with readable labels."""
+    return q_decision_summary(spark, sf).withColumn("decision_label", underscores_to_spaces("final_decision"))
+
+
+def q_etl_job_kpis(spark, sf):
+    """JOB-1: the ETL job over the whole table, its KPI row without the timings."""
+    from eventsieve.plans.etl import run_etl
+
+    result = run_etl(spark, raw_events(spark, sf), shared_path(spark, "etl"), bucketed_tables=False)
+    return result.kpis.drop("input_file", "pipeline_execution_seconds", "processing_rows_per_second", "latency_measurement_type")
+
+
 SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_events": q_clean_events,
     "duplicate_flags": q_duplicate_flags,
@@ -319,10 +358,14 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_top": q_review_top,
     "decision_feed": q_decision_feed,
     "pseudonymized_export": q_pseudonymized_export,
+    "imputed_signals": q_imputed_signals,
+    "serialized_events": q_serialized_events,
+    "bi_decision_summary": q_bi_decision_summary,
+    "etl_job_kpis": q_etl_job_kpis,
 }
 
-def _fitted(spark, sf):
-    """Split features and the three fitted candidates (ML-1..4, ML-6)."""
+def _fitted(spark, sf, names):
+    """Split features and the fitted candidates asked for (ML-1..4, ML-6)."""
     from eventsieve.operators import models
     from eventsieve.plans.modeling import fit_candidates
 
@@ -335,13 +378,13 @@ def _fitted(spark, sf):
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     mean, std = scoring.train_statistics(train)
-    return split, test, mean, std, fit_candidates(train, mean, std, R), models
+    return split, test, mean, std, fit_candidates(train, mean, std, R, names), models
 
 
 def _evaluated(spark, sf, name):
     from eventsieve.plans.modeling import _prepare_for
 
-    _, test, mean, std, cands, models = _fitted(spark, sf)
+    _, test, mean, std, cands, models = _fitted(spark, sf, (name,))
     cand = cands[name]
     return models.evaluate(cand, _prepare_for(cand, test, mean, std), R.threshold)
 
@@ -363,7 +406,7 @@ def q_model_comparison(spark, sf):
     from eventsieve.operators.models import select_model
     from eventsieve.plans.modeling import _prepare_for
 
-    _, test, mean, std, cands, models = _fitted(spark, sf)
+    _, test, mean, std, cands, models = _fitted(spark, sf, (MODEL_BASELINE, MODEL_LOGISTIC, MODEL_FOREST))
     rows = [models.evaluate(c, _prepare_for(c, test, mean, std), R.threshold) for c in cands.values()]
     out = rows[0]
     for r in rows[1:]:
@@ -373,13 +416,13 @@ def q_model_comparison(spark, sf):
 
 def q_feature_weights(spark, sf):
     """ML-14 / SRT-3: weights of the fitted logistic model by |weight|."""
-    _, _, _, _, cands, models = _fitted(spark, sf)
+    _, _, _, _, cands, models = _fitted(spark, sf, (MODEL_LOGISTIC,))
     return models.weights_table(spark, models.feature_weights(cands[MODEL_LOGISTIC]))
 
 
 def q_top_features(spark, sf):
     """SRT-4: the ten largest fitted logistic weights by |weight|."""
-    _, _, _, _, cands, models = _fitted(spark, sf)
+    _, _, _, _, cands, models = _fitted(spark, sf, (MODEL_LOGISTIC,))
     weights = models.weights_table(spark, models.feature_weights(cands[MODEL_LOGISTIC]))
     return decisions.top_rows(weights, [F.desc("abs_weight"), F.col("feature")], 10)
 

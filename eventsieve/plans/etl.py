@@ -19,7 +19,7 @@ from eventsieve.operators.cleaning import clean_transform
 from eventsieve.operators.notifications import calculate_kpis, generate_notifications, recent_views
 from eventsieve.operators.rules import require_min_rows, split_valid_rejected, with_error_reason
 from eventsieve.session import ensure_checkpoint_dir, materialize
-from eventsieve.sinks.writers import render_timestamps, save_bucketed, write_table
+from eventsieve.sinks.writers import render_timestamps, require_outputs, save_bucketed, write_table
 
 
 @dataclass
@@ -39,7 +39,7 @@ def run_etl(
     input_name: str = "events",
     rules: RuleConfig = DEFAULT_RULES,
     fmt: str = "parquet",
-    bucketed_tables: bool = False,
+    bucketed_tables: bool = True,
 ) -> EtlResult:
     started = time.perf_counter()
     ensure_checkpoint_dir(spark)
@@ -70,6 +70,9 @@ def run_etl(
         save_bucketed(render_timestamps(valid), "validated_events", os.path.join(output_dir, "tables", "validated_events"),
                       "target_user_id", "event_id")
 
+        save_bucketed(render_timestamps(rejected), "rejected_events", os.path.join(output_dir, "tables", "rejected_events"),
+                      "event_type", "event_id")
+
     kpis = calculate_kpis(rejected, notes)
     kpi_row = kpis.first()
     seconds = max(time.perf_counter() - started, 1e-9)
@@ -83,4 +86,6 @@ def run_etl(
         "processing_rows_per_second double,latency_measurement_type string",
     )
     write_table(measured.coalesce(1), outputs["kpi_report"], "json" if fmt == "parquet" else fmt)
+    # SNK-7: the tables that must exist do; empty ones are fine where no row qualifies.
+    require_outputs(spark, {n: p for n, p in outputs.items() if n != "kpi_report"}, fmt, may_be_empty=set(outputs) - {"events_processed"})
     return EtlResult(checked, valid, rejected, notes, measured, outputs)

@@ -18,6 +18,7 @@ from eventsieve.config import (
     LABEL_COLUMN,
     LABEL_RISKY,
     LABEL_VALID,
+    MODEL_BASELINE,
     MODEL_FOREST,
     MODEL_LOGISTIC,
     REQUIRED_MODEL_COLUMNS,
@@ -30,6 +31,7 @@ from eventsieve.session import ensure_checkpoint_dir, materialize
 from eventsieve.operators.export import decision_feed
 from eventsieve.sinks.writers import write_table
 
+TARGET_DEFINITION = "1 = rule risk (type, users, date, repeat) or history risk (velocity, report rate, young and reported)"
 SELECTION_POLICY = "mayor F1; preferir regresion logistica si queda a 0.03 o menos del mejor F1"
 
 Z_COLUMNS = tuple(f"{c}_z" for c in FEATURE_COLUMNS)
@@ -50,6 +52,8 @@ class TrainResult:
     correlation: DataFrame
     new_event_predictions: DataFrame
     candidates: dict = field(default_factory=dict)
+    features: DataFrame | None = None
+    confusions: DataFrame | None = None
     linear_model: scoring.LinearModel | None = None
 
 
@@ -59,11 +63,16 @@ def _prepare(df: DataFrame, name: str, mean, std) -> DataFrame:
     return models.assemble(df)
 
 
-def fit_candidates(train: DataFrame, mean, std, rules: RuleConfig) -> dict[str, models.FittedCandidate]:
-    baseline = models.fit_baseline(train)
-    logistic = models.fit_logistic(_prepare(train, MODEL_LOGISTIC, mean, std), rules)
-    forest = models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), rules)
-    return {c.name: c for c in (baseline, logistic, forest)}
+def fit_candidates(
+    train: DataFrame, mean, std, rules: RuleConfig, names: tuple[str, ...] = (MODEL_BASELINE, MODEL_LOGISTIC, MODEL_FOREST)
+) -> dict[str, models.FittedCandidate]:
+    """Fit the candidates asked for, no others."""
+    fits = {
+        MODEL_BASELINE: lambda: models.fit_baseline(train),
+        MODEL_LOGISTIC: lambda: models.fit_logistic(_prepare(train, MODEL_LOGISTIC, mean, std), rules),
+        MODEL_FOREST: lambda: models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), rules),
+    }
+    return {name: fits[name]() for name in names}
 
 
 def linear_from_logistic(candidate: models.FittedCandidate, mean, std) -> scoring.LinearModel:
@@ -78,7 +87,11 @@ def run_model_job(
     rules: RuleConfig = DEFAULT_RULES,
     output_dir: str | None = None,
     dataset_source: str = "events",
+    new_events: DataFrame | None = None,
 ) -> TrainResult:
+    """Fit, compare, select and decide; ``new_events`` (raw rows, signals
+    optional) are scored by the fitted linear model with the training medians.
+    Without ``new_events`` that table is empty."""
     require_columns(events, REQUIRED_MODEL_COLUMNS)
     require_min_rows(events, rules.minimum_input_rows)
     ensure_checkpoint_dir(spark)
@@ -99,6 +112,14 @@ def run_model_job(
     selected = comparison.filter(F.col("selected") == 1).first()["model"]
     chosen = candidates[selected]
 
+    confusions = None
+    for cand in candidates.values():
+        one = models.predict(cand, _prepare_for(cand, test, mean, std)).select(
+            F.col(LABEL_COLUMN).alias("label"), F.col("probability_risky").alias("probability")
+        )
+        one = evaluation.confusion_matrix(one, threshold=rules.threshold).select(F.lit(cand.name).alias("model"), "*")
+        confusions = one if confusions is None else confusions.unionByName(one)
+
     test_scored = models.predict(chosen, _prepare_for(chosen, test, mean, std))
     labelled = test_scored.select(F.col(LABEL_COLUMN).alias("label"), F.col("probability_risky").alias("probability"))
     metrics = comparison.filter(F.col("selected") == 1).drop("model", "selected", "training_seconds", "inference_seconds")
@@ -129,10 +150,11 @@ def run_model_job(
         F.col("probability_risky"), rules, keep=("seq",) if "seq" in all_scored.columns else (),
     )
     linear = linear_from_logistic(candidates[MODEL_LOGISTIC], mean, std)
-    new_events = scoring.score_linear(
-        features.engineer_features(events.drop("interaction_velocity_5m", "account_age_days", "historical_report_rate"), rules),
-        linear, rules.threshold,
-    ).select(*[c for c in ("seq", "event_id", "event_type", "source_user_id", "target_user_id", "created_at", "content", "is_duplicate") if c in events.columns], "risk_probability", "prediction")
+    unseen = new_events if new_events is not None else events.limit(0)
+    kept = ("seq", "event_id", "event_type", "source_user_id", "target_user_id", "created_at", "content", "is_duplicate")
+    scored_new = scoring.score_linear(features.engineer_features(unseen, rules, medians), linear, rules.threshold).select(
+        *[c for c in kept if c in unseen.columns], "risk_probability", "prediction"
+    )
 
     result = TrainResult(
         selected_model=selected,
@@ -144,9 +166,11 @@ def run_model_job(
         test_predictions=test_predictions,
         performance=performance,
         decisions=decided,
-        quality=stats.quality_summary(feats),
-        correlation=stats.correlation_matrix(feats),
-        new_event_predictions=new_events,
+        quality=stats.quality_summary(split),
+        correlation=stats.correlation_matrix(split),
+        new_event_predictions=scored_new,
+        features=split.select(*[c for c in ("seq", "event_id") if c in split.columns], *FEATURE_COLUMNS, LABEL_COLUMN),
+        confusions=confusions,
         candidates=candidates,
         linear_model=linear,
     )
@@ -173,6 +197,8 @@ def write_outputs(result: TrainResult, output_dir: str) -> dict[str, str]:
         "quality_summary": result.quality,
         "correlation_matrix": result.correlation,
         "new_event_predictions": result.new_event_predictions,
+        "feature_matrix": result.features,
+        "confusion_matrix_by_model": result.confusions,
     }
     paths = {}
     for name, df in tables.items():
@@ -190,9 +216,10 @@ def write_outputs(result: TrainResult, output_dir: str) -> dict[str, str]:
     meta = spark.createDataFrame(
         [(result.selected_model, SELECTION_POLICY, LABEL_COLUMN, list(FEATURE_COLUMNS),
           [round(lm.intercept, 8), *[round(w, 8) for w in lm.weights]] if lm else [],
-          [round(m, 8) for m in lm.mean] if lm else [], [round(x, 8) for x in lm.std] if lm else [])],
+          [round(m, 8) for m in lm.mean] if lm else [], [round(x, 8) for x in lm.std] if lm else [],
+          TARGET_DEFINITION, result.metrics.toJSON().first(), result.performance.toJSON().first())],
         "model string, selection_policy string, target string, feature_columns array<string>, "
-        "weights array<double>, mean array<double>, std array<double>",
+        "weights array<double>, mean array<double>, std array<double>, target_definition string, metrics string, performance string",
     ).withColumn("generated_at_utc", F.current_timestamp())
     paths["model_metadata"] = os.path.join(output_dir, "model_metadata")
     write_table(meta, paths["model_metadata"], "json")

@@ -203,6 +203,32 @@ PROCESSED_COLS = "seq, event_id, event_type, source_user_id, target_user_id, " +
 FEATURE_LIST = ", ".join(FEATURE_COLUMNS)
 
 
+_KPI_SQL = """
+SELECT count(*) AS events_processed, CAST(count_if(error_reason = '') AS BIGINT) AS valid_events,
+       CAST(count_if(error_reason <> '') AS BIGINT) AS rejected_events,
+       (SELECT count(*) FROM notes) AS notifications_generated,
+       round(coalesce(100.0::DOUBLE * (SELECT count_if(delivery_status = 'sent') FROM notes)
+                      / nullif((SELECT count(*) FROM notes), 0), 0.0), 2) AS delivery_success_rate_pct,
+       round(coalesce(100.0::DOUBLE * count_if(error_reason <> '') / nullif(count(*), 0), 0.0), 2) AS error_rate_pct,
+       round(coalesce((SELECT avg(CAST(latency_seconds AS DOUBLE)) FROM notes), 0.0), 2) AS avg_latency_seconds,
+       round(coalesce(100.0::DOUBLE * count_if(error_reason = '') / nullif(count(*), 0), 0.0), 2) AS completeness_rate_pct{more}
+FROM {source}"""
+
+
+_IMPUTED_SQL = f"""
+SELECT seq, eid AS event_id, coalesce(v, quantile_cont(v, 0.5) OVER ()) AS interaction_velocity_5m,
+       coalesce(a, quantile_cont(a, 0.5) OVER ()) AS account_age_days, 0.0::DOUBLE AS historical_report_rate,
+       concat_ws('; ',
+         CASE WHEN eid = '' THEN 'event_id vacio' END,
+         CASE WHEN event_type NOT IN ({ALLOWED}) THEN 'tipo de evento invalido' END,
+         CASE WHEN source_user_id = '' THEN 'source_user_id vacio' END,
+         CASE WHEN target_user_id = '' THEN 'target_user_id vacio' END,
+         CASE WHEN created_at IS NULL THEN 'fecha invalida' END) AS error_reason
+FROM (SELECT *, CASE WHEN seq % 50 = 0 THEN '' ELSE event_id END AS eid,
+             CASE WHEN seq % 11 >= 4 THEN CAST(seq % 61 AS DOUBLE) END AS v,
+             CASE WHEN seq % 13 <> 0 THEN seq % 700 + 0.5::DOUBLE END AS a FROM norm)"""
+
+
 def _metrics_sql(score_expr_table: str) -> str:
     """ML-7 over a table with ``score``/``pos``/``neg``/``cum_pos``/``cum_neg``."""
     t = R.threshold
@@ -283,11 +309,12 @@ def _correlation_sql() -> str:
 def _roc_sql() -> str:
     return with_ctes(
         """
-SELECT cum_neg / greatest(1, (SELECT count_if(label = 0) FROM test))::DOUBLE AS false_positive_rate,
+SELECT row_number() OVER (ORDER BY score DESC) AS point,
+       cum_neg / greatest(1, (SELECT count_if(label = 0) FROM test))::DOUBLE AS false_positive_rate,
        cum_pos / greatest(1, (SELECT count_if(label = 1) FROM test))::DOUBLE AS true_positive_rate
 FROM roc
-UNION ALL SELECT 0.0::DOUBLE, 0.0::DOUBLE
-UNION ALL SELECT count_if(label = 0) / greatest(1, count_if(label = 0))::DOUBLE,
+UNION ALL SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+UNION ALL SELECT (SELECT count(*) + 1 FROM roc), count_if(label = 0) / greatest(1, count_if(label = 0))::DOUBLE,
                  count_if(label = 1) / greatest(1, count_if(label = 1))::DOUBLE FROM test""",
         "roc",
     )
@@ -333,19 +360,8 @@ def oracle_queries() -> dict[str, str]:
             "SELECT error_reason, count(*) AS count FROM checked WHERE error_reason <> '' GROUP BY 1", "checked"
         ),
         "notifications": with_ctes("SELECT * FROM notes", "notes"),
-        "kpi_report": with_ctes(
-            """
-SELECT count(*) AS events_processed, CAST(count_if(error_reason = '') AS BIGINT) AS valid_events,
-       CAST(count_if(error_reason <> '') AS BIGINT) AS rejected_events,
-       (SELECT count(*) FROM notes) AS notifications_generated,
-       round(coalesce(100.0::DOUBLE * (SELECT count_if(delivery_status = 'sent') FROM notes)
-                      / nullif((SELECT count(*) FROM notes), 0), 0.0), 2) AS delivery_success_rate_pct,
-       round(coalesce(100.0::DOUBLE * count_if(error_reason <> '') / nullif(count(*), 0), 0.0), 2) AS error_rate_pct,
-       round(coalesce((SELECT avg(CAST(latency_seconds AS DOUBLE)) FROM notes), 0.0), 2) AS avg_latency_seconds,
-       round(coalesce(100.0::DOUBLE * count_if(error_reason = '') / nullif(count(*), 0), 0.0), 2) AS completeness_rate_pct
-FROM checked""",
-            "checked", "notes",
-        ),
+        "kpi_report": with_ctes(_KPI_SQL.format(more="", source="checked"), "checked", "notes"),
+        "etl_job_kpis": with_ctes(_KPI_SQL.format(more=", (SELECT count(*) FROM raw) AS input_rows", source="checked"), "checked", "notes"),
         "recent_events": with_ctes(
             f"SELECT {PROCESSED_COLS}, row_number() OVER (ORDER BY created_at DESC, event_id) - 1 AS position FROM valid",
             "valid",
@@ -433,6 +449,11 @@ FROM checked""",
         "rule_reasons": with_ctes("SELECT seq, event_id, rule_error_reason FROM reasons", "reasons"),
         "final_decisions": with_ctes("SELECT * FROM decisions", "decisions"),
         "decision_summary": with_ctes("SELECT final_decision, count(*) AS count FROM decisions GROUP BY 1", "decisions"),
+        "bi_decision_summary": with_ctes(
+            "SELECT final_decision, count(*) AS count, replace(final_decision, '_', ' ') AS decision_label FROM decisions GROUP BY 1", "decisions"
+        ),
+        "serialized_events": with_ctes(f"SELECT seq, event_id, {ms('created_at')} AS created_at, content FROM norm", "norm"),
+        "imputed_signals": with_ctes(_IMPUTED_SQL, "norm"),
         "decision_group_counts": with_ctes(
             "SELECT CASE WHEN coalesce(rule_error_reason, '') = '' THEN 'sin_valor' ELSE rule_error_reason END AS rule_error_reason, "
             "count(*) AS count FROM decisions GROUP BY 1",

@@ -7,12 +7,16 @@ failure replaces partial output (tasks that die are retried by Spark).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventsieve.functions.timestamps import format_millis
 
 
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def render_timestamps(df: DataFrame) -> DataFrame:
     """SNK-4: every timestamp column as ``yyyy-MM-dd HH:mm:ss.SSS`` text ('' for null)."""
     ts_cols = {f.name for f in df.schema.fields if f.dataType.typeName() in ("timestamp", "timestamp_ntz")}
@@ -50,7 +54,23 @@ def verify_outputs(spark: SparkSession, paths: dict[str, str], fmt: str = "parqu
     status = {}
     for name, path in paths.items():
         try:
-            status[name] = spark.read.format(fmt).load(path).limit(1).count() > 0
-        except Exception:  # noqa: BLE001 - missing path is a failed check
+            status[name] = not spark.read.format(fmt).load(path).isEmpty()
+        except AnalysisException as exc:
+            if exc.getCondition() not in MISSING:
+                raise
             status[name] = False
     return status
+
+
+def require_outputs(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", may_be_empty=()) -> None:
+    """Raise unless every table exists and, but for ``may_be_empty``, has a row."""
+    missing = []
+    for name, path in paths.items():
+        try:
+            if spark.read.format(fmt).load(path).isEmpty() and name not in may_be_empty:
+                missing.append(name)
+        except AnalysisException as exc:
+            if exc.getCondition() not in MISSING or name not in may_be_empty:
+                raise
+    if missing:
+        raise RuntimeError(f"empty outputs: {', '.join(sorted(missing))}")

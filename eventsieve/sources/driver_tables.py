@@ -90,3 +90,21 @@ def model_events(spark, sf_dir: str, rules: RuleConfig = DEFAULT_RULES) -> DataF
         signals, ("interaction_velocity_5m", "account_age_days", "historical_report_rate")
     )
     return risk_labels(flag_duplicates(raw), rules)
+
+
+# Fixed values of the dirtied signals: text that is no number, by remainder of seq.
+BAD_NUMBERS = ("abc", "nan", "5d", "")
+BLANK_ID_EVERY = 50
+
+
+def dirty_signals(raw: DataFrame) -> DataFrame:
+    """Raw events with text signals, some of which are no numbers, and some blank ids."""
+    seq = F.col("seq")
+    bad = F.element_at(F.array(*[F.lit(x) for x in BAD_NUMBERS]), (seq % len(BAD_NUMBERS) + 1).cast("int"))
+    is_bad = seq % 11 < 4
+    return raw.withColumns({
+        "event_id": F.when(seq % BLANK_ID_EVERY == 0, F.lit(" ")).otherwise(F.col("event_id")),
+        "interaction_velocity_5m": F.when(is_bad, bad).otherwise((seq % 61).cast("string")),
+        "account_age_days": F.when(seq % 13 == 0, F.lit(" x")).otherwise(F.concat((seq % 700).cast("string"), F.lit(".5"))),
+        "historical_report_rate": F.lit("none"),
+    })

@@ -8,8 +8,10 @@ is bounded by the watermark delay).  The global newest-first position
 (WIN-1) needs the whole table and is not available on a stream.
 
 Each micro-batch is routed to ``valid/`` and ``rejected/`` by
-``foreachBatch``; the checkpoint location makes the sink exactly-once
-across restarts.
+``foreachBatch``, below a folder of its batch id that is overwritten: a batch
+that is tried again after a failure replaces what it had written.  Rows later
+than the watermark are dropped by the deduplication and reach neither;
+``late_rows`` counts them.
 """
 
 from __future__ import annotations
@@ -56,12 +58,18 @@ def start_validation_stream(
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        batch.filter(F.col("error_reason") == "").drop("error_reason").write.mode("append").parquet(
-            os.path.join(output_dir, "valid")
-        )
-        batch.filter(F.col("error_reason") != "").write.mode("append").parquet(os.path.join(output_dir, "rejected"))
+        for name, rows in (
+            ("valid", batch.filter(F.col("error_reason") == "").drop("error_reason")),
+            ("rejected", batch.filter(F.col("error_reason") != "")),
+        ):
+            rows.write.mode("overwrite").parquet(os.path.join(output_dir, name, f"batch_id={batch_id}"))
         batch.unpersist()
 
     writer = checked.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def late_rows(query) -> int:
+    """Rows the watermark dropped in the batches that the query still reports on."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", []))

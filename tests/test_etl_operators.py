@@ -2,12 +2,15 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from eventsieve.functions.timestamps import format_millis
+from eventsieve.functions.numeric import parse_number
+from eventsieve.functions.timestamps import format_millis, parse_timestamp
 from eventsieve.operators.cleaning import clean_transform, flag_duplicates
 from eventsieve.operators.notifications import calculate_kpis, generate_notifications, recent_views
 from eventsieve.operators.rules import QualityGateError, require_columns, require_min_rows, validate_events
+from eventsieve.sources.readers import read_raw_csv
 from tests.conftest import rows
 
 RAW_SCHEMA = "event_id string, event_type string, source_user_id string, target_user_id string, created_at string, content string"
@@ -18,7 +21,7 @@ def test_clean_trims_lowers_and_keeps_first_duplicate(spark):
         [(" evt-001 ", "LIKE", " u01 ", " u02 ", "2026-05-14 10:00:00", ""),
          ("evt-001", "like", "u01", "u02", "2026-05-14 10:00:00", "")],
         RAW_SCHEMA,
-    )
+    ).coalesce(1).withColumn("seq", F.monotonically_increasing_id())
     out = clean_transform(raw).collect()
     assert len(out) == 1
     row = out[0]
@@ -28,7 +31,7 @@ def test_clean_trims_lowers_and_keeps_first_duplicate(spark):
 
 
 def test_trim_strips_unicode_whitespace_like_python(spark):
-    raw = spark.createDataFrame([("\tevt-9 ", " follow\n", "u1", "u2", "2026-05-14 10:00:00", "")], RAW_SCHEMA)
+    raw = spark.createDataFrame([("\tevt-9 ", " follow\n", "u1", "u2", "2026-05-14 10:00:00", "")], RAW_SCHEMA).withColumn("seq", F.lit(0))
     row = clean_transform(raw).first()
     assert row.event_id == "evt-9" and row.event_type == "follow"
 
@@ -36,7 +39,7 @@ def test_trim_strips_unicode_whitespace_like_python(spark):
 def test_missing_required_column_is_created_blank(spark):
     raw = spark.createDataFrame([("e1", "like", "u1", "u2", "2026-05-14 10:00:00")],
                                 "event_id string, event_type string, source_user_id string, target_user_id string, created_at string")
-    assert clean_transform(raw).first().content == ""
+    assert clean_transform(raw.withColumn("seq", F.lit(0))).first().content == ""
 
 
 def test_validation_routes_rows_with_ordered_reasons(spark):
@@ -158,3 +161,35 @@ def test_timestamp_math_ignores_session_zone(spark):
         assert row.us == int((datetime(2024, 3, 10, 1, 59, 59) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_unique_ids_all_survive_whatever_the_partitions(spark, tmp_path):
+    wide = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(k))), 512) for k in range(4)])
+    raw = spark.range(200_000).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("like").alias("event_type"), F.lit("u").alias("source_user_id"),
+        F.lit("v").alias("target_user_id"), F.lit("2026-05-14 10:00:00").alias("created_at"), wide.alias("content"),
+    ).repartition(13, "event_id")
+    with pytest.raises(ValueError, match="no order"):
+        clean_transform(raw)
+    raw.write.parquet(str(tmp_path / "raw"))
+    scan = spark.read.parquet(str(tmp_path / "raw"))
+    assert clean_transform(scan).count() == 200_000
+    assert flag_duplicates(scan).agg(F.sum("is_duplicate")).first()[0] == 0
+
+
+def test_first_file_wins_even_if_it_is_the_smaller(spark, tmp_path):
+    head = "event_id,event_type,source_user_id,target_user_id,created_at,content\n"
+    (tmp_path / "part-0.csv").write_text(head + "e1,like,first,v,2026-05-14,\n")
+    (tmp_path / "part-1.csv").write_text(head + "e1,like,second,v,2026-05-14,\n" + "".join(f"x{i},like,u,v,2026-05-14,{'y' * 50}\n" for i in range(3000)))
+    rows_ = clean_transform(read_raw_csv(spark, str(tmp_path / "*.csv"))).filter("event_id = 'e1'").collect()
+    assert [r.source_user_id for r in rows_] == ["first"]
+
+
+def test_numbers_and_dates_take_only_the_listed_forms(spark):
+    numbers = {"5d": None, "5f": None, "abc": None, "nan": None, "": None, " 7 ": 7.0, "1e3": 1000.0, ".5": 0.5, "-2.": -2.0, "inf": float("inf"), "0x1p3": None}
+    df = spark.createDataFrame([(k,) for k in numbers], "t string")
+    assert {r.t: r.n for r in df.select("t", parse_number("t").alias("n")).collect()} == numbers
+    dates = {"2026": False, "2026-05": False, "2026-05-14 10:00:00+05:00": False, "2026-05-14T10:00:00Z": False, "2026-05-14": True, "2026-05-14 10:00": True,
+             "2026-05-14T10:00:00.123456": True, "2026-02-30": False, "fecha-invalida": False}
+    df = spark.createDataFrame([(k,) for k in dates], "t string")
+    assert {r.t: r.ok for r in df.select("t", parse_timestamp("t").isNotNull().alias("ok")).collect()} == dates

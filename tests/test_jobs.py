@@ -33,7 +33,9 @@ def test_etl_job_writes_and_verifies(spark, out):
 
 
 def test_model_and_bi_jobs(spark, out):
-    res = run_model_job(spark, model_events(spark, SF_SMALL), output_dir=os.path.join(out, "model"))
+    res = run_model_job(spark, model_events(spark, SF_SMALL), output_dir=os.path.join(out, "model"), new_events=raw_events(spark, SF_SMALL).limit(40))
+    assert res.new_event_predictions.count() == 40 and res.features.count() == 1000
+    assert res.confusions.select("model").distinct().count() == 3
     cmp = res.comparison.collect()
     assert len(cmp) == 3 and sum(r.selected for r in cmp) == 1
     assert res.selected_model in {r.model for r in cmp}
@@ -59,7 +61,7 @@ def test_readers(spark, out):
     path = os.path.join(out, "raw.csv")
     with open(path, "w", encoding="utf-8") as fh:
         fh.write('event_id,event_type,content\nevt-1,like,"a, ""quoted""\nline"\nevt-2,NA,null\n')
-    rows = {r.event_id: r for r in read_raw_csv(spark, path).collect()}
+    rows = {r.event_id: r for r in read_raw_csv(spark, path, multi_line=True).collect()}
     assert rows["evt-1"].content == 'a, "quoted"\nline'
     assert (rows["evt-2"].event_type, rows["evt-2"].content) == ("", "")
     xlsx = os.path.join(out, "raw.xlsx")

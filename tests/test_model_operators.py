@@ -51,7 +51,9 @@ def test_auc_four_points(spark):
     scored = spark.createDataFrame([(0, 0.1), (0, 0.4), (1, 0.35), (1, 0.8)], "label int, probability double")
     m = classification_metrics(scored).first()
     assert m.roc_auc == 0.75 and m.gini == 0.5
-    pts = sorted((r[0], r[1]) for r in roc_curve(scored).collect())
+    points = sorted(roc_curve(scored).collect())
+    assert [r.point for r in points] == list(range(6))
+    pts = [(r.false_positive_rate, r.true_positive_rate) for r in points]
     assert pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0) and len(pts) == 6
 
 

@@ -40,14 +40,14 @@ def test_prefix_sums(events):
         assert got[r.event_id] == pytest.approx(r.cum, rel=1e-12)
 
 
-@pytest.mark.parametrize("bucket", [300, 900, 3600])
-def test_history_signals_equal_per_user_windows(spark, events, bucket):
-    rules = RuleConfig(history_bucket_seconds=bucket)
+@pytest.mark.parametrize("window", [300, 900, 3600])
+def test_history_signals_equal_per_user_windows(spark, events, window):
+    rules = RuleConfig(velocity_window_seconds=window)
     ours = history_signals(events, "user_id", "ts", "event_id", F.col("event_type") == "error", rules)
     events.createOrReplaceTempView("ev_hist")
-    plain = spark.sql("""
+    plain = spark.sql(f"""
       SELECT event_id,
-        count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS v,
+        count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {window} SECONDS PRECEDING AND CURRENT ROW) AS v,
         timestampdiff(DAY, min(ts) OVER (PARTITION BY user_id), ts) AS age,
         coalesce(avg(CASE WHEN event_type = 'error' THEN 1.0D ELSE 0.0D END) OVER (
           PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0D) AS rate
@@ -63,7 +63,7 @@ def test_history_signals_equal_per_user_windows(spark, events, bucket):
 def test_history_with_a_hot_user(spark, events):
     """One user holding a third of the rows, with dense timestamps."""
     hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
-    ours = history_signals(hot, "user_id", "ts", "event_id", F.col("event_type") == "error", RuleConfig(history_bucket_seconds=600))
+    ours = history_signals(hot, "user_id", "ts", "event_id", F.col("event_type") == "error", RuleConfig())
     hot.createOrReplaceTempView("ev_hot")
     plain = spark.sql("""SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
         RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS v FROM ev_hot""")
@@ -89,3 +89,42 @@ def test_stratified_split_sizes(spark, events):
     for label, total in n.items():
         assert sizes[(label, "test")] == max(1, round(total * 0.3))
         assert sizes[(label, "test")] + sizes[(label, "train")] == total
+
+
+def test_null_users_and_times_are_rows_like_others(spark):
+    rows = [(1, None, "2026-01-01 00:00:00", 1), (2, None, "2026-02-01 00:00:00", 0), (3, "u", None, 1), (4, "u", None, 0), (5, "u", "2026-01-01 00:00:00", 0)]
+    df = spark.createDataFrame(rows, "event_id long, user_id string, t string, r int").withColumn("ts", F.col("t").try_cast("timestamp_ntz"))
+    got = {r.event_id: (r.interaction_velocity_5m, r.account_age_days, r.historical_report_rate)
+           for r in history_signals(df, "user_id", "ts", "event_id", F.col("r") == 1).collect()}
+    assert got == {1: (1, 0, 0.0), 2: (1, 31, 1.0), 3: (2, None, 0.0), 4: (2, None, 1.0), 5: (1, 0, 0.5)}
+
+
+def test_a_burst_of_one_user_costs_linear_time(spark):
+    import time
+
+    took = []
+    for n in (8_000, 64_000):
+        df = spark.range(n).select(F.col("id").alias("event_id"), F.lit(1).alias("user_id"),
+                                   F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(id % 250 as decimal(18,6)))").alias("ts"))
+        t = time.perf_counter()
+        assert history_signals(df, "user_id", "ts", "event_id", F.lit(False)).agg(F.max("interaction_velocity_5m")).first()[0] == n
+        took.append(time.perf_counter() - t)
+    assert took[1] < 8 * max(took[0], 1.0)
+
+
+def test_null_groups_and_labels_keep_their_rows(spark, events):
+    df = events.withColumn("event_type", F.when(F.col("event_id") % 3 > 0, F.col("event_type")))
+    assert with_rank_within(df, "event_type", [F.col("event_id")], "r").count() == events.count()
+    labelled = events.select(F.col("event_id").alias("seq"), F.when(F.col("event_id") % 3 > 0, F.lit(1)).alias("label_risky_event"))
+    assert stratified_split(labelled).count() == events.count()
+
+
+def test_correlation_of_columns_with_nulls_is_pairwise(spark, events):
+    from eventsieve.operators.stats import correlation_matrix
+
+    df = events.select(F.when(F.col("event_id") % 5 > 0, F.col("value")).alias("a"), (F.col("value") * 2 + F.col("user_id")).alias("b"),
+                       F.when(F.col("event_id") % 7 > 0, F.col("user_id").cast("double")).alias("c"), F.lit(1.0).alias("k"))
+    got = {(r[0], r[1]): r[2] for r in correlation_matrix(df, ("a", "b", "c", "k")).collect()}
+    expected = df.toPandas().corr()
+    for (x, y), v in got.items():
+        assert v is None if "k" in (x, y) else v == pytest.approx(expected.loc[x, y], abs=1e-9)
