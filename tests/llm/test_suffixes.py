@@ -76,3 +76,29 @@ def test_edges(spark):
     assert (row.n_bytes, row.n_removed, row.n_spans, row.kept) == (250, 250, 1, b"")
     with pytest.raises(ValueError):
         S.remove_repeats(clash, length=20, gram=15)
+
+
+def test_leads_that_fill_several_ranges_are_spread_and_stay_exact(spark, monkeypatch):
+    rng = random.Random(11)
+    hot = "the same opening of forty bytes or more, " + "".join(rng.choices("abcdefgh ", k=60))
+    rows = []
+    for i in range(300):
+        at = rng.randrange(len(hot))
+        rows.append((i, "".join(rng.choices("xyz ", k=rng.randint(0, 30))) + hot[: rng.choice([70, len(hot)])] + hot[at:] + rng.choice("PQRS") * 3))
+
+    def repeated(texts, buckets, length, gram):
+        got = S.np.unique(real(texts, 17, length, gram))
+        return S.np.sort(S.np.repeat(got, 5))
+
+    real = S.sample_splitters
+    monkeypatch.setattr(S, "sample_splitters", repeated)
+    monkeypatch.setattr(S, "MOST_CELLS", 32)
+    spread = S.np.array([5, 5, 5, 9], S.np.uint64)
+    leads = S.np.array([4, 5, 5, 5, 6, 9, 10], S.np.uint64)
+    assert S.bucket_of(leads, S.np.arange(7).astype(S.np.uint64), spread).tolist() == [0, 1, 2, 0, 3, 3, 4]
+    buckets = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert run(spark, rows, length=40, gram=12) == expected(rows, 40)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", buckets)
