@@ -5,6 +5,7 @@ tests skip when the reference copy is absent.
 """
 
 import csv
+import glob
 import os
 
 import pytest
@@ -35,7 +36,8 @@ def read_csv_rows(path):
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    return read_raw_csv(spark, ref("ai/notifyops_ai_events.csv"))
+    (path,) = glob.glob(ref("ai/*_events.csv"))
+    return read_raw_csv(spark, path)
 
 
 def test_etl_counts_and_notifications(spark, raw):
