@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from eventsieve.plans import catalog  # noqa: E402
-from eventsieve.session import get_spark  # noqa: E402
+from eventsieve.session import get_spark, scratch_tables  # noqa: E402
 
 HEADLINE = [
     "kpi_report",
@@ -66,8 +66,9 @@ def main() -> None:
     timings = {}
     for name in only or HEADLINE + FITTING:
         started = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - started, 3)
+        with scratch_tables(spark):
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - started, 3)
         spark.catalog.clearCache()
 
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,10 @@ def shared_path(spark: SparkSession, name: str = "table") -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Paths of the copies stored by this driver and not yet deleted.
+_STORED: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage before several jobs read the same frame.
 
@@ -73,6 +79,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark)
     df.write.mode("overwrite").parquet(path)
+    _STORED.append(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_path = path
     return stored
@@ -88,5 +95,18 @@ def release(*stored: DataFrame) -> None:
     """Delete stored copies that no later job reads."""
     for df in stored:
         path = getattr(df, "_stored_path", None)
-        if path:
+        if path in _STORED:
+            _STORED.remove(path)
             delete_path(df.sparkSession, path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving all copies stored inside; results must have been written by then."""
+    before = set(_STORED)
+    try:
+        yield
+    finally:
+        for path in [p for p in _STORED if p not in before]:
+            _STORED.remove(path)
+            delete_path(spark, path)

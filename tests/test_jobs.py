@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from eventsieve.plans.bi import build_bi_dataset
 from eventsieve.plans.etl import run_etl
 from eventsieve.plans.modeling import run_model_job
+from eventsieve.session import ensure_checkpoint_dir, scratch_tables
 from eventsieve.sinks.writers import verify_outputs
 from eventsieve.sources.driver_tables import model_events, raw_events
 from eventsieve.sources.readers import SourceFormatError, read_raw_csv, read_raw_events
@@ -70,3 +71,28 @@ def test_readers(spark, out):
         read_raw_events(spark, xlsx)
     with pytest.raises(FileNotFoundError):
         read_raw_events(spark, os.path.join(out, "missing.csv"))
+
+
+def test_stored_copies_are_deleted_when_a_job_is_over(spark, out):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with scratch_tables(spark):
+        res = run_etl(spark, raw_events(spark, SF_SMALL), os.path.join(out, "etl2"), bucketed_tables=False)
+        assert any(n.startswith("table-") for n in set(os.listdir(folder)) - before)
+        assert res.processed.count() == 960
+    assert not [n for n in set(os.listdir(folder)) - before if n.startswith("table-")]
+    assert spark.read.parquet(res.outputs["events_processed"]).count() == 960
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    def session(master, registered=None, configured=None):
+        conf = SimpleNamespace(get=lambda key, default=None: configured)
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: registered, setCheckpointDir=lambda p: None)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session("spark://host:7077"))
+    assert ensure_checkpoint_dir(session("yarn", configured="hdfs:///ck")) == "hdfs:///ck"
+    assert ensure_checkpoint_dir(session("yarn", "hdfs:///own", "hdfs:///ck")) == "hdfs:///own"
