@@ -268,8 +268,14 @@ def joined(spans: list[Span]) -> str:
 def fit_on(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on a bounded, repeatable sample of documents that hold a digit or an at sign."""
     text = F.col("text").cast("string")
-    sample = docs.filter(text.rlike("[0-9@]")).select(text.alias("t"), F.xxhash64("doc_id").alias("h")).orderBy("h", "t").limit(rows)
-    texts = [r["t"] for r in sample.select("t").collect()]
+    suspect = docs.filter(text.rlike("[0-9@]")).select(text.alias("t"), F.xxhash64("doc_id").alias("h"))
+    found = suspect.count()
+    if not found:
+        return None
+    # Thinned by hash before the limit, so that no partition sends more than its share of the sample.
+    share = min(1.0, 1.2 * rows / found)
+    thinned = suspect.filter(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * share))
+    texts = [r["t"] for r in thinned.orderBy("h", "t").limit(rows).select("t").collect()]
     return fit(graph([(t, base_spans(t), candidates(t)) for t in texts]))
 
 
