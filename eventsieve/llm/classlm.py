@@ -22,11 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventsieve.llm.texts import LOWER, WordHash, flat, id_bucket, led_text, pieces, word_spans
+from eventsieve.llm.texts import LOWER, WordHash, flat, id_bucket, is_plain_scan, led_text, pieces, word_spans
 from eventsieve.session import materialize, release
 
 TOP_WORDS = 511
@@ -45,14 +44,13 @@ def blocked(docs: DataFrame, train: object) -> DataFrame:
     read from files is stored first.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), train.alias("train"))
-    try:
+    place = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")]
+    if is_plain_scan(docs) and "_metadata" not in docs.columns:
         located = docs.select(
-            F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), train.alias("train"),
+            *place, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), train.alias("train"),
         )
-    except AnalysisException:
-        stored = materialize(plain)
-        located = stored.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "doc_id", "text", "train")
+    else:
+        located = materialize(plain).select(*place, "doc_id", "text", "train")
     split = docs.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     pieces_ = max(1, -(-int(split) // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(pieces_))

@@ -33,11 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventsieve.llm.texts import WordHash, flat, pieces
+from eventsieve.llm.texts import WordHash, flat, is_plain_scan, pieces
 from eventsieve.session import materialize
 
 LENGTH = 200
@@ -135,10 +134,9 @@ def located(docs: DataFrame) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     place = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")]
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    try:
+    if is_plain_scan(docs) and "_metadata" not in docs.columns:
         return docs.select(*place, F.col("doc_id").cast("long").alias("doc_id"), text)
-    except AnalysisException:
-        return materialize(plain).select(*place, "doc_id", text)
+    return materialize(plain).select(*place, "doc_id", text)
 
 
 def sample_splitters(texts: DataFrame, buckets: int, length: int, gram: int) -> np.ndarray:

@@ -26,6 +26,14 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether every row stands for one place in a file: a scan under filters and projections alone."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation"
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of a string or binary column; offsets start at 0."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

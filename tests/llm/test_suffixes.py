@@ -102,3 +102,12 @@ def test_leads_that_fill_several_ranges_are_spread_and_stay_exact(spark, monkeyp
         assert run(spark, rows, length=40, gram=12) == expected(rows, 40)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", buckets)
+
+
+def test_rows_a_join_or_union_repeats_are_rows_of_their_own(spark, tmp_path):
+    spark.createDataFrame([(1, "m" * 30 + "abcdefghij" * 25), (2, "none of it" * 3)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert S.is_plain_scan(docs.filter("doc_id > 0")) and not S.is_plain_scan(docs.union(docs))
+    twice = docs.join(spark.createDataFrame([(1, "x"), (1, "y")], "doc_id long, tag string"), "doc_id")
+    for frame in (twice, docs.filter("doc_id = 1").union(docs.filter("doc_id = 1"))):
+        assert [(r.n_bytes, r.n_removed) for r in S.remove_repeats(frame).collect()] == [(280, 280)] * 2
