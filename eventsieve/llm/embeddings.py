@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +36,16 @@ BLOCK = 2048
 SEED = 5
 
 
-@cache
+_DRAWN: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _projections(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if size in _DRAWN:
+        return _DRAWN[size]
     rng = np.random.default_rng([SEED, size])
     n = TABLES * PROJECTIONS
-    return rng.normal(size=(size, n)), rng.uniform(0, WIDTH, n), rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    _DRAWN[size] = rng.normal(size=(size, n)), rng.uniform(0, WIDTH, n), rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return _DRAWN[size]
 
 
 def table_keys(unit: np.ndarray, label: np.ndarray) -> np.ndarray:
