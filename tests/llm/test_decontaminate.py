@@ -88,3 +88,41 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch, limit):
     whole = {(r.doc_id, r.item_id, r.edits) for r in D.find_contamination(docs, bench).collect()}
     monkeypatch.setattr(D, "BLOCK_ITEMS", limit)
     assert {(r.doc_id, r.item_id, r.edits) for r in D.find_contamination(docs, bench).collect()} == whole
+
+
+def test_best_window_against_all_windows():
+    rng = random.Random(6)
+    for _ in range(300):
+        item = rng.choices("abcd", k=rng.randint(1, 30))
+        text = rng.choices("abcd", k=rng.randint(0, 40))
+        edits, first, end = D.best_window(item, text)
+        slow = [(e, s, s + n) for s in range(len(text)) for e, n in [slow_prefix(item, text[s:])] if n]
+        assert edits == min([len(item), *(e for e, _, _ in slow)])
+        if edits < len(item):
+            assert (edits, first, end) == min(slow)
+
+
+@pytest.mark.parametrize("size", [500, 1000])
+def test_long_items_at_the_most_edits(size):
+    rng = random.Random(size)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(words, k=size))) for i in range(5)]
+    index = D.Index(items)
+    assert min(group.recall for group in index.classes) >= D.TARGET_RECALL
+    rows, places = [], []
+    for n in range(40):
+        copy = items[n % 5][1].split()
+        for _ in range(size // 5):
+            at = rng.randrange(len(copy))
+            copy[at : at + 1] = rng.choice([[rng.choice(words)], [copy[at], rng.choice(words)], []])
+        rows.append("\n" + " ".join(rng.choices(words, k=80) + copy + rng.choices(words, k=rng.choice([0, 80]))))
+        places.append((n, n % 5))
+    got = index.hits(D.pa.array(rows))
+    assert np.mean([p in {h[:2] for h in got} for p in places]) >= D.TARGET_RECALL
+    assert {h[:2] for h in got} <= set(places) and all(h[2] <= size // 5 for h in got)
+
+
+def test_a_size_below_the_promised_recall_is_an_error(monkeypatch):
+    monkeypatch.setattr(D, "MAX_REPETITIONS", 1)
+    with pytest.raises(RuntimeError, match="below"):
+        D.Index([(0, " ".join(f"w{i}" for i in range(50)))])
