@@ -2,11 +2,17 @@
 
 The model is Brown's class bigram: ``P(w | before) = P(class(w) | class(before))
 * P(w | class(w))``.  Exchange clustering moves one unit at a time to the class
-where the likelihood of the training text grows most.  Units are the end
-mark, the ``TOP_WORDS`` most frequent training words, and for all other words
-``SPELLINGS`` groups of words with equal last bytes, so that every word,
-seen or not, has a class, and the unit bigram table the clustering reads is
-bounded whatever the corpus' size.  Counts are over all training documents.
+where the likelihood of the training text grows most.  It starts on the driver
+with a bounded set of units: the end mark, the most frequent training words,
+and for all other words ``SPELLINGS`` groups of words with equal last bytes.
+Then every other training word leaves its group and joins a class by its own
+neighbours: counts of (word, class beside it) over all training text are
+grouped by word, tasks take the class of the largest likelihood, and the
+classes go back to the blocks of texts by a join on the word, ``ROUNDS`` times
+or until a round no longer raises the likelihood.  The number of classes grows
+with the cube root of the training vocabulary; only the class bigrams come to
+the driver.  Words never trained on take the class of their spelling group.
+Counts are over all training documents.
 
 Word counts are needed at every token.  They are not broadcast: texts are
 taken in blocks (an input split), each block sends its distinct words once,
@@ -30,9 +36,8 @@ from eventsieve.session import materialize, release
 
 TOP_WORDS = 511
 SPELLINGS = 512
-UNITS = 1 + TOP_WORDS + SPELLINGS  # the end mark is unit 0
-CLASSES = 64
-SWEEPS = 8
+CLASSES = 64  # at least
+ROUNDS = 2
 PRIOR = 5.0
 BLOCK_BYTES = 16 << 20
 
@@ -83,7 +88,7 @@ class Tokens:
 
     def units(self, top: np.ndarray) -> np.ndarray:
         """Unit of every token; ``top`` holds the frequent words' hashes, ascending."""
-        unit = 1 + TOP_WORDS + self.spelling
+        unit = 1 + len(top) + self.spelling  # the end mark is unit 0
         if len(top):
             at = np.minimum(np.searchsorted(top, self.h1), len(top) - 1)
             unit = np.where(top[at] == self.h1, 1 + at, unit)
@@ -125,37 +130,37 @@ def block_words(blocks: DataFrame) -> DataFrame:
 
 def unit_bigrams(blocks: DataFrame, top: np.ndarray) -> np.ndarray:
     """Counts of neighbouring units over all training texts; a text starts behind an end mark."""
-    hasher = WordHash()
+    hasher, units = WordHash(), 1 + len(top) + SPELLINGS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(UNITS * UNITS, np.int64)
+        total = np.zeros(units * units, np.int64)
         for batch in pieces(batches, 3):
             tokens = Tokens(hasher, batch.column(3), False)
             unit = tokens.units(top)
             before = np.concatenate(([0], unit[:-1]))
             train = batch.column(2).to_numpy(zero_copy_only=False)[tokens.doc]
-            total += np.bincount((before * UNITS + unit)[train], minlength=UNITS * UNITS)
+            total += np.bincount((before * units + unit)[train], minlength=units * units)
         cell = np.flatnonzero(total)
         for lo in range(0, len(cell), 1 << 16):
             own = cell[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["cell", "n"])
 
-    # At most UNITS**2 rows come back.
+    # At most units**2 rows come back.
     cells = blocks.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(UNITS * UNITS)
+    out = np.zeros(units * units)
     out[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    return out.reshape(UNITS, UNITS)
+    return out.reshape(units, units)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int | None = None) -> np.ndarray:
     """Class of every unit; the end mark (unit 0) keeps class 0 to itself.
 
     Every unit in turn leaves its class and joins the one with the largest
-    likelihood of the class bigrams, until a sweep moves none.
+    likelihood of the class bigrams, until a sweep moves none (or after ``sweeps``).
     """
     n = len(bigrams)
     weight = bigrams.sum(0) + bigrams.sum(1)
@@ -165,8 +170,9 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     of[order] = 1 + np.arange(n - 1) % (classes - 1)
     member = np.eye(classes)[of]
     table = member.T @ bigrams @ member
-    for _ in range(sweeps):
-        moved = 0
+    least = 1e-10 * max(10.0, bigrams.sum())  # above the rounding of sums of this size, so that sweeps come to an end
+    while sweeps is None or sweeps > 0:
+        moved, sweeps = 0, sweeps and sweeps - 1
         for u in order:
             if not weight[u]:
                 break
@@ -185,7 +191,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             gain -= _xlogx(rows + out.sum() + own) - _xlogx(rows) + _xlogx(cols + into.sum() + own) - _xlogx(cols)
             gain[0] = -np.inf
             new = int(np.argmax(gain))
-            if gain[new] <= gain[old] + 1e-9:
+            if gain[new] <= gain[old] + least:
                 new = old
             table[new] += out
             table[:, new] += into
@@ -202,37 +208,235 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
 class Model:
     top: np.ndarray  # hashes of the frequent words, ascending
     of: np.ndarray  # unit -> class
-    step: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # log10 of a class' tokens and words and one
-    tokens: int
-    words: int
+    table: np.ndarray  # class bigrams
+    class_tokens: np.ndarray
+    class_words: np.ndarray
+
+    def __post_init__(self):
+        total, classes = self.class_tokens.sum(), len(self.table)
+        share = (self.class_tokens + 1) / (total + classes)
+        # log10 P(class | class before), and log10 of a class' tokens and words and one
+        self.step = np.log10((self.table + PRIOR * share[None, :]) / (self.table.sum(1, keepdims=True) + PRIOR))
+        self.emission = np.log10(self.class_tokens + self.class_words + 1)
+        self.tokens, self.words = int(total), int(self.class_words.sum())
+
+
+def likelihood(table: np.ndarray) -> float:
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
 
 def fit(blocks: DataFrame, counts: DataFrame) -> Model:
-    """Cluster and count; ``counts(h1, s, c, first)`` holds a word once with ``first``."""
+    """Cluster the units and count; ``counts(h1, s, c, first)`` holds a word once with ``first``."""
     known = counts.filter("first and c > 0")
     groups = known.filter("h1 <> 0").groupBy("s").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("words")).collect()  # SPELLINGS rows at most
     ends = known.filter("h1 = 0").agg(F.sum("c")).first()[0] or 0
-    frequent = known.filter("h1 <> 0").select("h1", "s", "c").orderBy(F.desc("c"), "h1").limit(TOP_WORDS).collect()
+    classes = max(CLASSES, int(np.ceil(np.cbrt(sum(r["words"] for r in groups)))))
+    frequent = known.filter("h1 <> 0").select("h1", "s", "c").orderBy(F.desc("c"), "h1").limit(max(TOP_WORDS, classes)).collect()
     hashes = np.array([r["h1"] for r in frequent], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     top = hashes[order]
-    tokens, words = np.zeros(UNITS), np.zeros(UNITS)
+    spelled = 1 + len(top)
+    tokens, words = np.zeros(spelled + SPELLINGS), np.zeros(spelled + SPELLINGS)
     tokens[0], words[0] = ends, float(ends > 0)
     for r in groups:
-        tokens[1 + TOP_WORDS + r["s"]], words[1 + TOP_WORDS + r["s"]] = r["tokens"], r["words"]
+        tokens[spelled + r["s"]], words[spelled + r["s"]] = r["tokens"], r["words"]
     for place, i in enumerate(order):
         r = frequent[i]
         tokens[1 + place], words[1 + place] = r["c"], 1
-        tokens[1 + TOP_WORDS + r["s"]] -= r["c"]
-        words[1 + TOP_WORDS + r["s"]] -= 1
+        tokens[spelled + r["s"]] -= r["c"]
+        words[spelled + r["s"]] -= 1
     bigrams = unit_bigrams(blocks, top)
-    of = exchange(bigrams)
-    member = np.eye(CLASSES)[of]
-    table = member.T @ bigrams @ member
-    share = (member.T @ tokens + 1) / (tokens.sum() + CLASSES)
-    step = (table + PRIOR * share[None, :]) / (table.sum(1, keepdims=True) + PRIOR)
-    return Model(top, of, np.log10(step), np.log10(member.T @ (tokens + words) + 1), int(tokens.sum()), int(words.sum()))
+    of = exchange(bigrams, classes)
+    member = np.eye(classes)[of]
+    return Model(top, of, member.T @ bigrams @ member, member.T @ tokens, member.T @ words)
+
+
+CELLS = "h1 long, cell long, n long"  # cell: class behind the word, or classes + class before it; negative for class bigrams
+
+
+class Cells:
+    """The classes beside words, counted by (word, cell)."""
+
+    def __init__(self, classes: int):
+        self.classes, self.parts = classes, []
+
+    def add(self, tokens: Tokens, cls: np.ndarray, own: np.ndarray) -> None:
+        """Add what stands beside the words ``own``; behind every word is a word or the end mark of its text."""
+        at = np.flatnonzero(own)
+        before = np.concatenate(([0], cls[:-1]))
+        self.parts.append((tokens.h1[at], cls[at + 1].astype(np.int32), (self.classes + before[at]).astype(np.int32)))
+
+    def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        word, place = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+        place *= 2 * self.classes
+        keys = np.concatenate([place + np.concatenate([p[i] for p in self.parts]) for i in (1, 2)])
+        self.parts = []
+        keys.sort()
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        n = np.diff(first, append=len(keys))
+        keys = keys[first]
+        return word.view(np.int64)[keys // (2 * self.classes)], keys % (2 * self.classes), n
+
+
+def _rows(h1: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.Table:
+    return pa.table({"h1": h1, "cell": cell, "n": n})
+
+
+def seed_cells(blocks: DataFrame, model: Model) -> DataFrame:
+    """``CELLS`` of the words outside ``model.top`` under the classes of their spelling groups."""
+    hasher, classes = WordHash(), len(model.table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = Cells(classes)
+        for i, batch in enumerate(pieces(batches, 3)):
+            tokens = Tokens(hasher, batch.column(3), False)
+            unit = tokens.units(model.top)
+            cells.add(tokens, model.of[unit], (unit > len(model.top)) & batch.column(2).to_numpy(zero_copy_only=False)[tokens.doc])
+            if i % 16 == 15:
+                yield from _rows(*cells.columns()).to_batches(1 << 16)
+        yield from _rows(*cells.columns()).to_batches(1 << 16)
+
+    return blocks.mapInArrow(run, CELLS)
+
+
+class Lookup:
+    """Counts and classes of a block's own words."""
+
+    def __init__(self, words: pa.Table, model: Model):
+        self.key = words.column("h1").to_numpy().view(np.uint64)
+        order = np.argsort(self.key)
+        self.key, self.count = self.key[order], words.column("c").to_numpy()[order]
+        # -1: a frequent word, the end mark or a word not trained on, whose unit tells its class
+        self.cls, self.model = words.column("k").fill_null(-1).to_numpy()[order], model
+
+    def __call__(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Training count and class of every token, and whether its class is its own."""
+        at = np.minimum(np.searchsorted(self.key, t.h1), max(0, len(self.key) - 1))
+        if not len(self.key) or not (self.key[at] == t.h1).all():
+            raise RuntimeError("a block's words are not those counted: the input changed between two jobs")
+        cls = self.cls[at]
+        return self.count[at], np.where(cls < 0, self.model.of[t.units(self.model.top)], cls), cls >= 0
+
+
+def class_cells(blocks: DataFrame, asked: DataFrame, model: Model, words_too: bool) -> DataFrame:
+    """``CELLS`` under the classes ``asked(block, h1, c, k)``: class bigrams and, if asked, the words' neighbours."""
+    hasher, classes = WordHash(), len(model.table)
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        look, cells = Lookup(words, model), Cells(classes)
+        table = np.zeros(classes * classes, np.int64)
+        for batch in pieces(iter(texts.combine_chunks().to_batches()), 3):
+            t = Tokens(hasher, batch.column(3), False)
+            _, cls, own = look(t)
+            train = batch.column(2).to_numpy(zero_copy_only=False)[t.doc]
+            table += np.bincount((np.concatenate(([0], cls[:-1])) * classes + cls)[train], minlength=classes * classes)
+            if words_too:
+                cells.add(t, cls, own & train)
+        used = np.flatnonzero(table)
+        return pa.concat_tables([_rows(*cells.columns()), _rows(np.zeros(len(used), np.int64), -1 - used, table[used])])
+
+    return blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, CELLS)
+
+
+def best_classes(table: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """The class of every word (``old`` the present ones) that gives its cells, sorted by ``word``, the largest likelihood."""
+    classes = len(table)
+    margins = np.stack([table.sum(1), table.sum(0)])
+    both = np.concatenate([table.T, table])  # cell -> counts beside it by the word's class
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+
+    def grown(counts: np.ndarray, by: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What ``by`` more adds to x log x; the present class counts the word already."""
+        counts = counts.astype(float)
+        lines = np.arange(len(at))
+        counts[lines, at] = np.maximum(counts[lines, at] - by, 0)
+        return _xlogx(counts + by[:, None]) - _xlogx(counts)
+
+    gain = np.add.reduceat(grown(both[cell], n, old[word]), first, 0)
+    for side in (0, 1):
+        total = np.bincount(word, n * ((cell >= classes) == side), len(old))
+        gain -= grown(np.repeat(margins[side][None], len(old), 0), total, old)
+    gain[:, 0] = -np.inf  # the end mark's own class
+    new = gain.argmax(1)
+    same = np.arange(len(old))
+    return np.where(gain[same, new] > gain[same, old] + 1e-9, new, old)
+
+
+def assigned(cells: DataFrame, present: DataFrame, model: Model) -> DataFrame:
+    """``(h1, c, k)``: the best class of every word of ``present(h1, c, k)`` by its cells."""
+    table, classes = model.table, len(model.table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat_cells = lists.flatten()
+            cell, n = (flat_cells.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+            old, out = batch.column(2).to_numpy(), []
+            ends = np.cumsum(sizes)
+            lo, step = 0, max(1, (1 << 22) // classes)
+            while lo < len(sizes):
+                done = int(ends[lo] - sizes[lo])
+                hi = max(lo + 1, int(np.searchsorted(ends, done + step, "right")))
+                span = slice(done, int(ends[hi - 1]))
+                out.append(best_classes(table, np.repeat(np.arange(hi - lo), sizes[lo:hi]), cell[span], n[span].astype(float), old[lo:hi]))
+                lo = hi
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(out), pa.int64())], names=["h1", "c", "k"])
+
+    # Dealt by word once: the sums by cell and the lists by word need no exchange of their own.
+    summed = cells.repartition("h1").groupBy("h1", "cell").agg(F.sum("n").alias("n"))
+    by_word = summed.groupBy("h1").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return present.join(by_word, "h1").select("h1", "c", "k", "cells").mapInArrow(run, "h1 long, c long, k long")
+
+
+def refine(blocks: DataFrame, counts: DataFrame, model: Model) -> tuple[Model, DataFrame]:
+    """Assign every training word outside ``model.top`` by its own neighbours: the model and ``(h1, c, k)``."""
+    classes, spelled = len(model.table), 1 + len(model.top)
+    group_class = F.array(*[F.lit(int(k)).cast("long") for k in model.of[spelled:]])
+    tops = model.top.view(np.int64)
+    spark = counts.sparkSession
+    frequent = spark.createDataFrame([(int(h),) for h in tops], "h1 long")
+    present = counts.filter("first and c > 0 and h1 <> 0").join(frequent, "h1", "left_anti").select("h1", "c", group_class[F.col("s").cast("int")].alias("k"))
+    present = materialize(present)
+    cells = seed_cells(blocks, model)
+    # What the end mark and the frequent words give to their classes; they stay there.
+    fixed = [model.class_tokens.copy(), model.class_words.copy()]
+    for r in present.groupBy("k").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():  # a row a class at most
+        fixed[0][r["k"]] -= r["c"]
+        fixed[1][r["k"]] -= r["n"]
+    stored = None
+    for i in range(ROUNDS):
+        trial = materialize(assigned(cells, present, model))
+        spark._jvm.System.gc()  # lets Spark delete the shuffle files of the jobs before
+        release(*([stored] if stored is not None else []))
+        counted = class_cells(blocks, with_classes(counts, trial), model, i + 1 < ROUNDS)
+        cells = stored = materialize(counted)
+        del counted
+        spark._jvm.System.gc()
+        table = np.zeros(classes * classes)
+        for r in stored.filter("cell < 0").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # classes**2 rows at most
+            table[-1 - r["cell"]] = r["n"]
+        table = table.reshape(classes, classes)
+        if likelihood(table) <= likelihood(model.table):
+            release(trial)
+            break
+        tokens, words = fixed[0].copy(), fixed[1].copy()
+        for r in trial.groupBy("k").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
+            tokens[r["k"]] += r["c"]
+            words[r["k"]] += r["n"]
+        model = Model(model.top, model.of, table, tokens, words)
+        release(present)
+        present, cells = trial, stored.filter("cell >= 0")
+    if stored is not None:
+        release(stored)
+    return model, present
+
+
+def with_classes(counts: DataFrame, classes: DataFrame) -> DataFrame:
+    return counts.select("block", "h1", "c").join(classes.select("h1", "k"), "h1", "left").select("block", "h1", "c", "k")
 
 
 SCORES = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -252,23 +456,17 @@ def score_texts(docs: DataFrame, train: object) -> DataFrame:
             "block", "h1", "s", F.sum("n").over(same).alias("c"), (F.col("block") == F.min("block").over(same)).alias("first")
         )
     )
-    model = fit(blocks, counts)
+    model, classes = refine(blocks, counts, fit(blocks, counts))
     hasher = WordHash()
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        key = words.column("h1").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        key, count = key[order], words.column("c").to_numpy()[order]
+        look = Lookup(words, model)
         out = []
         for batch in pieces(iter(texts.combine_chunks().to_batches()), 3):
             t = Tokens(hasher, batch.column(3), False)
-            at = np.minimum(np.searchsorted(key, t.h1), max(0, len(key) - 1))
-            if not len(key) or not (key[at] == t.h1).all():
-                raise RuntimeError("a block's words are not those counted: the input changed between two jobs")
-            c = count[at]
+            c, cls, _ = look(t)
             n = batch.num_rows
             seen = np.log10(c + 1.0)
-            cls = model.of[t.units(model.top)]
             before = np.concatenate(([0], cls[:-1]))  # an end mark stands before every text
             per = np.bincount(t.doc, minlength=n)
             own = seen + model.step[before, cls] - model.emission[cls]
@@ -280,9 +478,9 @@ def score_texts(docs: DataFrame, train: object) -> DataFrame:
             }))
         return pa.concat_tables(out)
 
-    asked = counts.select("block", "h1", "c")
+    asked = with_classes(counts, classes)
     scored = materialize(blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, SCORES))
-    release(counts)
+    release(counts, classes)
     return scored
 
 

@@ -97,3 +97,39 @@ def test_edges(spark):
     assert [(r.n_known, r.train_tokens, r.base_score) for r in untrained] == [(0, 0, 0.0)] * 3
     again = C.score_texts(spark.createDataFrame([(3, "a b"), (3, "a b"), (None, "a b")], "doc_id long, text string"), F.lit(True)).collect()
     assert sorted(str((r.doc_id, r.n_known)) for r in again) == ["(3, 3)", "(3, 3)", "(None, 3)"]
+
+
+def test_rare_words_take_the_class_of_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(C, "TOP_WORDS", 20)
+    monkeypatch.setattr(C, "CLASSES", 4)
+    rng = np.random.default_rng(3)
+    kinds = [[f"{chr(97 + i % 26)}{i}{k}zzz" for i in range(150)] for k in "xy"]  # spelling tells nothing: equal last bytes
+    rows = [(i, " ".join(str(rng.choice(kinds[j % 2])) for j in range(100))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = C.blocked(docs, F.lit(True))
+    same_word = C.Window.partitionBy("h1")
+    counts = C.materialize(C.block_words(blocks).select(
+        "block", "h1", "s", F.sum("n").over(same_word).alias("c"), (F.col("block") == F.min("block").over(same_word)).alias("first")))
+    seed = C.fit(blocks, counts)
+    model, classes = C.refine(blocks, counts, seed)
+    assert C.likelihood(model.table) > C.likelihood(seed.table)
+    own = {r.h1: r.k for r in classes.collect()}
+    hasher, found = WordHash(), np.zeros((2, len(model.table)))
+    for side, kind in enumerate(kinds):
+        for w in kind:
+            data = np.frombuffer(w.encode(), np.uint8)
+            h = int(hasher(data, np.array([0]), np.array([len(data)])).view(np.int64)[0])
+            if h in own:
+                found[side, own[h]] += 1
+    assert found.sum() == 280 and found.max(0).sum() > 0.95 * found.sum()  # a class holds words of one kind
+    assert (model.tokens, model.words) == (seed.tokens, seed.words) and np.allclose((10**model.step).sum(1), 1)
+
+
+def test_classes_grow_with_the_vocabulary(spark):
+    few, many = ([(0, " ".join(f"w{i}" for i in range(n)))] for n in (100, 300_000))
+    sizes = []
+    for rows in (few, many):
+        blocks = C.blocked(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True))
+        counts = C.block_words(blocks).groupBy("h1", "s").agg(F.sum("n").alias("c")).withColumn("first", F.lit(True))
+        sizes.append(len(C.fit(blocks, counts).table))
+    assert sizes == [64, 67]
