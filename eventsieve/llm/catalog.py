@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from eventsieve.llm import chat, classlm, decontaminate, embeddings, language, mixing, packing, periods, pii, simhash, suffixes, tokens
+from eventsieve.llm import alignment, chat, classlm, decontaminate, embeddings, language, mixing, packing, periods, pii, simhash, suffixes, tokens
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_mix_sources": mixing.q_mixing,
         "op9_embedding_near_dedup": embeddings.q_embeddings,
         "op10_chat_prefix_tree": chat.q_chat,
+        "op11_tokenizer_alignment": alignment.q_alignment,
         "op12_periodic_runs": periods.q_periods,
         "op13_packing": packing.q_packing,
     }
