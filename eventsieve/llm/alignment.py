@@ -14,8 +14,11 @@ list, and sends the list through the shuffle that sums pairs over the corpus.
 The sums come back to the blocks that listed them; the vectors' sums, one row
 an id, go to the tasks as arrays.
 
-Blocks are pieces of one task's texts, stored in the shared folder between the
-two passes, so texts are encoded once and a lost task is read again from there.
+Texts are cut into chunks at spaces that no token reaches over, so both sides
+have an end at every cut: groups and links are found once for each distinct
+chunk of a block and weighted by its occurrences.  Blocks are pieces of one
+task's texts, stored in the shared folder between the two passes, so texts are
+encoded once and a lost task is read again from there.
 """
 
 from __future__ import annotations
@@ -30,22 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventsieve.llm.texts import pieces
-from eventsieve.llm.vocabularies import STRETCH, byte_level_tokenizer, in_batches, public_file, read_file, stretches
+from eventsieve.llm.texts import WordHash, pieces
+from eventsieve.llm.vocabularies import ByteLevel, Chunks, Memo, byte_level_alphabet, in_batches, laid_out, public_file, read_file
 from eventsieve.session import materialize, release
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 TASK_BITS = 32
 BLANK_MARK = "▁"
 
 
-def byte_level_alphabet() -> dict[str, int]:
-    """The character that stands for every byte: itself where it prints in Latin-1, else the next one from 256 on."""
-    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [b for b in range(256) if b not in prints]
-    return {**{chr(b): b for b in prints}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
-
-
 class Vocabularies:
     """Both tokenizers with the bytes of their tokens."""
 
@@ -53,17 +49,17 @@ class Vocabularies:
         import sentencepiece
 
         self.made = a, b
-        self.a = byte_level_tokenizer(a, plain_specials=True)
+        self.a = ByteLevel(a, plain_specials=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         alphabet = byte_level_alphabet()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
+        self.a_bytes = [b""] * self.a.made.get_vocab_size()
+        for token, i in self.a.made.get_vocab().items():
             if all(c in alphabet for c in token):
                 self.a_bytes[i] = bytes(alphabet[c] for c in token)
         shown = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK_MARK, " ").encode() for i, p in enumerate(shown)]
-        # A piece that goes on behind a blank would reach over the ends of stretches.
-        self.cuts = not any(BLANK_MARK in p.lstrip(BLANK_MARK) for p in shown)
+        if any(BLANK_MARK in p.lstrip(BLANK_MARK) for p in shown):
+            raise ValueError("pieces that go on behind a blank reach over the cuts between chunks")
         # Of two ids with equal bytes the written piece comes before the bare byte.
         of_bytes = {self.b_bytes[i]: i for i in sorted(range(len(shown)), key=lambda i: not self.b.is_byte(i))}
         self.same = np.array([of_bytes.get(t, -1) for t in self.a_bytes], np.int64)
@@ -71,43 +67,33 @@ class Vocabularies:
     def __reduce__(self):
         return Vocabularies, self.made  # tasks read the files' contents
 
-    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    def encode(self, texts: list[bytes]) -> list[tuple[list[int], list[int]] | None]:
         """The ids of both sides for every text, None where their bytes are not a space and the text."""
-        cut = []
-        for i, t in enumerate(texts):
-            if t:
-                for lo, hi in stretches(t) if self.cuts and len(t) > STRETCH else ((0, len(t)),):
-                    cut.append((i, t[lo + (lo > 0) : hi]))  # the space a later stretch begins with is the one both sides add
-        parts: list = [([], []) for _ in texts]
-        for lo, hi in in_batches([t for _, t in cut]):
-            own = cut[lo:hi]
-            sides = (
-                [e.ids for e in self.a.encode_batch_fast([" " + t for _, t in own], add_special_tokens=False)],
-                self.b.encode([t for _, t in own], num_threads=1),
-            )
-            for (i, t), *both in zip(own, *sides, strict=True):
-                expected = b" " + t.encode("utf-8", "surrogatepass")
-                whole = parts[i] is not None and all(
-                    b"".join(map(table.__getitem__, ids)) == expected for table, ids in zip((self.a_bytes, self.b_bytes), both, strict=True)
-                )
-                if whole:
-                    for side, ids in zip(parts[i], both, strict=True):
-                        side.append(np.array(ids, np.int64))
-                else:
-                    parts[i] = None
-        return [(np.concatenate(p[0]), np.concatenate(p[1])) if p and p[0] else None for p in parts]
+        out = []
+        for lo, hi in in_batches(texts):
+            own = texts[lo:hi]
+            spaced = [b" " + t for t in own]
+            sides = self.a.encode(spaced), self.b.encode([t.decode("utf-8", "surrogatepass") for t in own], num_threads=1)
+            for expected, *both in zip(spaced, *sides, strict=True):
+                spelled = all(b"".join(map(table.__getitem__, ids)) == expected for table, ids in zip((self.a_bytes, self.b_bytes), both, strict=True))
+                out.append(tuple(both) if spelled else None)
+        return out
+
+
+def sums_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of stretches of ``values`` that stand one after the other."""
+    sums = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return np.diff(sums[np.cumsum(sizes)], prepend=0) if len(sizes) else np.zeros(0, np.int64)
 
 
 class Block:
-    """Groups and links of the tokens of some documents."""
-
-    def __init__(self, tables: Tables, tokens: list[tuple[np.ndarray, np.ndarray] | None]):
-        n = self.n = len(tokens)
-        held = [t for t in tokens if t is not None]
-        docs = np.array([i for i, t in enumerate(tokens) if t is not None], np.int64)
-        a, b = (np.concatenate([t[s] for t in held]) if held else np.zeros(0, np.int64) for s in (0, 1))
-        doc_a, doc_b = (np.repeat(docs, [len(t[s]) for t in held]) for s in (0, 1))
-        # A document has equally many bytes on both sides, so places go on from one to the next.
+    """Groups and links of the tokens of some chunks, weighted by how often each occurs."""
+
+    def __init__(self, tables: Tables, tokens: list[tuple[list[int], list[int]]], weight: np.ndarray):
+        n = len(tokens)
+        (a, size_a), (b, size_b) = (laid_out([t[s] for t in tokens]) for s in (0, 1))
+        of_a, of_b = (np.repeat(np.arange(n), size) for size in (size_a, size_b))
+        # A chunk has equally many bytes on both sides, so places go on from one to the next.
         end_a, end_b = np.cumsum(tables.a_length[a]), np.cumsum(tables.b_length[b])
         close_a, close_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
         group_a, group_b = np.cumsum(close_a) - close_a, np.cumsum(close_b) - close_b
@@ -116,30 +102,33 @@ class Block:
         first_a, first_b = np.cumsum(count_a) - count_a, np.cumsum(count_b) - count_b
         regular = (count_a == 1) & (count_b == 1)
         regular[regular] = tables.same[a[first_a[regular]]] == b[first_b[regular]]
-        self.n_a, self.n_b = np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n)
-        self.n_groups = np.bincount(doc_a[close_a], minlength=n)
-        # One-to-one groups of equal bytes: the ids of side A, by document.
+        self.n_a, self.n_b = size_a, size_b
+        self.n_groups = np.bincount(of_a[close_a], minlength=n)
+        # One-to-one groups of equal bytes: the ids of side A, by chunk.
         one = first_a[regular]
-        self.same, self.same_of = a[one], np.bincount(doc_a[one], minlength=n)
+        self.same, self.same_of = a[one], np.bincount(of_a[one], minlength=n)
+        self.vector = np.bincount(self.same, weight[of_a[one]], tables.size_a).astype(np.int64)
         # Every stretch between two neighbouring ends lies in one token of each side: one link.
         some_a, some_b = np.flatnonzero(~regular[group_a]), np.flatnonzero(~regular[group_b])
         ends = np.unique(np.concatenate([end_a[some_a], end_b[some_b]]))
         link_a, link_b = some_a[np.searchsorted(end_a[some_a], ends)], some_b[np.searchsorted(end_b[some_b], ends)]
-        pairs, links, times = np.unique(a[link_a] << 32 | b[link_b], return_inverse=True, return_counts=True)
-        self.pairs, self.links, self.times = pairs, links, times
-        self.links_of = np.bincount(doc_a[link_a], minlength=n)
+        self.pairs, self.links = np.unique(a[link_a] << 32 | b[link_b], return_inverse=True)
+        self.links_of = np.bincount(of_a[link_a], minlength=n)
+        self.times = np.bincount(self.links, weight[of_a[link_a]], len(self.pairs)).astype(np.int64)
         # Written order: a group's A tokens, then its B tokens.
         written = np.empty(len(a) + len(b), np.int64)
         written[np.arange(len(a)) + first_b[group_a]] = a + close_a * tables.size_a
         written[np.arange(len(b)) + (first_a + count_a)[group_b]] = b + 2 * tables.size_a + close_b * tables.size_b
         self.written = written
 
-    def group_texts(self, tables: Tables) -> Iterator[bytes]:
-        """Every document's groups, ``a1,a2|b1;a3|b2``; empty without tokens."""
-        done = 0
+    def group_texts(self, tables: Tables) -> list[bytes]:
+        """Every chunk's groups, ``a1,a2|b1;a3|b2;``."""
+        out, done = [], 0
+        written = self.written.tolist()
         for size in (self.n_a + self.n_b).tolist():
-            yield b"".join(map(tables.written.__getitem__, self.written[done : done + size].tolist()))[:-1]
+            out.append(b"".join(map(tables.written.__getitem__, written[done : done + size])))
             done += size
+        return out
 
 
 class Tables:
@@ -151,13 +140,19 @@ class Tables:
         self.written = [b"%d%s" % (i, mark) for size, marks in ((self.size_a, (b",", b"|")), (self.size_b, (b",", b";"))) for mark in marks for i in range(size)]
 
 
-DOCUMENT = "struct<doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, same: int, links: int, groups: string, groups_sha256: string>"
+DOCUMENT = "struct<doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, chunks: int, groups: string, groups_sha256: string>"
 PAIR = "struct<a: int, b: int, n: long>"
-# A block's row, or a task's last row, which holds its vector.
-BLOCK = f"block long, documents array<{DOCUMENT}>, same binary, links binary, pairs array<{PAIR}>, vector binary"
+# A block's row, or a task's last row, which holds its vector.  By document: its occurrences of chunks; by chunk: its
+# one-to-one groups (ids of A) and its other links (places in the list of pairs).
+ARRAYS = ("occurrences", "same", "same_of", "links", "links_of")
+BLOCK = f"block long, documents array<{DOCUMENT}>, {', '.join(f'{c} binary' for c in ARRAYS)}, pairs array<{PAIR}>, vector binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string, groups_sha256 string"
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def _structs(size: int, columns: dict[str, pa.Array]) -> pa.Array:
     """One list of structs."""
     values = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
@@ -166,35 +161,42 @@ def _structs(size: int, columns: dict[str, pa.Array]) -> pa.Array:
 
 def _blocks(docs: DataFrame, vocabularies: Vocabularies, keep_groups: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables(vocabularies)
+        tables, hasher, memo = Tables(vocabularies), WordHash(), Memo(vocabularies.encode)
         total = np.zeros(tables.size_a, np.int64)
         number = TaskContext.get().partitionId() << TASK_BITS
 
-        def row(block, documents, same, links, pairs, vector) -> pa.RecordBatch:
-            values = [pa.array([block], pa.int64()), documents, pa.array([same], pa.binary()), pa.array([links], pa.binary()), pairs, pa.array([vector], pa.binary())]
-            return pa.RecordBatch.from_arrays(values, names=["block", "documents", "same", "links", "pairs", "vector"])
-
-        def documents(ids: pa.Array, block: Block) -> pa.Array:
-            texts = list(block.group_texts(tables))
-            digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
-            count = {"n_a": block.n_a, "n_b": block.n_b, "n_groups": block.n_groups, "n_links": block.same_of + block.links_of}
-            return _structs(block.n, {
-                "doc_id": ids, **{k: pa.array(x, pa.int64()) for k, x in count.items()},
-                "same": pa.array(block.same_of, pa.int32()), "links": pa.array(block.links_of, pa.int32()),
-                "groups": pa.array([t.decode() for t in texts] if keep_groups else [None] * block.n, pa.string()), "groups_sha256": pa.array(digests, pa.string()),
+        def row(block: int | None, ids: pa.Array, column: pa.Array, vector: bytes | None) -> pa.RecordBatch:
+            nonlocal total
+            chunks = Chunks(hasher, column, bare=True)
+            tokens, n = memo(chunks.texts), len(column)
+            spelled = np.fromiter((t is not None for t in tokens), bool, len(tokens))
+            lost = np.zeros(n, bool)
+            lost[chunks.doc[~spelled[chunks.chunk]]] = True
+            kept = ~lost[chunks.doc]
+            used, occurrences = np.unique(chunks.chunk[kept], return_inverse=True)
+            of = np.bincount(chunks.doc[kept], minlength=n)
+            own = Block(tables, [tokens[i] for i in used.tolist()], np.bincount(occurrences, minlength=len(used)))
+            total += own.vector
+            texts, at = own.group_texts(tables), np.cumsum(of) - of
+            every = occurrences.tolist()
+            groups = [b"".join(map(texts.__getitem__, every[a : a + size]))[:-1] for a, size in zip(at.tolist(), of.tolist(), strict=True)]
+            by_chunk = {"n_a": own.n_a, "n_b": own.n_b, "n_groups": own.n_groups, "n_links": own.same_of + own.links_of}
+            documents = _structs(n, {
+                "doc_id": ids, **{c: pa.array(sums_of(x[occurrences], of), pa.int64()) for c, x in by_chunk.items()}, "chunks": pa.array(of, pa.int32()),
+                "groups": pa.array([g.decode() for g in groups] if keep_groups else [None] * n, pa.string()),
+                "groups_sha256": pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in groups], pa.string()),
+            })
+            pairs = _structs(len(own.pairs), {
+                "a": pa.array(own.pairs >> 32, pa.int32()), "b": pa.array(own.pairs & 0xFFFFFFFF, pa.int32()), "n": pa.array(own.times, pa.int64()),
             })
+            arrays = [occurrences, own.same, own.same_of, own.links, own.links_of]
+            values = [pa.array([block], pa.int64()), documents, *(pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in arrays), pairs, pa.array([vector], pa.binary())]
+            return pa.RecordBatch.from_arrays(values, names=["block", "documents", *ARRAYS, "pairs", "vector"])
 
         for batch in pieces(batches, 1, BLOCK_BYTES):
-            block = Block(tables, vocabularies.tokens(batch.column(1).to_pylist()))
-            total += np.bincount(block.same, minlength=tables.size_a)
-            pairs = _structs(len(block.pairs), {
-                "a": pa.array(block.pairs >> 32, pa.int32()), "b": pa.array(block.pairs & 0xFFFFFFFF, pa.int32()), "n": pa.array(block.times, pa.int64()),
-            })
-            yield row(number, documents(batch.column(0), block), block.same.astype("<u4").tobytes(), block.links.astype("<u4").tobytes(), pairs, None)
+            yield row(number, batch.column(0), batch.column(1), None)
             number += 1
-        nothing = _structs(0, {"a": pa.array([], pa.int32()), "b": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
-        no_document = documents(pa.array([], pa.int64()), Block(tables, []))
-        yield row(None, no_document, b"", b"", nothing, total.astype("<i8").tobytes())
+        yield row(None, pa.array([], pa.int64()), pa.array([], pa.string()), total.astype("<i8").tobytes())
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, BLOCK)
 
@@ -227,7 +229,7 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, keep_grou
     with ``keep_groups`` only, its digest always.  ``n_best`` counts the links
     whose count is the largest of their ``b``, ties included.  Repeated rows and
     ids, null ids too, come back as they are and count each time; very long
-    texts are encoded by stretches between words; an empty table gives empty
+    texts go by their chunks; an empty table gives empty
     ones; other columns are ignored.
     """
     spark: SparkSession = docs.sparkSession
@@ -255,23 +257,20 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, keep_grou
                 if len(place):
                     n[place] = got.field("n").to_numpy()
                     is_best[place] = got.field("is_best").to_numpy(zero_copy_only=False)
-                same, links = (np.frombuffer(batch.column(c)[i].as_buffer(), "<u4") for c in ("same", "links"))
-                size = len(own)
-
-                def by_document(values: np.ndarray, sizes: pa.Array) -> np.ndarray:
-                    sums = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
-                    ends = np.cumsum(sizes.to_numpy().astype(np.int64))
-                    return np.diff(sums[ends], prepend=0) if len(ends) else ends
-
-                counted = [by_document(s[same], own.field("same")) + by_document(p[links], own.field("links")) for s, p in ((same_best, is_best), (same_n, n))]
-                columns = [own.field(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")] + [pa.array(c, pa.int64()) for c in counted]
-                if size:
-                    yield pa.RecordBatch.from_arrays(columns + [own.field("groups"), own.field("groups_sha256")], names=[c.split()[0] for c in RESULT.split(", ")])
+                arrays = {c: np.frombuffer(batch.column(c)[i].as_buffer(), "<u4") for c in ARRAYS}
+                of_document = own.field("chunks").to_numpy()
+                counted = []
+                for same_value, value in ((same_best, is_best), (same_n, n)):
+                    by_chunk = sums_of(same_value[arrays["same"]], arrays["same_of"]) + sums_of(value[arrays["links"]], arrays["links_of"])
+                    counted.append(pa.array(sums_of(by_chunk[arrays["occurrences"]], of_document), pa.int64()))
+                columns = [own.field(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")] + counted
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(columns + [own.field("groups"), own.field("groups_sha256")], names=_names(RESULT))
 
     # A pair stands once in a block's list, so its key has at most one row a block; AQE splits such keys further.
     asked = listed.select("block", "place", "a", "b").join(counts.select("a", "b", "n", (F.col("n") == F.col("best")).alias("is_best")), ["a", "b"])
     answers = asked.groupBy("block").agg(F.collect_list(F.struct("place", "n", "is_best")).alias("answers"))  # as long as the block's list
-    done = materialize(blocks.select("block", "documents", "same", "links").join(answers, "block", "left").select("documents", "same", "links", "answers").mapInArrow(run, RESULT))
+    done = materialize(blocks.select("block", "documents", *ARRAYS).join(answers, "block", "left").mapInArrow(run, RESULT))
     release(stored)
     return Alignment(done, counts)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve.llm.texts import pieces
-from eventsieve.llm.vocabularies import byte_level_tokenizer, encode_texts, public_file, read_file
+from eventsieve.llm.vocabularies import ByteLevel, TextEncoder, public_file, read_file
 
 WINDOW = 2048
 END_ID = 1
@@ -178,7 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
     in one piece; a sequence's pieces are gapless from offset 0 and hold at most
     ``window`` ids.  ``row_id`` tells rows with equal or null ids apart; texts
     that are equal are packed each for itself; items of equal length are taken in
-    the order of the input.  A very long text is encoded by stretches, cut into
+    the order of the input.  A very long text is encoded by its chunks, cut into
     windows and held by its task until its round is over.  An empty table
     gives an empty one; other columns are ignored.
     """
@@ -188,7 +188,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = byte_level_tokenizer(content)
+        encode = TextEncoder(ByteLevel(content))
         packer = Packer(window, tolerance)
         task = TaskContext.get().partitionId() << TASK_BITS
         given = 0
@@ -212,8 +212,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
             packer.forget()
 
         for batch in pieces(batches, 1):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(made, texts), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 packer.add(doc_id, np.append(ids, np.uint32(END_ID)))
             if packer.held >= ROUND_TOKENS:
                 yield from rows(False)

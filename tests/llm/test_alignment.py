@@ -91,15 +91,6 @@ def test_blocks_ask_for_their_pairs_alone(spark, made, monkeypatch):
         assert r["groups"] is None
 
 
-def test_stretches_of_long_texts_change_nothing(made, monkeypatch):
-    text = "It's 3 o'clock,  whhati theding areintionon naïve. Then\tmore 12.5 words and so on " * 20
-    whole = made.tokens([text])[0]
-    monkeypatch.setattr(alignment, "STRETCH", 100)
-    monkeypatch.setattr(alignment, "stretches", lambda t: vocabularies.stretches(t, 100))
-    cut = made.tokens([text])[0]
-    assert all((x == y).all() for x, y in zip(whole, cut, strict=True))
-
-
 def test_same_bytes_prefer_written_pieces(made):
     written = {t for i, t in enumerate(made.b_bytes) if not made.b.is_byte(i)}
     for i, other in enumerate(made.same.tolist()):

@@ -1,5 +1,6 @@
 """Packing: exact round trip of all tokens, best fit against a linear search, bounded padding."""
 
+import functools
 import zlib
 from collections import defaultdict
 
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 np = pytest.importorskip("numpy")
+pa = pytest.importorskip("pyarrow")
 pytest.importorskip("tokenizers")
 pytest.importorskip("public_tokenizers")
 
@@ -50,21 +52,72 @@ def test_closing_windows_keeps_every_token(lengths, tolerance):
     assert tokens == [(d, at) for d, n in enumerate(lengths) for at in range(n)]
 
 
-def test_long_texts_encode_by_stretches_like_whole_ones():
-    made = vocabularies.byte_level_tokenizer(vocabularies.read_file(vocabularies.public_file("byte_bpe_50k.json")))
-    text = "It's  been 3 days,\nsaid Zoë ... ok. Then x's, y.z \t and so on; no more 12,345 <|endoftext|> words. " * 3000
-    assert len(list(vocabularies.stretches(text))) > 3
-    assert encode_one(made, text) == made.encode(text, add_special_tokens=False).ids
-    assert list(vocabularies.stretches("x" * 200_000)) == [(0, 200_000)]
+TEXTS = [
+    "It's  been 3 days,\nsaid Zoë ... ok. Then x's, y.z \t and so on; no more 12,345 <|endoftext|> words. ", "", " ", "a", " a", "a ", "a b", "a  b c", "a. b, c; d", "1 2 3 x",
+    "naïve café 東京 x 🙂 y", "tabs\tand lines\r\n and", "it's we'll I'd", "ends with space ", " <|endoftext|> a", "x" * 500, "a b" * 100, "end.\n\nNext, one\nTwo\n\n\nThree.\nFour ,\n five.\n\n", "e.g. x.y,z\n", "a\n\n b\n\n1\n\né", "\u00a0 b \u2028 c",
+]
 
 
-def encode_one(made, text):
-    return vocabularies.encode_texts(made, [text])[0].tolist()
+def same_ids(tokenizer, texts):
+    encode = vocabularies.TextEncoder(tokenizer)
+    column = pa.array(texts, pa.string())
+    expected = [tokenizer.made.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encode(column)] == expected
+    assert [x.tolist() for x in encode.by_chunks(column)] == expected
+    assert tokenizer.encode([t.encode() for t in texts]) == expected
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_encoding_in_parts_is_encoding_whole_texts(plain, monkeypatch):
+    monkeypatch.setattr(vocabularies, "BATCH_BYTES", 300)
+    made = vocabularies.ByteLevel(vocabularies.read_file(vocabularies.public_file("byte_bpe_50k.json")), plain)
+    assert made.quick is not None and not made.is_plain("東".encode()) and made.is_plain("Zoë".encode()) and made.is_plain(b"<|endoftext|>") == plain
+    for texts in (TEXTS, TEXTS[::-1], ["".join(TEXTS)] * 3, [""]):
+        same_ids(made, texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab .,'s1\n\té東<\u027f\u0280\u01c5\u00aa\u00b2", max_size=40), min_size=1, max_size=5))
+def test_encoding_in_parts_on_any_text(texts):
+    same_ids(tokenizer(), texts)
+
+
+def test_both_libraries_class_the_plain_characters_alike():
+    made = tokenizer()
+    for c in map(chr, range(0x280)):
+        for t in (c, f"a{c}b", f" {c} ", f"{c}{c}1{c}", f"'{c}s.{c}"):
+            assert made.quick.encode_ordinary(t) == made.made.encode(t, add_special_tokens=False).ids, hex(ord(c))
+
+
+def test_other_vocabularies_are_read_by_their_library_alone():
+    assert vocabularies.ByteLevel(vocabularies.read_file(vocabularies.public_file("word_bpe_49k.json"))).quick is None
+
+
+def test_memo_forgets_and_stays_right(monkeypatch):
+    monkeypatch.setattr(vocabularies, "REMEMBERED", 3)
+    memo = vocabularies.Memo(lambda texts: [[len(t)] for t in texts])
+    for n in range(1, 8):
+        assert memo([b"x" * i for i in range(n)]) == [[i] for i in range(n)]
+        assert len(memo.known) <= 3
+
+
+def test_chunks_with_equal_hashes_stay_apart():
+    class Flat:
+        def __call__(self, data, starts, ends, which=0):
+            return np.zeros(len(starts), np.uint64) if which == 0 else (ends - starts).astype(np.uint64)
+
+    chunks = vocabularies.Chunks(Flat(), pa.array(["a bb ccc bb"]))
+    assert [chunks.texts[i] for i in chunks.chunk] == [b"a", b" bb", b" ccc", b" bb"]
+
+
+@functools.cache
+def tokenizer():
+    return vocabularies.ByteLevel(vocabularies.read_file(vocabularies.public_file("byte_bpe_50k.json")))
 
 
 def check(rows, texts):
     """All tokens once, sequences gapless, within the window and hardly padded; ``texts`` is a list of (id, text)."""
-    made = vocabularies.byte_level_tokenizer(vocabularies.read_file(vocabularies.public_file("byte_bpe_50k.json")))
+    made = tokenizer()
     by_row, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_row[r["row_id"]].append(r)
@@ -76,7 +129,7 @@ def check(rows, texts):
         ends = np.cumsum([r["length"] for r in own])
         assert [r["start"] for r in own] == [0, *ends[:-1]] and {r["doc_tokens"] for r in own} == {len(ids)}
         found.append((str(own[0]["doc_id"]), ids.tolist()))
-    assert sorted(found) == sorted((str(i), [*made.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in texts)
+    assert sorted(found) == sorted((str(i), [*made.made.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in texts)
     padding = total = 0
     for own in by_sequence.values():
         own.sort(key=lambda r: r["offset"])
@@ -129,8 +182,8 @@ def test_query_gives_the_digests(spark, tmp_path):
     texts = [(i, f"text {i} " * i) for i in range(120)]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = packing.q_packing(spark, str(tmp_path)).collect()
-    made = vocabularies.byte_level_tokenizer(vocabularies.read_file(vocabularies.public_file("byte_bpe_50k.json")))
-    ids = {i: [*made.encode(t, add_special_tokens=False).ids, 1] for i, t in texts}
+    made = tokenizer()
+    ids = {i: [*made.made.encode(t, add_special_tokens=False).ids, 1] for i, t in texts}
     assert sum(r["length"] for r in got) == sum(map(len, ids.values()))
     for r in got:
         own = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
