@@ -62,14 +62,14 @@ def normalize_events(raw: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataF
     return df.withColumns(cleaned)
 
 
-def first_occurrences(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """``(key, seq)`` of the first row per key (partial-aggregated)."""
-    return df.groupBy(key).agg(F.min(SEQ).alias(SEQ))
+def first_occurrences(df: DataFrame, key: str = "event_id", copies: str | None = None) -> DataFrame:
+    """``(key, seq)`` of the first row per key (partial-aggregated); ``copies`` names a column for the rows of the key."""
+    return df.groupBy(key).agg(F.min(SEQ).alias(SEQ), *([F.count(F.lit(1)).alias(copies)] if copies else []))
 
 
-def deduplicate_first(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """DED-1: keep the first row per ``key`` in ``seq`` order."""
-    return df.join(first_occurrences(df, key), [key, SEQ], "left_semi")
+def deduplicate_first(df: DataFrame, key: str = "event_id", copies: str | None = None) -> DataFrame:
+    """DED-1: keep the first row per ``key`` in ``seq`` order; ``copies`` names a column for how many rows it stands for."""
+    return df.join(first_occurrences(df, key, copies), [key, SEQ], "inner" if copies else "left_semi")
 
 
 def flag_duplicates(df: DataFrame, key: str = "event_id", out: str = "is_duplicate") -> DataFrame:
@@ -83,10 +83,10 @@ def flag_duplicates(df: DataFrame, key: str = "event_id", out: str = "is_duplica
     )
 
 
-def clean_transform(raw: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """PRJ-4: normalise, deduplicate, add ``notification_text``."""
+def clean_transform(raw: DataFrame, rules: RuleConfig = DEFAULT_RULES, copies: str | None = None) -> DataFrame:
+    """PRJ-4: normalise, deduplicate (``copies``: see ``deduplicate_first``), add ``notification_text``."""
     normalized = normalize_events(raw, rules)
-    deduped = deduplicate_first(normalized)
+    deduped = deduplicate_first(normalized, copies=copies)
     return deduped.withColumn(
         "notification_text", notification_text("event_type", "source_user_id")
     )

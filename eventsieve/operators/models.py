@@ -23,6 +23,7 @@ from eventsieve.config import (
     SELECTION_MARGIN,
     RuleConfig,
 )
+from eventsieve.operators.scoring import LinearModel
 
 
 def select_model(comparison: DataFrame, margin: float = SELECTION_MARGIN) -> DataFrame:
@@ -45,9 +46,10 @@ def select_model(comparison: DataFrame, margin: float = SELECTION_MARGIN) -> Dat
 @dataclass
 class FittedCandidate:
     name: str
-    model: object | None  # Spark ML PipelineModel, or None for the baseline
+    model: object | None  # a Spark ML model; None for the baseline and for stored weights
     training_seconds: float
     constant: float | None = None  # baseline probability
+    linear: LinearModel | None = None  # stored weights, applied as an expression
 
 
 def assemble(df: DataFrame, columns=FEATURE_COLUMNS, out: str = "features") -> DataFrame:
@@ -108,12 +110,15 @@ def fit_forest(train: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> FittedCan
         maxBins=rules.forest_max_bins,
         seed=rules.seed,
     )
-    model = rf.fit(train)
+    # The copy is without the training summary, which holds the session: tasks could not be sent the model with it.
+    model = rf.fit(train).copy()
     return FittedCandidate(MODEL_FOREST, model, time.perf_counter() - started)
 
 
 def predict(candidate: FittedCandidate, df: DataFrame, out: str = "probability_risky") -> DataFrame:
     """Positive-class probability column for any candidate (ML-13/16)."""
+    if candidate.linear is not None:
+        return df.withColumn(out, candidate.linear.probability())
     if candidate.model is None:
         return df.withColumn(out, F.lit(float(candidate.constant)))
     from pyspark.ml.functions import vector_to_array
@@ -124,7 +129,9 @@ def predict(candidate: FittedCandidate, df: DataFrame, out: str = "probability_r
 
 def feature_weights(candidate: FittedCandidate, columns=FEATURE_COLUMNS) -> list[tuple[str, float]]:
     """ML-14: importances (forest), coefficients (logistic) or zeros."""
-    if candidate.name == MODEL_FOREST:
+    if candidate.linear is not None:
+        values = list(candidate.linear.weights)
+    elif candidate.name == MODEL_FOREST:
         values = list(candidate.model.featureImportances.toArray())
     elif candidate.name == MODEL_LOGISTIC:
         values = list(candidate.model.coefficients.toArray())

@@ -61,39 +61,47 @@ def generate_notifications(
     return out if keep_position else out.drop("position")
 
 
-def calculate_kpis(rejected: DataFrame, notifications: DataFrame, valid_count_col: str | None = None) -> DataFrame:
-    """AGG-1: one row of counts and zero-safe rates, rounded to 2 places.
+KPI_COUNTS = ("events_processed", "valid_events", "rejected_events", "notifications_generated", "sent", "latency_sum")
+
+
+def kpi_rates(counts: DataFrame) -> DataFrame:
+    """AGG-1 from its counts (``KPI_COUNTS``): the counts and zero-safe rates, rounded to 2 places."""
+
+    def share(num: str, den: str):
+        return F.round(F.coalesce(F.try_divide(F.col(num) * F.lit(100.0), F.nullif(F.col(den), F.lit(0))), F.lit(0.0)), 2)
+
+    mean = F.coalesce(F.try_divide(F.col("latency_sum").cast("double"), F.nullif(F.col("notifications_generated"), F.lit(0))), F.lit(0.0))
+    return counts.select(
+        "events_processed", "valid_events", "rejected_events", "notifications_generated",
+        share("sent", "notifications_generated").alias("delivery_success_rate_pct"),
+        share("rejected_events", "events_processed").alias("error_rate_pct"),
+        F.round(mean, 2).alias("avg_latency_seconds"),
+        share("valid_events", "events_processed").alias("completeness_rate_pct"),
+    )
+
+
+def calculate_kpis(rejected: DataFrame, notifications: DataFrame) -> DataFrame:
+    """AGG-1: one row of counts and rates.
 
     Built as a single aggregate over ``notifications`` (one row per valid
     event) stacked on the rejected rows, so no join is needed."""
     stacked = notifications.select(
-        F.lit(1).alias("_valid"), "delivery_status", F.col("latency_seconds").cast("double").alias("_lat")
+        F.lit(1).alias("_valid"), "delivery_status", F.col("latency_seconds").alias("_lat")
     ).unionByName(
         rejected.select(
             F.lit(0).alias("_valid"),
             F.lit(None).cast("string").alias("delivery_status"),
-            F.lit(None).cast("double").alias("_lat"),
+            F.lit(None).cast("long").alias("_lat"),
         )
     )
-    valid_n = F.count_if(F.col("_valid") == 1)
-    rejected_n = F.count_if(F.col("_valid") == 0)
-    processed = F.count(F.lit(1))
-    notes = F.count("_lat")
-    sent = F.count_if(F.col("delivery_status") == DELIVERY_STATUS_SENT)
-
-    def pct(num, den):
-        return F.round(F.coalesce(F.try_divide(num * F.lit(100.0), F.nullif(den, F.lit(0))), F.lit(0.0)), 2)
-
-    return stacked.agg(
-        processed.alias("events_processed"),
-        valid_n.alias("valid_events"),
-        rejected_n.alias("rejected_events"),
-        notes.alias("notifications_generated"),
-        pct(sent, notes).alias("delivery_success_rate_pct"),
-        pct(rejected_n, processed).alias("error_rate_pct"),
-        F.round(F.coalesce(F.avg("_lat"), F.lit(0.0)), 2).alias("avg_latency_seconds"),
-        pct(valid_n, processed).alias("completeness_rate_pct"),
-    )
+    return kpi_rates(stacked.agg(
+        F.count(F.lit(1)).alias("events_processed"),
+        F.count_if(F.col("_valid") == 1).alias("valid_events"),
+        F.count_if(F.col("_valid") == 0).alias("rejected_events"),
+        F.count("_lat").alias("notifications_generated"),
+        F.count_if(F.col("delivery_status") == DELIVERY_STATUS_SENT).alias("sent"),
+        F.sum("_lat").alias("latency_sum"),
+    ))
 
 
 def recent_events(valid: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ query is built.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,19 @@ from eventsieve.config import (
     MODEL_FOREST,
     MODEL_LOGISTIC,
 )
-from eventsieve.functions.text import underscores_to_spaces
 from eventsieve.functions.timestamps import format_millis
 from eventsieve.operators import cleaning, decisions, evaluation, export, features, notifications, rules, scoring, stats
 from eventsieve.operators.indexing import with_global_index
-from eventsieve.plans.oracle_sql import EXPORT_SALT, FILTER_DECISION, FILTER_TYPE, REVIEW_TOP_N
+from eventsieve.plans.oracle_sql import (
+    EXPORT_SALT,
+    FILTER_DECISION,
+    FILTER_TYPE,
+    GRADIENT_STEPS,
+    LOOKUP_IDS_BELOW,
+    LOOKUP_POINTS,
+    LOOKUP_USERS_BELOW,
+    REVIEW_TOP_N,
+)
 from eventsieve.session import materialize, shared_path
 from eventsieve.sinks.writers import render_timestamps
 from eventsieve.sources.driver_tables import dirty_signals, model_events, raw_events
@@ -305,19 +314,179 @@ def q_serialized_events(spark, sf):
     return render_timestamps(cleaning.normalize_events(raw_events(spark, sf)).select("seq", "event_id", "created_at", "content"))
 
 
+def _scored_job(spark, sf):
+    """JOB-2 with the stored weights, its tables written; and JOB-3 over these tables."""
+    from eventsieve.plans.bi import build_bi_dataset
+    from eventsieve.plans.modeling import run_model_job
+
+    job, bi = shared_path(spark, "job"), shared_path(spark, "bi")
+    run_model_job(spark, materialize(model_events(spark, sf)), output_dir=job, stored_model=scoring.REFERENCE_MODEL)
+    return build_bi_dataset(spark, job, bi, EXPORT_SALT)
+
+
 def q_bi_decision_summary(spark, sf):
-    """JOB-3, STR-4: decision counts with readable labels."""
-    return q_decision_summary(spark, sf).withColumn("decision_label", underscores_to_spaces("final_decision"))
+    """JOB-3, STR-4: decision counts with readable labels, from the BI job's table."""
+    return spark.read.parquet(_scored_job(spark, sf)["resumen_decisiones"])
 
 
-def q_etl_job_kpis(spark, sf):
-    """JOB-1: the ETL job over the whole table, its KPI row without the timings."""
+def q_bi_subjects(spark, sf):
+    """JOB-3: rows of every table of the BI job, and of those that were left without a user."""
+    paths = _scored_job(spark, sf)
+    out = None
+    for subject, path in paths.items():
+        df = spark.read.parquet(path)
+        users = F.count_if(F.col("source_user_key") != "") if "source_user_key" in df.columns else F.lit(0).cast("long")
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), users.alias("n_user_keys")).select(F.lit(subject).alias("subject"), "n_rows", "n_user_keys")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _etl(spark, sf):
     from eventsieve.plans.etl import run_etl
 
-    result = run_etl(spark, raw_events(spark, sf), shared_path(spark, "etl"), bucketed_tables=False)
+    # Names of its own, so that runs side by side do not replace each other's tables.
+    return run_etl(spark, raw_events(spark, sf), shared_path(spark, "etl"), table_prefix=f"etl_{uuid.uuid4().hex}_")
+
+
+def q_etl_job_kpis(spark, sf):
+    """JOB-1: the whole ETL job with its defaults, its KPI row without the timings."""
+    result = _etl(spark, sf)
+    for table in result.tables.values():
+        table.drop(spark)
     return result.kpis.drop("input_file", "pipeline_execution_seconds", "processing_rows_per_second", "latency_measurement_type")
 
 
+def q_measured_run(spark, sf):
+    """AGG-2: the rows that the ETL's own writes counted."""
+    result = _etl(spark, sf)
+    for table in result.tables.values():
+        table.drop(spark)
+    names = ("input_rows", "events_processed", "valid_events", "rejected_events", "notifications_generated")
+    return spark.createDataFrame([tuple(result.counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+def q_table_lookups(spark, sf):
+    """SNK-3: the three loaded tables asked for sets of users and ids, and for a few of each by value."""
+    tables = _etl(spark, sf).tables
+    raw = cleaning.normalize_events(raw_events(spark, sf))
+    sets = {
+        "user": ("target_user_id", raw.filter(F.col("target_user_id") != "").filter(F.md5("target_user_id") < LOOKUP_USERS_BELOW)),
+        "id": ("event_id", raw.filter(F.md5("event_id") < LOOKUP_IDS_BELOW)),
+    }
+    out = None
+    for kind, (column, rows) in sets.items():
+        keys = materialize(rows.select(column).distinct())
+        few = [r[0] for r in keys.orderBy(F.md5(column)).limit(LOOKUP_POINTS).collect()]
+        for name, table in tables.items():
+            by_value = table.of_users(spark, few) if kind == "user" else table.of_ids(spark, few)
+            for lookup, found in ((f"{kind}_set", table.matching(keys, column)), (f"{kind}_value", by_value)):
+                found = found.select(F.lit(lookup).alias("lookup"), F.lit(name).alias("table_name"), "event_id", "event_type", "target_user_id", "created_at")
+                out = found if out is None else out.unionByName(found)
+    found = materialize(out)
+    for table in tables.values():
+        table.drop(spark)
+    return found
+
+
+def q_reloaded_scores(spark, sf):
+    """SNK-5: raw events scored by a pipeline that was saved and read back."""
+    from eventsieve.operators.model_stages import PROBABILITY, scoring_pipeline
+    from eventsieve.plans.modeling import load_scoring_pipeline
+
+    events = materialize(model_events(spark, sf))
+    path = shared_path(spark, "model")
+    scoring_pipeline(features.signal_medians(events), linear=scoring.REFERENCE_MODEL).write().save(path)
+    p = F.col(PROBABILITY)
+    return load_scoring_pipeline(path).transform(events).select(
+        "seq", "event_id", "event_type", F.round(p, 4).alias("risk_probability"), F.when(p >= R.threshold, LABEL_RISKY).otherwise(LABEL_VALID).alias("prediction")
+    )
+
+
+def q_feature_contributions(spark, sf):
+    """ML-14, SRT-3, SRT-4: the stored weights by size, with what each adds to an event's score on average."""
+    from eventsieve.operators.models import FittedCandidate, feature_weights, weights_table
+
+    model = scoring.REFERENCE_MODEL
+    z = scoring.standardize(_features(spark, sf), model.mean, model.std)
+    means = z.agg(*[F.avg(f"{c}_z").alias(c) for c in FEATURE_COLUMNS])
+    mean_of = means.unpivot([], list(FEATURE_COLUMNS), "feature", "mean_z")
+    weights = weights_table(spark, feature_weights(FittedCandidate(MODEL_LOGISTIC, None, 0.0, linear=model)))
+    ranked = decisions.top_rows(weights, [F.desc("abs_weight"), F.col("feature")], len(FEATURE_COLUMNS))
+    return ranked.join(mean_of, "feature").select("feature", "weight", "abs_weight", F.round(F.col("weight") * F.col("mean_z"), 6).alias("mean_contribution"))
+
+
+def q_gradient_weights(spark, sf):
+    """ML-4: the weights after a fixed number of full-batch steps, each one aggregate over the training vectors."""
+    from eventsieve.operators.gradient import GradientConfig, fit_by_gradient
+
+    train = scoring.stratified_split(_features(spark, sf).select("seq", *FEATURE_COLUMNS, LABEL_COLUMN)).filter(F.col("split") == "train")
+    model = fit_by_gradient(train, GradientConfig(steps=GRADIENT_STEPS, local_vectors=0))
+    rows = [("intercept", model.intercept), *zip(model.features, model.weights, strict=True)]
+    return spark.createDataFrame([(name, float(w)) for name, w in rows], "feature string, weight double").withColumn("weight", F.round("weight", 6))
+
+
+def q_forest_expression_scores(spark, sf):
+    """ML-6, ML-16: all events scored by a stored forest, compiled into one expression."""
+    from eventsieve.operators.trees import STORED_FOREST, score_forest
+
+    p = F.col("probability_risky")
+    return score_forest(_features(spark, sf), STORED_FOREST).select(
+        "seq", "event_id", F.round(p, 6).alias("risk_probability"), F.when(p >= R.threshold, LABEL_RISKY).otherwise(LABEL_VALID).alias("prediction")
+    )
+
+
+def q_feed_round_trip(spark, sf):
+    """SNK-8, JSN-1: the whole payload written, and its metrics, quality table and decisions read back from it."""
+    from eventsieve.operators.feed import feed_payload, read_section, write_payload
+
+    feats = _features(spark, sf)
+    decided = materialize(decisions.decide(feats, scoring.REFERENCE_MODEL.probability(), R))
+    scored = scoring.stratified_split(feats.withColumn("_p", scoring.REFERENCE_MODEL.probability()).select("seq", LABEL_COLUMN, "_p"))
+    test = scored.filter(F.col("split") == "test").select(F.col(LABEL_COLUMN).alias("label"), F.col("_p").alias("probability"))
+    metrics = materialize(evaluation.classification_metrics(test, threshold=R.threshold))
+    timings = spark.createDataFrame([(0.0,)], "training_seconds double")
+    path = shared_path(spark, "feed")
+    write_payload(feed_payload(metrics, metrics.withColumn("model", F.lit(MODEL_LOGISTIC)), stats.quality_summary(feats), timings, decided, MODEL_LOGISTIC), path)
+
+    def tall(section, name, text, number):
+        return lambda df: df.select(F.lit(section).alias("section"), name.alias("name"), text.alias("text_value"), F.round(number, 6).alias("number_value"))
+
+    nothing, measured = F.lit(None).cast("string"), ["accuracy", "precision", "recall", "f1_score", "roc_auc", "gini", "threshold"]
+    kinds = {m: "double" for m in measured} | {"true_positives_risky_detected": "bigint", "false_positives_valid_marked_risky": "bigint"}
+    wide = read_section(spark, path, "metrics", kinds)
+    found = [
+        wide.select(*[F.col(c).cast("double").alias(c) for c in kinds]).unpivot([], list(kinds), "name", "number").transform(
+            tall("metrics", F.col("name"), nothing, F.col("number"))),
+        read_section(spark, path, "quality", "indicator string, value double, text_value string").transform(
+            tall("quality", F.col("indicator"), F.col("text_value"), F.col("value"))),
+        read_section(spark, path, "decisions", "event_id string, event_type string, created_at string, ai_risk_probability double, ai_prediction string, final_decision string").transform(
+            tall("decisions", F.concat_ws("|", "event_id", "event_type", "created_at"), F.concat_ws("|", "ai_prediction", "final_decision"), F.col("ai_risk_probability"))),
+        read_section(spark, path, "selected_model", "selected_model string").transform(
+            tall("selected_model", F.lit("selected_model"), F.col("selected_model"), F.lit(None).cast("double"))),
+    ]
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def q_sql_function_decisions(spark, sf):
+    """VAL-3..5, HSH-1, DAT-1/2 and the scorer from SQL alone, over the raw model events."""
+    from eventsieve.plans.sql_functions import register
+
+    register(spark)
+    view = f"es_model_{uuid.uuid4().hex}"
+    _features(spark, sf).createOrReplaceTempView(f"{view}_features")
+    arguments = ", ".join(f"f.{c}" for c in FEATURE_COLUMNS)
+    return spark.sql(f"""
+        SELECT seq, event_id, reason AS rule_error_reason, round(risk, 4) AS ai_risk_probability, es_decision(reason, risk) AS final_decision,
+               es_explanation(reason, risk) AS decision_explanation, es_pseudonym(source_user_id, '{EXPORT_SALT}') AS source_user_key,
+               es_millis(es_event_time(created_at)) AS created_at
+        FROM (SELECT f.*, es_risk({arguments}) AS risk,
+                     es_rule_reason(event_id, event_type, source_user_id, target_user_id, created_at, is_duplicate) AS reason
+              FROM {view}_features f)""")
+
+
 SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_events": q_clean_events,
     "duplicate_flags": q_duplicate_flags,
@@ -361,7 +530,16 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "imputed_signals": q_imputed_signals,
     "serialized_events": q_serialized_events,
     "bi_decision_summary": q_bi_decision_summary,
+    "bi_subjects": q_bi_subjects,
     "etl_job_kpis": q_etl_job_kpis,
+    "measured_run": q_measured_run,
+    "table_lookups": q_table_lookups,
+    "reloaded_scores": q_reloaded_scores,
+    "feature_contributions": q_feature_contributions,
+    "gradient_weights": q_gradient_weights,
+    "forest_expression_scores": q_forest_expression_scores,
+    "feed_round_trip": q_feed_round_trip,
+    "sql_function_decisions": q_sql_function_decisions,
 }
 
 def _fitted(spark, sf, names):

@@ -7,7 +7,7 @@ read it, and checkpointing cuts the history windows out of the lineage).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from eventsieve.config import (
 )
 from eventsieve.operators import decisions as decisions_op
 from eventsieve.operators import evaluation, features, models, scoring, stats
+from eventsieve.operators.model_stages import scoring_pipeline
 from eventsieve.operators.rules import require_columns, require_min_rows
 from eventsieve.session import ensure_checkpoint_dir, materialize
 from eventsieve.operators.export import decision_feed
@@ -55,6 +56,7 @@ class TrainResult:
     features: DataFrame | None = None
     confusions: DataFrame | None = None
     linear_model: scoring.LinearModel | None = None
+    pipeline: object | None = None  # raw rows to probability_risky, by the selected model
 
 
 def _prepare(df: DataFrame, name: str, mean, std) -> DataFrame:
@@ -67,9 +69,14 @@ def fit_candidates(
     train: DataFrame, mean, std, rules: RuleConfig, names: tuple[str, ...] = (MODEL_BASELINE, MODEL_LOGISTIC, MODEL_FOREST)
 ) -> dict[str, models.FittedCandidate]:
     """Fit the candidates asked for, no others."""
+
+    def logistic() -> models.FittedCandidate:
+        fitted = models.fit_logistic(_prepare(train, MODEL_LOGISTIC, mean, std), rules)
+        return replace(fitted, linear=linear_from_logistic(fitted, mean, std))  # scored as an expression from here on
+
     fits = {
         MODEL_BASELINE: lambda: models.fit_baseline(train),
-        MODEL_LOGISTIC: lambda: models.fit_logistic(_prepare(train, MODEL_LOGISTIC, mean, std), rules),
+        MODEL_LOGISTIC: logistic,
         MODEL_FOREST: lambda: models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), rules),
     }
     return {name: fits[name]() for name in names}
@@ -88,10 +95,12 @@ def run_model_job(
     output_dir: str | None = None,
     dataset_source: str = "events",
     new_events: DataFrame | None = None,
+    stored_model: scoring.LinearModel | None = None,
 ) -> TrainResult:
     """Fit, compare, select and decide; ``new_events`` (raw rows, signals
     optional) are scored by the fitted linear model with the training medians.
-    Without ``new_events`` that table is empty."""
+    Without ``new_events`` that table is empty.  With ``stored_model`` nothing is
+    fitted: the stored weights are the one candidate."""
     require_columns(events, REQUIRED_MODEL_COLUMNS)
     require_min_rows(events, rules.minimum_input_rows)
     ensure_checkpoint_dir(spark)
@@ -103,7 +112,12 @@ def run_model_job(
     test = split.filter(F.col("split") == "test")
     mean, std = scoring.train_statistics(train)
 
-    candidates = fit_candidates(train, mean, std, rules)
+    if stored_model is None:
+        candidates = fit_candidates(train, mean, std, rules)
+        linear = candidates[MODEL_LOGISTIC].linear
+    else:
+        linear = stored_model
+        candidates = {MODEL_LOGISTIC: models.FittedCandidate(MODEL_LOGISTIC, None, 0.0, linear=linear)}
     rows = [models.evaluate(cand, _prepare_for(cand, test, mean, std), rules.threshold) for cand in candidates.values()]
     comparison = rows[0]
     for r in rows[1:]:
@@ -149,7 +163,6 @@ def run_model_job(
         all_scored.withColumn("event_type", F.col("_raw_type")),
         F.col("probability_risky"), rules, keep=("seq",) if "seq" in all_scored.columns else (),
     )
-    linear = linear_from_logistic(candidates[MODEL_LOGISTIC], mean, std)
     unseen = new_events if new_events is not None else events.limit(0)
     kept = ("seq", "event_id", "event_type", "source_user_id", "target_user_id", "created_at", "content", "is_duplicate")
     scored_new = scoring.score_linear(features.engineer_features(unseen, rules, medians), linear, rules.threshold).select(
@@ -173,14 +186,24 @@ def run_model_job(
         confusions=confusions,
         candidates=candidates,
         linear_model=linear,
+        pipeline=scoring_pipeline(
+            medians, linear=chosen.linear, classifier=chosen.model, constant=chosen.constant
+        ),
     )
     if output_dir:
         write_outputs(result, output_dir)
     return result
 
 
+def load_scoring_pipeline(path: str):
+    """SNK-5: the saved model; its ``transform`` adds ``probability_risky`` to raw event rows."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
 def _prepare_for(cand: models.FittedCandidate, df: DataFrame, mean, std) -> DataFrame:
-    return df if cand.model is None else _prepare(df, cand.name, mean, std)
+    return df if cand.model is None or cand.linear is not None else _prepare(df, cand.name, mean, std)
 
 
 def write_outputs(result: TrainResult, output_dir: str) -> dict[str, str]:
@@ -207,10 +230,8 @@ def write_outputs(result: TrainResult, output_dir: str) -> dict[str, str]:
     # SNK-8: the decision feed (no user ids) as JSON lines.
     paths["decision_feed"] = os.path.join(output_dir, "decision_feed")
     write_table(decision_feed(result.decisions), paths["decision_feed"], "json")
-    # SNK-5: the selected fitted model plus a one-row metadata table.
-    chosen = result.candidates[result.selected_model]
-    if chosen.model is not None:
-        chosen.model.write().overwrite().save(os.path.join(output_dir, "model"))
+    # SNK-5: the selected model as a pipeline over raw rows (``load_scoring_pipeline``), plus a one-row metadata table.
+    result.pipeline.write().overwrite().save(os.path.join(output_dir, "model"))
     lm = result.linear_model
     spark = result.comparison.sparkSession
     meta = spark.createDataFrame(

@@ -20,12 +20,16 @@ from eventsieve.config import (
     STATISTIC_COLUMNS,
 )
 from eventsieve.operators.scoring import REFERENCE_MODEL
+from eventsieve.operators.trees import STORED_FOREST
 
 R = DEFAULT_RULES
 ALLOWED = ", ".join(f"'{t}'" for t in ALLOWED_EVENT_TYPES)
 EXPORT_SALT = "eventsieve-test-salt"
 FILTER_TYPE, FILTER_DECISION = "follow", "rechazado_por_reglas"
 REVIEW_TOP_N = 10
+# Keys looked up: users and ids whose md5 comes before these, and the first few of each.
+LOOKUP_USERS_BELOW, LOOKUP_IDS_BELOW, LOOKUP_POINTS = "1", "02", 14
+GRADIENT_STEPS = 12
 
 
 def _adapter(source: str, extra: str = "") -> str:
@@ -342,6 +346,98 @@ FROM cmp"""
     return with_ctes(body, "test", "scored").replace("\n\n, cmp AS", ",\ncmp AS", 1).replace("\n, cmp AS", ",\ncmp AS", 1).replace("\n, best AS", ",\nbest AS", 1)
 
 
+def _lookup_sql() -> str:
+    tables = {
+        "notifications": "SELECT event_id, event_type, target_user_id, created_at FROM notes",
+        "validated_events": f"SELECT event_id, event_type, target_user_id, {ms('created_at')} AS created_at FROM valid",
+        "rejected_events": f"SELECT event_id, event_type, target_user_id, {ms('created_at')} AS created_at FROM checked WHERE error_reason <> ''",
+    }
+    keys = {
+        "user": ("target_user_id", f"SELECT DISTINCT target_user_id AS k FROM norm WHERE target_user_id <> '' AND md5(target_user_id) < '{LOOKUP_USERS_BELOW}'"),
+        "id": ("event_id", f"SELECT DISTINCT event_id AS k FROM norm WHERE md5(event_id) < '{LOOKUP_IDS_BELOW}'"),
+    }
+    parts = []
+    for kind, (column, of) in keys.items():
+        for name, table in tables.items():
+            for lookup, wanted in ((f"{kind}_set", of), (f"{kind}_value", f"SELECT k FROM ({of}) ORDER BY md5(k) LIMIT {LOOKUP_POINTS}")):
+                parts.append(f"SELECT '{lookup}' AS lookup, '{name}' AS table_name, * FROM ({table}) WHERE {column} IN (SELECT k FROM ({wanted}))")
+    return with_ctes("\nUNION ALL\n".join(parts), "notes", "valid", "checked", "norm")
+
+
+def _contribution_sql() -> str:
+    m = REFERENCE_MODEL
+    parts = [
+        f"SELECT '{c}' AS feature, round({float(w)!r}::DOUBLE, 6) AS weight, round(abs({float(w)!r}::DOUBLE), 6) AS abs_weight, "
+        f"round(round({float(w)!r}::DOUBLE, 6) * avg((CAST({c} AS DOUBLE) - {float(a)!r}::DOUBLE) / {float(s)!r}::DOUBLE), 6) AS mean_contribution FROM feat"
+        for c, w, a, s in zip(m.features, m.weights, m.mean, m.std, strict=True)
+    ]
+    return with_ctes("\nUNION ALL\n".join(parts), "feat")
+
+
+def _subjects_sql() -> str:
+    count = {
+        "metricas_modelo": "1", "comparacion_modelos": "1", "matriz_confusion": "(SELECT count(DISTINCT label) FROM test)",
+        "curva_roc": "(SELECT count(*) + 2 FROM roc)", "pesos_variables": str(len(FEATURE_COLUMNS)), "predicciones_nuevas": "0", "rendimiento_ia": "1",
+        "calidad_datos": "9", "estadisticas_calidad": str(5 * len(STATISTIC_COLUMNS)), "decisiones_finales": "(SELECT count(*) FROM decisions)",
+        "resumen_decisiones": "(SELECT count(DISTINCT final_decision) FROM decisions)",
+    }
+    users = "(SELECT count_if(trim(source_user_id) <> '') FROM decisions)"
+    parts = [
+        f"SELECT '{name}' AS subject, CAST({n} AS BIGINT) AS n_rows, CAST({users if name == 'decisiones_finales' else 0} AS BIGINT) AS n_user_keys"
+        for name, n in count.items()
+    ]
+    return with_ctes("\nUNION ALL\n".join(parts), "roc", "decisions")
+
+
+def _gradient_sql() -> str:
+    """ML-4: the same steps as a recursion over one row of weights."""
+    n = len(FEATURE_COLUMNS)
+    weights = [f"w{i}" for i in range(n + 1)]
+    stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}, coalesce(nullif(stddev_pop(CAST({c} AS DOUBLE)), 0), 1.0) AS s{i}" for i, c in enumerate(FEATURE_COLUMNS, 1))
+    z = ", ".join(f"(CAST({c} AS DOUBLE) - m{i}) / s{i} AS x{i}" for i, c in enumerate(FEATURE_COLUMNS, 1))
+    score = " + ".join(["w0", *(f"w{i} * x{i}" for i in range(1, n + 1))])
+    moved = ["any_value(w0) - 0.08 * sum(e) / count(*)", *(f"any_value(w{i}) - 0.08 * (sum(e * x{i}) + 0.01 * any_value(w{i})) / count(*)" for i in range(1, n + 1))]
+    body = f"""
+, tr AS (SELECT * FROM split WHERE split = 'train')
+, st AS (SELECT {stats} FROM tr)
+, zt AS MATERIALIZED (SELECT {LABEL_COLUMN}::DOUBLE AS y, {z} FROM tr, st)
+, steps(k, {', '.join(weights)}) AS (
+  SELECT 0, {', '.join('0.0::DOUBLE' for _ in weights)}
+  UNION ALL
+  SELECT any_value(k) + 1, {', '.join(moved)}
+  FROM (SELECT steps.*, zt.*, {sigmoid_sql(score)} - y AS e FROM steps, zt WHERE k < {GRADIENT_STEPS}) HAVING count(*) > 0)
+""" + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS feature, round({w}, 6) AS weight FROM steps WHERE k = {GRADIENT_STEPS}" for name, w in zip(("intercept", *FEATURE_COLUMNS), weights, strict=True)
+    )
+    return "WITH RECURSIVE" + with_ctes(body, "split").replace("\n\n, tr AS", ",\ntr AS", 1).replace("\n, tr AS", ",\ntr AS", 1).removeprefix("WITH")
+
+
+def _tree_sql(tree) -> str:
+    if isinstance(tree, float):
+        return f"{tree!r}::DOUBLE"
+    return f"CASE WHEN CAST({tree.feature} AS DOUBLE) <= {tree.threshold!r}::DOUBLE THEN {_tree_sql(tree.low)} ELSE {_tree_sql(tree.high)} END"
+
+
+def _forest_sql() -> str:
+    p = "(" + " + ".join(_tree_sql(t) for t in STORED_FOREST) + f") / {float(len(STORED_FOREST))!r}::DOUBLE"
+    return with_ctes(
+        f"SELECT seq, event_id, round(p, 6) AS risk_probability, CASE WHEN p >= {R.threshold} THEN 'riesgoso' ELSE 'valido' END AS prediction "
+        f"FROM (SELECT seq, event_id, {p} AS p FROM feat)", "feat")
+
+
+def _feed_sql() -> str:
+    names = ("accuracy", "precision", "recall", "f1_score", "roc_auc", "gini", "threshold", "true_positives_risky_detected", "false_positives_valid_marked_risky")
+    parts = [f"SELECT 'metrics' AS section, '{m}' AS name, NULL::VARCHAR AS text_value, round(CAST({m} AS DOUBLE), 6) AS number_value FROM met" for m in names]
+    parts.append(f"SELECT 'quality', indicator, text_value, round(value, 6) FROM ({_quality_sql()})")
+    parts.append(
+        "SELECT 'decisions', event_id || '|' || event_type || '|' || created_at, ai_prediction || '|' || final_decision, round(ai_risk_probability, 6) "
+        "FROM (SELECT d.event_id, f.event_type, d.created_at, d.ai_prediction, d.final_decision, d.ai_risk_probability FROM decisions d JOIN feat f USING (seq))"
+    )
+    parts.append("SELECT 'selected_model', 'selected_model', 'regresion_logistica', NULL::DOUBLE")
+    body = f", met AS ({_metrics_sql('roc')})\n" + "\nUNION ALL\n".join(parts)
+    return with_ctes(body, "roc", "feat", "decisions").replace("\n, met AS", ",\nmet AS", 1)
+
+
 def oracle_queries() -> dict[str, str]:
     allowed_views = " UNION ALL ".join(
         f"SELECT '{t}' AS view_name, *, row_number() OVER (PARTITION BY event_type ORDER BY created_at DESC, event_id) - 1 AS position FROM valid WHERE event_type = '{t}'"
@@ -362,6 +458,29 @@ def oracle_queries() -> dict[str, str]:
         "notifications": with_ctes("SELECT * FROM notes", "notes"),
         "kpi_report": with_ctes(_KPI_SQL.format(more="", source="checked"), "checked", "notes"),
         "etl_job_kpis": with_ctes(_KPI_SQL.format(more=", (SELECT count(*) FROM raw) AS input_rows", source="checked"), "checked", "notes"),
+        "measured_run": with_ctes(
+            "SELECT (SELECT count(*) FROM raw) AS input_rows, count(*) AS events_processed, CAST(count_if(error_reason = '') AS BIGINT) AS valid_events, "
+            "CAST(count_if(error_reason <> '') AS BIGINT) AS rejected_events, (SELECT count(*) FROM notes) AS notifications_generated FROM checked",
+            "checked", "notes",
+        ),
+        "table_lookups": _lookup_sql(),
+        "feature_contributions": _contribution_sql(),
+        "gradient_weights": _gradient_sql(),
+        "forest_expression_scores": _forest_sql(),
+        "feed_round_trip": _feed_sql(),
+        "sql_function_decisions": with_ctes(
+            "SELECT seq, event_id, rule_error_reason, ai_risk_probability, final_decision, decision_explanation, "
+            f"CASE WHEN trim(coalesce(source_user_id, '')) = '' OR lower(trim(source_user_id)) = 'nan' THEN '' "
+            f"ELSE 'usr_' || substr(sha256('{EXPORT_SALT}:' || trim(source_user_id)), 1, 10) END AS source_user_key, "
+            f"{ms('try_cast(created_at AS TIMESTAMP)')} AS created_at FROM decisions",
+            "decisions",
+        ),
+        "bi_subjects": _subjects_sql(),
+        "reloaded_scores": with_ctes(
+            f"SELECT s.seq, s.event_id, m.event_type, round(_p, 4) AS risk_probability, CASE WHEN _p >= {R.threshold} THEN 'riesgoso' ELSE 'valido' END AS prediction "
+            "FROM scored s JOIN (SELECT seq, event_type FROM model) m USING (seq)",
+            "scored", "model",
+        ),
         "recent_events": with_ctes(
             f"SELECT {PROCESSED_COLS}, row_number() OVER (ORDER BY created_at DESC, event_id) - 1 AS position FROM valid",
             "valid",

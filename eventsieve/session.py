@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every job relies on.  AQE re-plans joins and aggregates at run
 # time: it coalesces small shuffle partitions, splits skewed ones and turns a
@@ -79,8 +80,13 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark)
     df.write.mode("overwrite").parquet(path)
+    return stored_table(spark, path, df.schema)
+
+
+def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The frame written as parquet to ``path``, which ``release`` deletes."""
     _STORED.append(path)
-    stored = spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
     stored._stored_path = path
     return stored
 

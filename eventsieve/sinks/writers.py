@@ -8,7 +8,7 @@ failure replaces partial output (tasks that die are retried by Spark).
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventsieve.functions.timestamps import format_millis
@@ -36,17 +36,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         writer.parquet(path)
 
 
-def save_bucketed(df: DataFrame, name: str, path: str, bucket_col: str, sort_col: str, buckets: int = 16) -> None:
-    """SNK-3: replaced table bucketed on the lookup key and sorted on the id,
-    standing in for the reference's two secondary indexes: joins and
-    filters on ``bucket_col`` read one bucket without a shuffle."""
-    (
-        df.write.mode("overwrite")
-        .bucketBy(buckets, bucket_col)
-        .sortBy(sort_col)
-        .option("path", path)
-        .saveAsTable(name)
-    )
+def write_measured(df: DataFrame, path: str, counts: dict[str, Column], fmt: str = "parquet", partition_by: tuple[str, ...] = (), keep: list[str] | None = None) -> dict:
+    """AGG-2: write a table and return aggregates over its rows, measured by the same job (``DataFrame.observe``).
+
+    ``keep`` names the columns to write where ``counts`` need others too.  The
+    metrics are taken in the stage that writes, whose tasks count once however
+    often they are tried.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(name) for name, c in counts.items()])
+    write_table(observed.select(*keep) if keep else observed, path, fmt, partition_by)
+    return seen.get
 
 
 def verify_outputs(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> dict[str, bool]:
