@@ -24,6 +24,7 @@ encoded once and a lost task is read again from there.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventsieve.llm.texts import WordHash, pieces
-from eventsieve.llm.vocabularies import ByteLevel, Chunks, Memo, byte_level_alphabet, in_batches, laid_out, public_file, read_file
+from eventsieve.llm.vocabularies import ByteLevel, Chunks, Memo, byte_level_alphabet, in_batches, laid_out, picked, public_file, read_file
 from eventsieve.session import materialize, release
 
 BLOCK_BYTES = 2 << 20
@@ -51,9 +52,10 @@ class Vocabularies:
         self.made = a, b
         self.a = ByteLevel(a, plain_specials=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        alphabet = byte_level_alphabet()
-        self.a_bytes = [b""] * self.a.made.get_vocab_size()
-        for token, i in self.a.made.get_vocab().items():
+        made, alphabet = json.loads(a), byte_level_alphabet()
+        ids = made["model"]["vocab"] | {t["content"]: t["id"] for t in made.get("added_tokens", [])}
+        self.a_bytes = [b""] * (1 + max(ids.values()))
+        for token, i in ids.items():
             if all(c in alphabet for c in token):
                 self.a_bytes[i] = bytes(alphabet[c] for c in token)
         shown = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -63,6 +65,8 @@ class Vocabularies:
         # Of two ids with equal bytes the written piece comes before the bare byte.
         of_bytes = {self.b_bytes[i]: i for i in sorted(range(len(shown)), key=lambda i: not self.b.is_byte(i))}
         self.same = np.array([of_bytes.get(t, -1) for t in self.a_bytes], np.int64)
+        self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self._spelled = [(np.frombuffer(b"".join(t), np.uint8), n) for t, n in ((self.a_bytes, self.a_length), (self.b_bytes, self.b_length))]
 
     def __reduce__(self):
         return Vocabularies, self.made  # tasks read the files' contents
@@ -71,14 +75,22 @@ class Vocabularies:
         """The ids of both sides for every text, None where their bytes are not a space and the text."""
         out = []
         for lo, hi in in_batches(texts):
-            own = texts[lo:hi]
-            spaced = [b" " + t for t in own]
-            sides = self.a.encode(spaced), self.b.encode([t.decode("utf-8", "surrogatepass") for t in own], num_threads=1)
-            for expected, *both in zip(spaced, *sides, strict=True):
-                spelled = all(b"".join(map(table.__getitem__, ids)) == expected for table, ids in zip((self.a_bytes, self.b_bytes), both, strict=True))
-                out.append(tuple(both) if spelled else None)
+            spaced = [b" " + t for t in texts[lo:hi]]
+            sides = self.a.encode(spaced), self.b.encode([t.decode("utf-8", "surrogatepass") for t in texts[lo:hi]], num_threads=1)
+            right = self._spells(spaced, sides[0], 0) & self._spells(spaced, sides[1], 1)
+            out += [both if ok else None for ok, *both in zip(right.tolist(), *sides, strict=True)]
         return out
 
+    def _spells(self, texts: list[bytes], parts: list[list[int]], side: int) -> np.ndarray:
+        """Whether the tokens' bytes, one after the other, are the text."""
+        ids, sizes = laid_out(parts)
+        letters, lengths = self._spelled[side]
+        wanted = np.fromiter(map(len, texts), np.int64, len(texts))
+        right = sums_of(lengths[ids], sizes) == wanted
+        same = picked(letters, lengths, ids[np.repeat(right, sizes)]) == np.frombuffer(b"".join(t for t, ok in zip(texts, right.tolist(), strict=True) if ok), np.uint8)
+        right[right] = sums_of(~same, wanted[right]) == 0
+        return right
+
 
 def sums_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of stretches of ``values`` that stand one after the other."""
@@ -86,6 +98,25 @@ def sums_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.diff(sums[np.cumsum(sizes)], prepend=0) if len(sizes) else np.zeros(0, np.int64)
 
 
+def frequent_first(values: np.ndarray, times: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values by falling number of times, and the places among them: small numbers, which pack well."""
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return values[order], times[order], rank[places]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, all first bytes, then all second ones and so on, compressed."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n).T.copy().view("<u4").reshape(-1)
+
+
 class Block:
     """Groups and links of the tokens of some chunks, weighted by how often each occurs."""
 
@@ -112,9 +143,10 @@ class Block:
         some_a, some_b = np.flatnonzero(~regular[group_a]), np.flatnonzero(~regular[group_b])
         ends = np.unique(np.concatenate([end_a[some_a], end_b[some_b]]))
         link_a, link_b = some_a[np.searchsorted(end_a[some_a], ends)], some_b[np.searchsorted(end_b[some_b], ends)]
-        self.pairs, self.links = np.unique(a[link_a] << 32 | b[link_b], return_inverse=True)
+        pairs, links = np.unique(a[link_a] << 32 | b[link_b], return_inverse=True)
+        times = np.bincount(links, weight[of_a[link_a]], len(pairs)).astype(np.int64)
+        self.pairs, self.times, self.links = frequent_first(pairs, times, links)
         self.links_of = np.bincount(of_a[link_a], minlength=n)
-        self.times = np.bincount(self.links, weight[of_a[link_a]], len(self.pairs)).astype(np.int64)
         # Written order: a group's A tokens, then its B tokens.
         written = np.empty(len(a) + len(b), np.int64)
         written[np.arange(len(a)) + first_b[group_a]] = a + close_a * tables.size_a
@@ -135,7 +167,7 @@ class Tables:
     """Arrays by token id: bytes, the id of B with A's bytes, ids as written with what stands behind them."""
 
     def __init__(self, v: Vocabularies):
-        self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (v.a_bytes, v.b_bytes))
+        self.a_length, self.b_length = v.a_length, v.b_length
         self.same, self.size_a, self.size_b = v.same, len(v.a_bytes), len(v.b_bytes)
         self.written = [b"%d%s" % (i, mark) for size, marks in ((self.size_a, (b",", b"|")), (self.size_b, (b",", b";"))) for mark in marks for i in range(size)]
 
@@ -173,9 +205,10 @@ def _blocks(docs: DataFrame, vocabularies: Vocabularies, keep_groups: bool) -> D
             lost = np.zeros(n, bool)
             lost[chunks.doc[~spelled[chunks.chunk]]] = True
             kept = ~lost[chunks.doc]
-            used, occurrences = np.unique(chunks.chunk[kept], return_inverse=True)
+            used, occurrences, times = np.unique(chunks.chunk[kept], return_inverse=True, return_counts=True)
+            used, times, occurrences = frequent_first(used, times, occurrences)
             of = np.bincount(chunks.doc[kept], minlength=n)
-            own = Block(tables, [tokens[i] for i in used.tolist()], np.bincount(occurrences, minlength=len(used)))
+            own = Block(tables, [tokens[i] for i in used.tolist()], times)
             total += own.vector
             texts, at = own.group_texts(tables), np.cumsum(of) - of
             every = occurrences.tolist()
@@ -190,7 +223,7 @@ def _blocks(docs: DataFrame, vocabularies: Vocabularies, keep_groups: bool) -> D
                 "a": pa.array(own.pairs >> 32, pa.int32()), "b": pa.array(own.pairs & 0xFFFFFFFF, pa.int32()), "n": pa.array(own.times, pa.int64()),
             })
             arrays = [occurrences, own.same, own.same_of, own.links, own.links_of]
-            values = [pa.array([block], pa.int64()), documents, *(pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in arrays), pairs, pa.array([vector], pa.binary())]
+            values = [pa.array([block], pa.int64()), documents, *(pa.array([packed(x)], pa.binary()) for x in arrays), pairs, pa.array([vector], pa.binary())]
             return pa.RecordBatch.from_arrays(values, names=["block", "documents", *ARRAYS, "pairs", "vector"])
 
         for batch in pieces(batches, 1, BLOCK_BYTES):
@@ -257,7 +290,7 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, keep_grou
                 if len(place):
                     n[place] = got.field("n").to_numpy()
                     is_best[place] = got.field("is_best").to_numpy(zero_copy_only=False)
-                arrays = {c: np.frombuffer(batch.column(c)[i].as_buffer(), "<u4") for c in ARRAYS}
+                arrays = {c: unpacked(batch.column(c)[i].as_py()) for c in ARRAYS}
                 of_document = own.field("chunks").to_numpy()
                 counted = []
                 for same_value, value in ((same_best, is_best), (same_n, n)):

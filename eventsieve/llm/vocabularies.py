@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -74,19 +75,16 @@ def merge_ranks(content: bytes) -> dict[bytes, int] | None:
 class ByteLevel:
     """A byte-level BPE file read by ``tokenizers``; with ``plain_specials`` special tokens' strings are ordinary text.
 
-    Texts of plain characters go through ``tiktoken`` over the same file's ranks, which gives the same ids several times faster: both
-    know the classes of characters below U+0280 alike.  Others, and texts
-    that hold a special token's string, go through ``tokenizers`` itself.
+    Texts of plain characters go through ``tiktoken`` over the same file's
+    ranks, which gives the same ids several times faster: both know the classes
+    of characters below U+0280 alike.  Others, and texts that hold a special
+    token's string, go through ``tokenizers`` itself.
     """
 
     OTHER_BYTES = bytes(range(0xCA, 0x100))  # characters from U+0280 on begin with one of them
 
     def __init__(self, content: bytes, plain_specials: bool = False):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
-        from tokenizers import Tokenizer
-
-        self.made = Tokenizer.from_str(content.decode("utf-8"))
-        self.made.encode_special_tokens = plain_specials
+        self.content, self.plain_specials = content, plain_specials
         self.specials = [] if plain_specials else [t["content"].encode() for t in json.loads(content).get("added_tokens", [])]
         ranks = merge_ranks(content)
         self.quick = None
@@ -96,9 +94,19 @@ class ByteLevel:
 
             self.quick = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def made(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_str(self.content.decode("utf-8"))
+        made.encode_special_tokens = self.plain_specials
+        return made
+
     def is_plain(self, text: bytes) -> bool:
-        plain = text.isascii() or len(text.translate(None, self.OTHER_BYTES)) == len(text)
-        return plain and self.quick is not None and not any(s in text for s in self.specials)
+        if self.quick is None or not text.isascii() and len(text.translate(None, self.OTHER_BYTES)) != len(text):
+            return False
+        return not self.specials or not any(s in text for s in self.specials)
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         """The ids of every text, without special tokens around them."""
