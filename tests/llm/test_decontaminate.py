@@ -123,6 +123,46 @@ def test_long_items_at_the_most_edits(size):
 
 
 def test_a_size_below_the_promised_recall_is_an_error(monkeypatch):
-    monkeypatch.setattr(D, "MAX_REPETITIONS", 1)
+    monkeypatch.setattr(D, "MAX_WALKS", 0)
     with pytest.raises(RuntimeError, match="below"):
         D.Index([(0, " ".join(f"w{i}" for i in range(50)))])
+
+
+@pytest.mark.parametrize("size", [5, 7, 15, 25, 100, 500])
+@pytest.mark.parametrize("where", ["first", "middle", "last", "any"])
+def test_copies_with_outside_words_are_met(size, where):
+    """The most edits allowed, one of them an outside word at the first, the middle or the last place; outside words around."""
+    rng = random.Random(size)
+    words = [f"w{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(words, k=size))) for i in range(8)]
+    index = D.Index(items)
+    copies = 400 if size < 500 else 40
+    rows, places = [], []
+    for n in range(copies):
+        copy = items[n % 8][1].split()
+        for e in range(size // 5):
+            at = rng.randrange(len(copy))
+            if e == 0 and where != "any":
+                at = {"first": 0, "middle": len(copy) // 2, "last": len(copy) - 1}[where]
+                copy[at] = f"out{n}"
+            else:
+                copy[at : at + 1] = rng.choice([[f"x{rng.randrange(10**9)}"], [copy[at], rng.choice(words)], [], [rng.choice(words)]])
+        rows.append("\n" + " ".join([f"y{i}" for i in range(20)] + copy + rng.choices(words, k=20)))
+        places.append((n, n % 8))
+    got = {h[:2] for h in index.hits(D.pa.array(rows))}
+    assert np.mean([p in got for p in places]) >= D.TARGET_RECALL
+
+
+def test_words_filter_loses_no_match():
+    """Every pair that the exact check accepts passes the counts of words ahead of it."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(30)]  # few words: repeats everywhere
+    items = [(i, " ".join(rng.choices(words, k=10 + i % 5))) for i in range(20)]
+    index = D.Index(items)
+    rows = ["\n" + " ".join(rng.choices(words, k=400)) for _ in range(20)] + ["\n" + " ".join(t for _, t in items)]
+    got = {h[:3] for h in index.hits(D.pa.array(rows))}
+    index_all = D.Index(items)
+    for group in index_all.classes:
+        group._may_match = lambda words, stop_of, starts, item: (starts, item)
+        group.holds = lambda item, text: True
+    assert {h[:3] for h in index_all.hits(D.pa.array(rows))} == got and len(got) >= 20
