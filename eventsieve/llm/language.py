@@ -277,21 +277,22 @@ def training_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -
 
 
 def _label(m: Model | None, column: pa.Array):
-    """``(language, score, words, runs, (label, start, end) of all runs)`` of a column of led texts."""
+    """``(language, score, sureness, words, runs, (label, start, end) of all runs)`` of a column of led texts."""
     data, offsets = flat(column)
     rows = len(column)
     letters, starts, ends, keys = letter_runs(data)
     doc = np.searchsorted(offsets, starts, "right") - 1
     lengths = np.bincount(doc, minlength=rows)
-    pred, score, n_runs = [UNDETERMINED] * rows, np.zeros(rows), np.zeros(rows, np.int64)
+    pred, score, sure, n_runs = [UNDETERMINED] * rows, np.zeros(rows), np.zeros(rows), np.zeros(rows, np.int64)
     nothing = np.zeros(0, np.int64)
     if m is None or not len(starts):
-        return pred, score, lengths, n_runs, (nothing, nothing, nothing)
+        return pred, score, sure, lengths, n_runs, (nothing, nothing, nothing)
     post = marginals(_potentials(m.emissions(letters, starts, ends, keys)), lengths, np.exp(m.first), np.exp(m.steps))
     filled = np.flatnonzero(lengths)
     edges = np.concatenate(([0], np.cumsum(lengths[filled])[:-1]))
     means = np.add.reduceat(post.astype(np.float64), edges, axis=0) / lengths[filled][:, None]
     best = means.argmax(1)
+    sure[filled] = np.add.reduceat(post.max(1).astype(np.float64), edges) / lengths[filled]
     # Runs of bytes beyond ASCII may hold no letter (other scripts' signs).
     ascii_letters = np.add.reduceat((LETTER[data] - np.uint8(1) < 127).astype(np.int64), offsets[:-1])
     for i, d in enumerate(filled.tolist()):
@@ -303,7 +304,7 @@ def _label(m: Model | None, column: pa.Array):
     tail = np.concatenate((head[1:], [len(label)])) - 1
     shift = offsets[doc[head]] + 1
     runs = (label[head][keep], (starts[head] - shift)[keep], (ends[tail] - shift)[keep])
-    return pred, score, lengths, np.bincount(doc[head][keep], minlength=rows), runs
+    return pred, score, sure, lengths, np.bincount(doc[head][keep], minlength=rows), runs
 
 
 def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -313,14 +314,15 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     runs); ``runs`` lists the stretches of one language as UTF-8 byte offsets
     ``(lang, start, end)``.  A text that is null, empty or without letters
     gives ``und``, 0.0 and no runs, as does every text where no model could
-    be fitted.  Repeated rows stay, other columns are ignored.
+    be fitted.  Repeated rows stay, a very long text is labelled whole, other
+    columns are ignored.
     """
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     names = pa.array(model.langs if model else [], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
-            pred, score, lengths, n_runs, (lang, start, end) = _label(model, batch.column(1))
+            pred, score, _, lengths, n_runs, (lang, start, end) = _label(model, batch.column(1))
             listed = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(n_runs))), pa.int32()),
                 pa.StructArray.from_arrays(
@@ -336,13 +338,22 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), led_text(F.col("text"))).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model | None, least_share: float) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, whose text has a language holding ``least_share`` of its words."""
+def keep_identified(docs: DataFrame, model: Model | None, least_sureness: float) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, whose words are labelled surely: the mean of each word's best
+    posterior is ``least_sureness`` at least.
+
+    A text of several languages stays however they share it; letters of no
+    known language go, and so do texts that are null, empty or without letters,
+    and every text where no model could be fitted.  Rows are judged each for
+    itself: repeated rows, repeated or null ids change nothing.  Very long texts
+    are judged whole; an empty table gives an empty one; columns of any name
+    come through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, batches_text):
-            pred, score, *_ = _label(model, batch.column(batches_text))
-            keep = (np.array(pred) != UNDETERMINED) & (score >= least_share)
+            pred, _, sure, *_ = _label(model, batch.column(batches_text))
+            keep = (np.array(pred) != UNDETERMINED) & (sure >= least_sureness)
             yield batch.filter(pa.array(keep)).select(range(batches_text))
 
     batches_text = len(docs.columns)

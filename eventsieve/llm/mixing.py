@@ -74,8 +74,8 @@ def mix_sources(
     ``most``) and ``taken`` its words there.  A null or empty text has size 0
     and is never above 0 words; a null source is a source of its own, last; a
     source without words has target 0 and no copies; equal sizes go by
-    doc_id, repeated ids in any order of equal rows; an empty table gives an
-    empty one; other columns are ignored.  Reruns agree.  With ``carry`` the
+    doc_id, repeated ids in any order of equal rows; a very long text counts
+    with all its words; an empty table gives an empty one; other columns are ignored.  Reruns agree.  With ``carry`` the
     whole input row comes along as the struct ``row``.
     """
     spark = docs.sparkSession

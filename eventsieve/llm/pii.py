@@ -315,7 +315,12 @@ def mask(text: str, spans: list[Span]) -> str:
 
 
 def mask_pii(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with personal data masked in ``text``; an ``n_chars`` column follows, others stay."""
+    """``docs`` with personal data masked in ``text``; an ``n_chars`` column follows, others stay.
+
+    Every row stays, repeated ones too; null and empty texts stay as they are;
+    ids do not matter; a very long text is masked whole; an empty table gives an
+    empty one; columns of any other name come through.
+    """
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

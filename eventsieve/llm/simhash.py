@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from eventsieve.llm.components import connected_components
+from eventsieve.llm.texts import is_plain_scan
 from eventsieve.session import materialize
 
 SEED = 42
@@ -52,15 +53,17 @@ def text_fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every document; ``fp`` is the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` of every document, and its columns ``keep`` of longs; ``fp`` is the 64 bits as a signed long."""
+    names = ["doc_id", "fp", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((text_fingerprint(t.as_py(), shingle) for t in batch.column(1)), "<u8", batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8")), *batch.columns[2:]], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    taken = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[F.col(c).cast("long").alias(c) for c in keep])
+    return taken.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def segment_counts(x: np.ndarray) -> np.ndarray:
@@ -235,21 +238,28 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, one per near-duplicate group: that of the smallest doc_id.
-
-    Rows are dropped by id: rows without an id stay.  Rows that repeat the
-    id of a kept one go, one of them stays.
+    """The rows of ``docs``, columns unchanged, one row per near-duplicate group.
+
+    Rows are told apart by their place in the stored table, not by their id:
+    rows that share an id but not a group stay both, and rows without an id are
+    grouped like any other.  Of a group the row with the smallest doc_id stays,
+    null last, of equal ids the first by place.  Null and empty texts are one
+    group; a very long text is hashed whole; an empty table gives an empty one;
+    columns of any name come through.
     """
-    groups = materialize(simhash_components(docs, shingle, max_bits))
-    dropped = groups.filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(dropped, docs["doc_id"].cast("long") == F.col("__dropped"), "left_anti")
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    ids = repeated.select(F.col("doc_id").alias("__repeated"))
-    match = F.col("doc_id").cast("long") == F.col("__repeated")
-    once = kept.join(ids, match, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(ids, match, "left_anti").unionByName(once)
+    stored = docs if is_plain_scan(docs) and "_metadata" not in docs.columns else materialize(docs)
+    place = [F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    fps = materialize(fingerprints(stored.select("doc_id", "text", *place), shingle, ("__file", "__row")))
+    # Groups are named by fingerprints, which every row has.
+    classes = fps.select("fp").distinct().withColumn("rep", F.col("fp"))
+    grouped = connected_components(fingerprint_links(classes, max_bits))
+    named = fps.join(grouped, fps.fp == grouped.id, "left").withColumn("__group", F.coalesce("component", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("d"), "__file", "__row")
+    first = named.groupBy("__group").agg(F.min(order).alias("m"))
+    kept = first.select(F.col("m.__file").alias("__kept_file"), F.col("m.__row").alias("__kept_row"))
+    rows = stored.select(F.struct("*").alias("__whole"), *place)
+    match = (F.col("__file") == F.col("__kept_file")) & (F.col("__row") == F.col("__kept_row"))
+    return rows.join(kept, match, "left_semi").select("__whole.*")
 
 
 def q_simhash(spark, sf_dir: str) -> DataFrame:
