@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve.config import (
@@ -18,13 +20,15 @@ from eventsieve.functions.numeric import parse_flag, parse_number
 from eventsieve.functions.text import is_blank, strip_ws
 from eventsieve.functions.timestamps import hour_or_missing, parse_timestamp, weekday_or_missing
 from eventsieve.operators.rules import require_columns
+from eventsieve.session import materialize
 
 FEATURE_INPUT_COLUMNS = ("event_type", "source_user_id", "target_user_id", "created_at", "content")
 
 
-def signal_medians(df: DataFrame, columns=NUMERIC_SIGNALS, default: float = 0.0) -> dict[str, float]:
+def signal_medians(df: DataFrame, columns=NUMERIC_SIGNALS, default: float = 0.0, read=parse_number) -> dict[str, float]:
     """AGG-10: exact batch median per signal, ignoring unparsable values;
-    ``default`` when a column is absent or has no parsable value.
+    ``default`` when a column is absent or has no parsable value.  ``read``
+    takes a column's name to its number, null where there is none.
 
     Computed by the sort-based exact quantile (no per-value map in one task)."""
     from eventsieve.operators.stats import exact_quantiles
@@ -34,11 +38,11 @@ def signal_medians(df: DataFrame, columns=NUMERIC_SIGNALS, default: float = 0.0)
     if present:
         # One partial-aggregated pass: medians are only needed for columns
         # with an unparsable value (the quantile sort is skipped otherwise).
-        missing = df.agg(*[F.count_if(parse_number(c).isNull()).alias(c) for c in present]).first()
+        missing = df.agg(*[F.count_if(read(c).isNull()).alias(c) for c in present]).first()
         present = [c for c in present if missing[c] > 0]
     if present:
         long = df.select(
-            F.explode(F.array(*[F.struct(F.lit(c).alias("name"), parse_number(c).alias("value")) for c in present])).alias("kv")
+            F.explode(F.array(*[F.struct(F.lit(c).alias("name"), read(c).alias("value")) for c in present])).alias("kv")
         ).select("kv.name", "kv.value")
         for row in exact_quantiles(long, (0.5,)).collect():  # one row per column
             if row["value"] is not None:
@@ -57,9 +61,28 @@ def engineer_features(
     this batch (as the reference does); pass fitted medians to score new
     batches consistently.  Absent signals default to 0.0, absent flags to 0.
     """
-    require_columns(events, FEATURE_INPUT_COLUMNS + ("event_id",))
     if medians is None:
         medians = signal_medians(events)
+    df, derived = _derived(events, rules)
+    for c in NUMERIC_SIGNALS:
+        derived[c] = F.coalesce(derived[c], F.lit(float(medians.get(c, 0.0))))
+    return df.withColumns(derived)
+
+
+def stored_features(events: DataFrame, columns: Sequence[str], rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """PRJ-10 with this batch's medians, stored: only ``columns`` are written and read again.
+
+    The medians are taken from the stored rows, so the events are read once."""
+    df, derived = _derived(events, rules)
+    stored = materialize(df.withColumns(derived).select(*columns))
+    signals = [c for c in NUMERIC_SIGNALS if c in columns]
+    medians = signal_medians(stored, signals, read=F.col)
+    return stored.withColumns({c: F.coalesce(F.col(c), F.lit(float(medians[c]))) for c in signals})
+
+
+def _derived(events: DataFrame, rules: RuleConfig) -> tuple[DataFrame, dict[str, Column]]:
+    """The events with absent signals and flags as 0, and the feature expressions; unreadable signals are null."""
+    require_columns(events, FEATURE_INPUT_COLUMNS + ("event_id",))
     df = events
     for c in NUMERIC_SIGNALS:
         if c not in df.columns:
@@ -85,11 +108,8 @@ def engineer_features(
         "event_type_follow": (event_type == "follow").cast("int"),
         "event_type_invalid": (~allowed).cast("int"),
     }
-    for c in NUMERIC_SIGNALS:
-        derived[c] = F.coalesce(parse_number(c), F.lit(float(medians.get(c, 0.0))))
-    for c in FLAG_COLUMNS:
-        derived[c] = parse_flag(c)
-    return df.withColumns(derived)
+    derived |= {c: parse_number(c) for c in NUMERIC_SIGNALS} | {c: parse_flag(c) for c in FLAG_COLUMNS}
+    return df, derived
 
 
 def label_text(label_col: str = "label_risky_event"):

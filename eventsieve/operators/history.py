@@ -12,13 +12,13 @@ each user's own event history:
 Scale: a per-user window would put a user holding a third of all rows in
 one task, and a sliding frame rebuilds its aggregate at every row of a burst.
 Instead every event is a ``+1`` at its time and a ``-1`` just after its
-window ends, and one range-partitioned prefix sum over ``(user, time)`` gives
-all three signals: the running total at a time is the number of events in
-the trailing window (a user's steps cancel, so users do not disturb each
-other), the running counts of events and reports less those at the user's
-first event are the earlier ones.  The cost is linear in the events, however
-they fall.  Null users are one user; events without a time come first, are
-peers of each other, and have no age.
+window ends, and one segmented scan over ``(user, time)`` gives all three
+signals: the running sum of steps is the number of events in the trailing
+window, peers of one time are added from their total, and the running counts
+before an event are its earlier events and reports.  Only user, time, id and
+report flag are sorted; the signals go back to wide rows by one join on the id.
+The cost is linear in the events, however they fall.  Null users are one user;
+events without a time come first, are peers of each other, and have no age.
 """
 
 from __future__ import annotations
@@ -30,9 +30,43 @@ from eventsieve.config import DEFAULT_RULES, RuleConfig
 from eventsieve.functions.numeric import parse_flag, parse_number
 from eventsieve.functions.text import is_blank, strip_ws
 from eventsieve.functions.timestamps import epoch_micros, parse_timestamp
-from eventsieve.operators.evaluation import with_prefix_sums
+from eventsieve.operators.scan import Scan, segmented_scan
 
 _MICROS = 1_000_000
+SIGNALS = ("interaction_velocity_5m", "account_age_days", "historical_report_rate")
+
+
+def signals_by_event(
+    events: DataFrame, user_col: str, ts_col: str, order_col: str, report_flag: Column, rules: RuleConfig = DEFAULT_RULES
+) -> DataFrame:
+    """``(order_col, interaction_velocity_5m, account_age_days, historical_report_rate)``, one row per event.
+
+    ``order_col`` must tell all events apart."""
+    window_us = rules.velocity_window_seconds * _MICROS
+    long = F.lit(0).cast("long")
+    base = events.select(
+        F.col(user_col).alias("_user"), epoch_micros(ts_col).alias("_us"), F.col(order_col).alias("_id"),
+        F.coalesce(report_flag.cast("long"), long).alias("_flag"),
+    )
+    adds = base.select("_user", F.col("_us").alias("_t"), (long + 1).alias("_step"), "_id", "_us", "_flag", (long + 1).alias("_one"))
+    # An event leaves the window one microsecond after its end; those without a time leave before all others come.
+    leaves = F.coalesce(F.col("_us") + F.lit(window_us + 1), F.lit(-(1 << 63)))
+    ends = base.select("_user", leaves.alias("_t"), (long - 1).alias("_step"), "_id", F.lit(None).cast("long").alias("_us"), long.alias("_flag"), long.alias("_one"))
+    run = segmented_scan(
+        adds.unionByName(ends), ("_user", "_t"), [F.col("_step"), F.col("_id")],
+        [
+            Scan(("_user",), running={"_in_window": "_step", "_n": "_one", "_f": "_flag"}, lows={"_first": "_us"}),
+            Scan(("_user", "_t"), running={"_peer": "_one"}, totals={"_peers": "_one"}),
+        ],
+    ).filter(F.col("_step") == 1)
+    earlier_n, earlier_f = F.col("_n") - 1, F.col("_f") - F.col("_flag")
+    return run.select(
+        F.col("_id").alias(order_col),
+        # At one time ends come first, so all peers still to come are in the window too.
+        (F.col("_in_window") + F.col("_peers") - F.col("_peer")).cast("bigint").alias("interaction_velocity_5m"),
+        F.floor((F.col("_us") - F.col("_first")) / F.lit(86_400 * _MICROS)).cast("bigint").alias("account_age_days"),
+        F.coalesce(F.try_divide(earlier_f.cast("double"), F.nullif(earlier_n, F.lit(0)).cast("double")), F.lit(0.0)).alias("historical_report_rate"),
+    )
 
 
 def history_signals(
@@ -44,40 +78,9 @@ def history_signals(
     rules: RuleConfig = DEFAULT_RULES,
 ) -> DataFrame:
     """Add ``interaction_velocity_5m`` (bigint), ``account_age_days`` (bigint)
-    and ``historical_report_rate`` (double) to every row of ``events``."""
-    window_us = rules.velocity_window_seconds * _MICROS
-    base = events.select(
-        "*", epoch_micros(ts_col).alias("_us"), F.coalesce(report_flag.cast("long"), F.lit(0)).alias("_flag"), F.lit(1).cast("long").alias("_one")
-    )
-    adds = base.withColumns({"_t": F.col("_us"), "_step": F.lit(1).cast("long")})
-    # An event leaves the window one microsecond after its end; those without a time leave before all others come.
-    ends = base.select(
-        F.col(user_col), F.coalesce(F.col("_us") + F.lit(window_us + 1), F.lit(-(1 << 63))).alias("_t"), F.lit(-1).cast("long").alias("_step"),
-        F.lit(0).cast("long").alias("_flag"), F.lit(0).cast("long").alias("_one"),
-    )
-    order = [F.col(user_col), F.col("_t"), F.col("_step"), F.col(order_col)]
-    run = with_prefix_sums(
-        adds.unionByName(ends, allowMissingColumns=True), order, {"_in_window": "_step", "_n": "_one", "_f": "_flag"}
-    ).filter(F.col("_step") == 1)
-    user = F.col(user_col).alias("_user")
-    # At one time ends come first, so the last of the peers has the largest total: all peers count.
-    peaks = run.groupBy(user, F.col("_us").alias("_time")).agg(F.max("_in_window").alias("_velocity"))
-    starts = run.groupBy(user).agg(
-        F.min(F.col("_n") - 1).alias("_n_start"), F.min(F.col("_f") - F.col("_flag")).alias("_f_start"), F.min("_us").alias("_user_first")
-    ).withColumnRenamed("_user", "_user2")
-    joined = run.join(peaks, F.col(user_col).eqNullSafe(F.col("_user")) & F.col("_us").eqNullSafe(F.col("_time"))).join(
-        starts, F.col(user_col).eqNullSafe(F.col("_user2"))
-    )
-    earlier_n = F.col("_n") - 1 - F.col("_n_start")
-    earlier_f = F.col("_f") - F.col("_flag") - F.col("_f_start")
-    return joined.select(
-        *events.columns,
-        F.col("_velocity").cast("bigint").alias("interaction_velocity_5m"),
-        F.floor((F.col("_us") - F.col("_user_first")) / F.lit(86_400 * _MICROS)).cast("bigint").alias("account_age_days"),
-        F.coalesce(F.try_divide(earlier_f.cast("double"), F.nullif(earlier_n, F.lit(0)).cast("double")), F.lit(0.0)).alias(
-            "historical_report_rate"
-        ),
-    )
+    and ``historical_report_rate`` (double) to every row of ``events``, joined
+    back on ``order_col``, which is unique and not null."""
+    return events.join(signals_by_event(events, user_col, ts_col, order_col, report_flag, rules), order_col).select(*events.columns, *SIGNALS)
 
 
 def rule_risk(rules: RuleConfig = DEFAULT_RULES) -> Column:

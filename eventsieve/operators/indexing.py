@@ -95,15 +95,11 @@ def with_rank_within(
     """Zero-based position inside each ``group_col`` value.
 
     Same result as ``row_number() OVER (PARTITION BY g ORDER BY ...) - 1``,
-    but a group holding a large share of the rows is ranked by many tasks:
-    the global index over ``(g, order_by)`` minus the group's first index.
-    The starts table has one row per group and is stored; where it counts few
-    rows it is broadcast and the rows are not shuffled again, else AQE's
-    skew-join handling splits a hot group.  A null group is a group."""
-    indexed = with_global_index(df, [F.col(group_col), *order_by], "_gidx", num_partitions)
-    starts = materialize(indexed.groupBy(F.col(group_col).alias("_group")).agg(F.min("_gidx").alias("_gstart")))
-    return (
-        indexed.join(broadcast_if_small(starts), F.col(group_col).eqNullSafe(F.col("_group")))
-        .withColumn(rank_col, F.col("_gidx") - F.col("_gstart"))
-        .drop("_gidx", "_gstart", "_group")
-    )
+    but a group holding a large share of the rows is ranked by many tasks: a
+    segmented scan counts the rows before, and nothing is joined on the group.
+    A null group is a group."""
+    from eventsieve.operators.scan import Scan, segmented_scan
+
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    ranked = segmented_scan(one, (group_col,), order_by, [Scan((group_col,), running={rank_col: "_one"})], num_partitions)
+    return ranked.withColumn(rank_col, F.col(rank_col) - 1).drop("_one")

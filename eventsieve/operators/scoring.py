@@ -19,8 +19,7 @@ from eventsieve.config import (
     RuleConfig,
 )
 from eventsieve.functions.numeric import linear_score
-from eventsieve.operators.indexing import broadcast_if_small, with_global_index
-from eventsieve.session import materialize
+from eventsieve.operators.scan import Scan, segmented_scan
 
 
 @dataclass(frozen=True)
@@ -57,23 +56,17 @@ def stratified_split(
     ``max(1, round_half_even(n * test_fraction))`` rows in ``md5(id|seed)``
     order are test.
 
-    The per-class rank is a global index over ``(label, key, id)`` minus the
-    class's first index, so a class holding half of all rows is still
-    ranked by many tasks (a ``row_number`` per class would use one task each).
+    The rank and the size of each class come from one segmented scan over
+    ``(label, key, id)``, so a class holding half of all rows is still ranked
+    by many tasks (a ``row_number`` per class would use one task each).  A null
+    label is a class.
     """
-    keyed = features.withColumn("_key", split_key(id_col, rules.seed))
-    indexed = with_global_index(keyed, [F.col(label), F.col("_key"), F.col(id_col)], "_idx")
-    classes = indexed.groupBy(F.col(label).alias("_class")).agg(
-        F.min("_idx").alias("_start"),
-        F.greatest(F.lit(1), F.bround(F.count(F.lit(1)) * F.lit(rules.test_fraction), 0).cast("bigint")).alias("_test_n"),
-    )
-    # One row per class value (a null label is a class); broadcast only after counting them.
-    classes = materialize(classes)
-    return (
-        indexed.join(broadcast_if_small(classes), F.col(label).eqNullSafe(F.col("_class")))
-        .withColumn("split", F.when(F.col("_idx") - F.col("_start") < F.col("_test_n"), "test").otherwise("train"))
-        .drop("_key", "_idx", "_start", "_test_n", "_class")
+    keyed = features.withColumns({"_key": split_key(id_col, rules.seed), "_one": F.lit(1).cast("long")})
+    ranked = segmented_scan(
+        keyed, (label,), [F.col("_key"), F.col(id_col)], [Scan((label,), running={"_rank": "_one"}, totals={"_size": "_one"})]
     )
+    test_rows = F.greatest(F.lit(1), F.bround(F.col("_size") * F.lit(rules.test_fraction), 0).cast("bigint"))
+    return ranked.withColumn("split", F.when(F.col("_rank") <= test_rows, "test").otherwise("train")).drop("_key", "_one", "_rank", "_size")
 
 
 def train_statistics(train: DataFrame, columns=FEATURE_COLUMNS) -> tuple[tuple[float, ...], tuple[float, ...]]:

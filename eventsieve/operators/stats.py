@@ -186,16 +186,17 @@ def correlation_matrix(features: DataFrame, columns=FEATURE_COLUMNS + (LABEL_COL
     """AGG-8: Pearson matrix with the two-pass (centred) algorithm.
 
     Pass 1 is one aggregate of per-column mean, variation and nulls, read on
-    the driver.  Pass 2 is one aggregate of plain sums of centred products
-    ``sum((x_i - m_i)(x_j - m_j))`` for the 136 pairs and the 16 squares:
-    simple sums keep the aggregate inside whole-stage codegen and merge
-    map-side, and centring first keeps the result accurate.  A constant
-    column (``min = max``) gives null cells, as pandas leaves them blank
-    (plain ``corr`` would divide by zero under ANSI).  Where a column holds
-    nulls each pair uses the rows in which both have a value, as pandas does;
-    that needs the pair's own sums and takes a second form of pass 2.  Output
+    the driver.  Without nulls each row is packed as one vector, whose centred
+    outer products are summed per task and merged in a tree (Spark ML's
+    correlation): one matrix comes back instead of a plan of 152 sums.  A
+    constant column (``min = max``) gives null cells, as pandas leaves them
+    blank.  Where a column holds nulls each pair uses the rows in which both
+    have a value, as pandas does; that needs the pair's own sums.  Output
     ``(row_feature, column_feature, correlation)``.
     """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+
     cols = list(columns)
     complete = features.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     first = complete.agg(
@@ -206,25 +207,16 @@ def correlation_matrix(features: DataFrame, columns=FEATURE_COLUMNS + (LABEL_COL
     varying = [i for i in range(len(cols)) if first[f"v{i}"]]
     if first["nulls"]:
         return _pairwise_correlation(complete, cols, varying, first)
-    centred = complete.select(*[(F.col(f"c{i}") - F.lit(float(first[f"m{i}"]))).alias(f"d{i}") for i in varying])
-    pairs = list(combinations(varying, 2))
-    sums = centred.agg(
-        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p_{i}_{j}") for i, j in pairs],
-        *[F.sum(F.col(f"d{i}") * F.col(f"d{i}")).alias(f"q_{i}") for i in varying],
-    )
-    cells = []
-    for i, j in combinations(range(len(cols)), 2):
-        if i in varying and j in varying:
-            value = F.col(f"p_{i}_{j}") / F.sqrt(F.col(f"q_{i}") * F.col(f"q_{j}"))
-        else:
-            value = F.lit(None).cast("double")
-        for a, b in ((i, j), (j, i)):
-            cells.append(F.struct(F.lit(cols[a]).alias("row_feature"), F.lit(cols[b]).alias("column_feature"),
-                                  value.alias("correlation")))
-    for i, c in enumerate(cols):
-        diag = F.lit(1.0) if i in varying else F.lit(None).cast("double")
-        cells.append(F.struct(F.lit(c).alias("row_feature"), F.lit(c).alias("column_feature"), diag.alias("correlation")))
-    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    at = {c: k for k, c in enumerate(varying)}
+    matrix = None
+    if varying:
+        packed = complete.select(array_to_vector(F.array(*[f"c{i}" for i in varying])).alias("v"))
+        matrix = Correlation.corr(packed, "v").first()[0].toArray()
+    cells = [
+        (a, b, (1.0 if i == j else float(matrix[at[i], at[j]])) if i in at and j in at else None)
+        for i, a in enumerate(cols) for j, b in enumerate(cols)
+    ]
+    return features.sparkSession.createDataFrame(cells, "row_feature string, column_feature string, correlation double")
 
 
 def _pairwise_correlation(complete: DataFrame, cols: list[str], varying: list[int], first) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from eventsieve.config import (
     MODEL_BASELINE,
     MODEL_FOREST,
     MODEL_LOGISTIC,
+    STATISTIC_COLUMNS,
 )
 from eventsieve.functions.timestamps import format_millis
 from eventsieve.operators import cleaning, decisions, evaluation, export, features, notifications, rules, scoring, stats
@@ -40,9 +42,10 @@ from eventsieve.plans.oracle_sql import (
 )
 from eventsieve.session import materialize, shared_path
 from eventsieve.sinks.writers import render_timestamps
-from eventsieve.sources.driver_tables import dirty_signals, model_events, raw_events
+from eventsieve.sources.driver_tables import dirty_signals, event_signals, model_events, raw_events
 
 R = DEFAULT_RULES
+STREAM_SLICES, INCREMENTS = 4, 10
 PROCESSED_COLUMNS = (
     "seq", "event_id", "event_type", "source_user_id", "target_user_id", "created_at", "content", "notification_text",
 )
@@ -61,10 +64,15 @@ def _out(df: DataFrame, extra=()) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def _features(spark, sf) -> DataFrame:
-    # Medians, split sampling and scoring each run a job over the model
-    # table: store it once instead of recomputing the history windows.
-    return features.engineer_features(materialize(model_events(spark, sf)))
+EVENT_COLUMNS = ("source_user_id", "target_user_id", "created_at")
+
+
+def _features(spark, sf, *extra) -> DataFrame:
+    """Ids, cleaned type, features and label, and the ``extra`` columns asked for.
+
+    Medians, split sampling and scoring each run a job over them: they are
+    stored once, without the texts."""
+    return features.stored_features(model_events(spark, sf), ["seq", "event_id", "event_type", *FEATURE_COLUMNS, LABEL_COLUMN, *extra])
 
 
 def _types(spark, sf) -> DataFrame:
@@ -95,8 +103,9 @@ def _test(spark, sf) -> DataFrame:
 def _decisions(spark, sf) -> DataFrame:
     """Decisions over all model events, scored with the stored linear model
     on batch-imputed features (VAL-6), in one plan (no self-join)."""
-    model = materialize(model_events(spark, sf)).withColumn("_raw_type", F.col("event_type"))
-    feats = features.engineer_features(model).withColumn("event_type", F.col("_raw_type"))
+    model = model_events(spark, sf).withColumn("_raw_type", F.col("event_type"))
+    columns = ["seq", "event_id", "_raw_type", *FEATURE_COLUMNS, *EVENT_COLUMNS]
+    feats = features.stored_features(model, columns).withColumn("event_type", F.col("_raw_type"))
     return decisions.decide(feats, scoring.REFERENCE_MODEL.probability(), R, keep=("seq",))
 
 
@@ -148,15 +157,15 @@ def q_recent_by_type(spark, sf):
 
 
 def q_velocity(spark, sf):
-    return model_events(spark, sf).select("seq", "interaction_velocity_5m")
+    return event_signals(spark, sf).select("seq", "interaction_velocity_5m")
 
 
 def q_account_age(spark, sf):
-    return model_events(spark, sf).select("seq", "account_age_days")
+    return event_signals(spark, sf).select("seq", "account_age_days")
 
 
 def q_report_rate(spark, sf):
-    return model_events(spark, sf).select("seq", F.round("historical_report_rate", 6).alias("historical_report_rate"))
+    return event_signals(spark, sf).select("seq", F.round("historical_report_rate", 6).alias("historical_report_rate"))
 
 
 def q_risk_label(spark, sf):
@@ -204,7 +213,8 @@ def q_correlation_matrix(spark, sf):
 
 
 def q_stratified_split(spark, sf):
-    return _split(spark, sf).select("seq", LABEL_COLUMN, "split")
+    # The label needs no features.
+    return scoring.stratified_split(model_events(spark, sf).select("seq", LABEL_COLUMN)).select("seq", LABEL_COLUMN, "split")
 
 
 def q_standardized_features(spark, sf):
@@ -439,7 +449,7 @@ def q_feed_round_trip(spark, sf):
     """SNK-8, JSN-1: the whole payload written, and its metrics, quality table and decisions read back from it."""
     from eventsieve.operators.feed import feed_payload, read_section, write_payload
 
-    feats = _features(spark, sf)
+    feats = _features(spark, sf, *EVENT_COLUMNS)
     decided = materialize(decisions.decide(feats, scoring.REFERENCE_MODEL.probability(), R))
     scored = scoring.stratified_split(feats.withColumn("_p", scoring.REFERENCE_MODEL.probability()).select("seq", LABEL_COLUMN, "_p"))
     test = scored.filter(F.col("split") == "test").select(F.col(LABEL_COLUMN).alias("label"), F.col("_p").alias("probability"))
@@ -476,7 +486,7 @@ def q_sql_function_decisions(spark, sf):
 
     register(spark)
     view = f"es_model_{uuid.uuid4().hex}"
-    _features(spark, sf).createOrReplaceTempView(f"{view}_features")
+    _features(spark, sf, *EVENT_COLUMNS).createOrReplaceTempView(f"{view}_features")
     arguments = ", ".join(f"f.{c}" for c in FEATURE_COLUMNS)
     return spark.sql(f"""
         SELECT seq, event_id, reason AS rule_error_reason, round(risk, 4) AS ai_risk_probability, es_decision(reason, risk) AS final_decision,
@@ -487,6 +497,49 @@ def q_sql_function_decisions(spark, sf):
               FROM {view}_features f)""")
 
 
+def q_streamed_signals(spark, sf):
+    """SURVEY 2.13: REA-3 and REA-5 by a keyed-state stream over time slices of the events, flushed by one last event."""
+    from eventsieve.sources.driver_tables import read_driver_table
+    from eventsieve.streaming.history_stream import start_history_stream
+
+    events = read_driver_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.max("event_id").alias("id")).first()
+    source, out, state = (shared_path(spark, name) for name in ("stream-in", "stream-out", "stream-state"))
+    if span["first"] is not None:
+        step = (span["last"] - span["first"]) / STREAM_SLICES
+        for i in range(STREAM_SLICES):
+            begin, end = span["first"] + i * step, span["first"] + (i + 1) * step
+            own = (F.col("ts") >= F.lit(begin)) & (F.col("ts") < F.lit(end) if i + 1 < STREAM_SLICES else F.lit(True))
+            events.filter(own).write.mode("append").parquet(source)
+        last = spark.createDataFrame([(span["id"] + 1, span["last"] + timedelta(days=1), -1, "flush")], events.schema)
+        last.write.mode("append").parquet(source)
+    else:
+        events.write.parquet(source)
+    start_history_stream(spark, source, out, state, F.col("event_type") == R.report_event_type).awaitTermination()
+    found = spark.read.schema("user_id long, event_id long, interaction_velocity_5m long, historical_report_rate double").parquet(out)
+    return materialize(found.filter("user_id <> -1 or user_id is null").select(
+        F.col("event_id").alias("seq"), "interaction_velocity_5m", F.round("historical_report_rate", 6).alias("historical_report_rate")))
+
+
+def q_merged_increments(spark, sf):
+    """AGG-3, AGG-4, AGG-12: quality statistics from the merged states of ten slices, held against all rows."""
+    from eventsieve.operators.increments import DISTINCT_ERROR, RANK_ERROR, batch_state, merge_states, rank_errors, state_summary
+
+    feats = _features(spark, sf)
+    states = [batch_state(feats.filter(F.pmod("seq", F.lit(INCREMENTS)) == i), STATISTIC_COLUMNS) for i in range(INCREMENTS)]
+    merged = states[0]
+    for state in states[1:]:
+        merged = merged.unionByName(state)
+    summary = materialize(state_summary(merge_states(materialize(merged))))
+    ranks = rank_errors(feats, summary).groupBy("column").agg(F.max("rank_error").alias("worst"))
+    exact = feats.agg(*[F.count_distinct(c).alias(c) for c in STATISTIC_COLUMNS]).unpivot([], list(STATISTIC_COLUMNS), "column", "exact")
+    return summary.join(ranks, "column", "left").join(exact, "column").select(
+        "column", "n", "nulls", F.round("mean", 6).alias("mean"), "low", "high",
+        (F.coalesce("worst", F.lit(0.0)) <= RANK_ERROR).cast("int").alias("quantiles_within_bound"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")).cast("int").alias("distinct_within_bound"),
+    )
+
+
 SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_events": q_clean_events,
     "duplicate_flags": q_duplicate_flags,
@@ -540,6 +593,8 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_expression_scores": q_forest_expression_scores,
     "feed_round_trip": q_feed_round_trip,
     "sql_function_decisions": q_sql_function_decisions,
+    "merged_increments": q_merged_increments,
+    "streamed_signals": q_streamed_signals,
 }
 
 def _fitted(spark, sf, names):

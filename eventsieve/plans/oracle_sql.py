@@ -475,6 +475,17 @@ def oracle_queries() -> dict[str, str]:
             f"{ms('try_cast(created_at AS TIMESTAMP)')} AS created_at FROM decisions",
             "decisions",
         ),
+        "merged_increments": with_ctes(
+            "\nUNION ALL\n".join(
+                f"SELECT '{c}' AS \"column\", count({c}) AS n, count(*) - count({c}) AS nulls, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+                f"min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high, 1 AS quantiles_within_bound, 1 AS distinct_within_bound FROM feat"
+                for c in STATISTIC_COLUMNS
+            ),
+            "feat",
+        ),
+        "streamed_signals": with_ctes(
+            "SELECT event_id AS seq, interaction_velocity_5m, round(historical_report_rate, 6) AS historical_report_rate FROM hist WHERE ts IS NOT NULL", "hist"
+        ),
         "bi_subjects": _subjects_sql(),
         "reloaded_scores": with_ctes(
             f"SELECT s.seq, s.event_id, m.event_type, round(_p, 4) AS risk_probability, CASE WHEN _p >= {R.threshold} THEN 'riesgoso' ELSE 'valido' END AS prediction "

@@ -65,6 +65,15 @@ def raw_events(spark, sf_dir: str) -> DataFrame:
     return raw_events_from_driver(events)
 
 
+def event_signals(spark, sf_dir: str, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """``(seq, REA-3..5)``: the history signals alone, without the rows they belong to."""
+    from eventsieve.operators.history import signals_by_event
+
+    events = read_driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    found = signals_by_event(events, "user_id", "ts", "event_id", F.col("event_type") == rules.report_event_type, rules)
+    return found.withColumnRenamed("event_id", "seq")
+
+
 def model_events(spark, sf_dir: str, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """Raw events plus history signals and labels: the model's input table.
 
