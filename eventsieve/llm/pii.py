@@ -6,21 +6,27 @@ a node each, labelled with a kind or nothing.  Node weights come from shape
 and neighbouring words; neighbours in the text share chain potentials;
 candidates that repeat or resemble one another anywhere in the document
 (equal last digits, equal mailbox names) share skip potentials through one
-hub node per such entity, so that n repeats cost n edges.  Entities are those
-the patterns found at least once; candidates that belong to none are left to
-the patterns.  Base spans are observed.  Loopy message passing makes labels agree along the skip edges:
-a repeat that the patterns miss takes the label of the one they found.
+hub node per such entity, so that n repeats cost n edges.  Base spans are
+observed.  Loopy message passing makes labels agree along the skip edges: a
+repeat that the patterns miss takes the label of the one they found, and an
+entity that the patterns never found takes the label its members' shapes and
+neighbours agree on, if that is sure (``UNSEEN_THRESHOLD``).  A candidate that
+resembles no other is left to the patterns.
 
 Node and chain weights are fitted on a bounded sample (``TRAIN_ROWS`` rows)
-with the base spans as labels.  All documents are then labelled whole.
+with the base spans as labels.  So that the field does not lean on what the
+patterns look for, phones and mailboxes are also shown without it: national
+spellings, hosts without a dot.  All documents are then labelled whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -39,6 +45,7 @@ ROUNDS = 30
 LEAST_DIGITS = 7
 KEY_DIGITS = 8
 THRESHOLD = 0.5
+UNSEEN_THRESHOLD = 0.9  # for entities without a base span
 
 MAILBOX = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -91,18 +98,20 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
     mails = []
     at = text.find("@")
     while at >= 0:
+        # The whole token: back to white space or the sign before, on to white space or the next one.
         start, end = at, at + 1
-        while start > max(taken, at - 64) and start > 0 and not text[start - 1].isspace():
+        while start > max(taken, 0) and not text[start - 1].isspace():
             start -= 1
-        while end < min(len(text), at + 255) and not text[end].isspace() and text[end] != "@":
+        while end < len(text) and not text[end].isspace() and text[end] != "@":
             end += 1
+        taken = at + 1
         while end > at + 1 and text[end - 1] in ".,;:!?)>\"'":
             end -= 1
         name = text[start:at].strip("<(\"'")
         start = at - len(name)
         if name and end > at + 1:
             mails.append((start, end, text[start:end], f"@{name.lower()}" if len(name) > 2 else ""))
-            taken = end
+            taken = max(taken, end)
         at = text.find("@", max(end, at + 1))
     k = 0
     for m in LOOSE.finditer(text):
@@ -132,6 +141,19 @@ def node_features(text: str, start: int, end: int, found: str) -> list[int]:
 N_FEATURES = 10
 
 
+def hidden(found: str, kind: int) -> list[str]:
+    """Spellings of a phone or mailbox that its pattern does not look for."""
+    if KINDS[kind] == "email":
+        name, _, host = found.rpartition("@")
+        return [f"{name}@{host.split('.')[0]}", f"{name}@localhost"]
+    if KINDS[kind] != "phone" or not found.startswith("+"):
+        return []
+    digits = _digits(found)
+    own = digits[1:] if len(digits) > 9 else digits
+    cut = [own[:3], own[3:6], own[6:]]
+    return [" ".join(cut), "-".join(cut), f"({cut[0]}) {cut[1]}-{cut[2]}", f"0{cut[0]} {cut[1]}{cut[2]}", f"0{own[:2]} {own[2:6]} {own[6:]}", f"0{own}"]
+
+
 @dataclass
 class Model:
     nodes: np.ndarray  # feature -> score of nothing and of each kind
@@ -154,44 +176,65 @@ def graph(found: list[tuple[str, list[Span], list]]) -> Graph:
     for text, base, nodes in found:
         first, ours = len(seen), {}
         by_start = sorted((s, e, k) for k, s, e in base)
-        low = 0
+        starts, furthest = [s for s, _, _ in by_start], list(accumulate((e for _, e, _ in by_start), max))
         for i, (start, end, string, key) in enumerate(nodes):
             features.append(node_features(text, start, end, string))
-            while low < len(by_start) and by_start[low][1] <= start and by_start[low][0] <= start:
-                low += 1
-            over = [k for s, e, k in by_start[low : low + 8] if s < end and e > start]
+            over, at = [], bisect_left(starts, end) - 1
+            while at >= 0 and furthest[at] > start:  # none further left reaches the node where this one's furthest end does not
+                if by_start[at][1] > start:
+                    over.append(by_start[at][2])
+                at -= 1
             seen.append(1 + min(over) if over else -1)
             if i:
                 chain.append((first + i - 1, first + i))
             if key:
                 ours.setdefault(key, []).append(first + i)
         for members in ours.values():
-            if len(members) > 1 and any(seen[m] >= 0 for m in members):
+            if len(members) > 1:
                 skip += [(m, hubs) for m in members]
                 hubs += 1
     pair = lambda x: np.array(x, np.int64).reshape(-1, 2)
     return Graph(np.array(features, np.int64).reshape(-1, N_FEATURES), np.array(seen, np.int64), pair(chain), pair(skip), hubs)
 
 
-def fit(graph_: Graph) -> Model | None:
-    """Node weights by regularised logistic steps, chain potentials from label pairs; base spans are the labels."""
+def shown_hidden(found: list[tuple[str, list[Span], list]]) -> tuple[np.ndarray, np.ndarray]:
+    """``(features, labels)`` of base candidates in the spellings their patterns miss, in their places."""
+    features, labels = [], []
+    for text, base, nodes in found:
+        by_place = {(s, e): k for k, s, e in base}
+        for start, end, string, _ in nodes:
+            kind = by_place.get((start, end))
+            for other in hidden(string, kind) if kind is not None else []:
+                features.append(node_features(text, start, end, other))
+                labels.append(1 + kind)
+    return np.array(features, np.int64).reshape(-1, N_FEATURES), np.array(labels, np.int64)
+
+
+def fit(graph_: Graph, more: tuple[np.ndarray, np.ndarray] | None = None) -> Model | None:
+    """Node weights by regularised logistic steps, chain potentials from label pairs; base spans are the labels.
+
+    ``more`` adds labelled nodes without neighbours (``shown_hidden``)."""
     n, labels = len(graph_.seen), len(KINDS) + 1
     if not n:
         return None
     gold = np.maximum(graph_.seen, 0)
+    chain_gold, node_features_ = gold, graph_.features
+    if more is not None and len(more[1]):
+        node_features_, gold = np.concatenate([graph_.features, more[0]]), np.concatenate([gold, more[1]])
+        n = len(gold)
     weights, squares = np.zeros((FEATURES, labels)), np.full((FEATURES, labels), 1e-6)
     for _ in range(EPOCHS):
-        score = weights[graph_.features].sum(1)
+        score = weights[node_features_].sum(1)
         error = np.exp(score - score.max(1, keepdims=True))
         error /= error.sum(1, keepdims=True)
         error[np.arange(n), gold] -= 1
-        flat = graph_.features.ravel()
+        flat = node_features_.ravel()
         grad = np.stack([np.bincount(flat, np.repeat(error[:, k], N_FEATURES), FEATURES) for k in range(labels)], 1) / n + L2 / n * weights
         squares += grad * grad
         weights -= 0.3 * grad / np.sqrt(squares)
     weights = np.clip(weights, -0.5, 0.5)  # a node alone says at most e**5 against one label
     pairs = np.ones((labels, labels))
-    np.add.at(pairs, (gold[graph_.chain[:, 0]], gold[graph_.chain[:, 1]]), 1)
+    np.add.at(pairs, (chain_gold[graph_.chain[:, 0]], chain_gold[graph_.chain[:, 1]]), 1)
     chain = np.log(pairs * pairs.sum() / np.outer(pairs.sum(1), pairs.sum(0)))
     return Model(weights, np.clip(chain, -1, 1))
 
@@ -233,6 +276,17 @@ def message_passing(model: Model, graph_: Graph) -> np.ndarray:
     return (shares / shares.sum(1, keepdims=True))[:n]
 
 
+def possible(found: str, kind: int) -> bool:
+    """Whether an entity without a base span can be of the kind at all: a mailbox has its sign, a phone 7 to 15 digits, a card its check digit."""
+    digits = _digits(found)
+    return {"email": "@" in found, "phone": "@" not in found and 7 <= len(digits) <= 15, "card": 16 <= len(digits) <= 19 and luhn(digits)}.get(KINDS[kind], False)
+
+
+def alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit touches the stretch: parts of longer codes are no entities."""
+    return not text[max(0, start - 1) : start].isalnum() and not text[end : end + 1].isalnum()
+
+
 def find_spans(texts: list[str | None], model: Model | None) -> list[tuple[list[Span], list[Span]]]:
     """``(base, added)`` spans of every text."""
     out: list[tuple[list[Span], list[Span]]] = [([], []) for _ in texts]
@@ -247,14 +301,17 @@ def find_spans(texts: list[str | None], model: Model | None) -> list[tuple[list[
         return out
     built = graph([r for _, r in rows])
     shares = message_passing(model, built)
-    label = np.where(1 - shares[:, 0] > THRESHOLD, 1 + shares[:, 1:].argmax(1), 0)
-    repeats = np.zeros(len(label), bool)
-    repeats[built.skip[:, 0]] = True
-    label[~repeats] = 0  # what resembles nothing else is left to the patterns
+    found = np.zeros(built.hubs, bool)
+    found[built.skip[built.seen[built.skip[:, 0]] >= 0, 1]] = True
+    least = np.full(len(shares), 2.0)  # what resembles nothing else is left to the patterns
+    least[built.skip[:, 0]] = np.where(found[built.skip[:, 1]], THRESHOLD, UNSEEN_THRESHOLD)
+    label = np.where(1 - shares[:, 0] > least, 1 + shares[:, 1:].argmax(1), 0)
     at = 0
     for i, (_, base, nodes) in rows:
-        for j, (start, end, _, _) in enumerate(nodes):
+        for j, (start, end, string, _) in enumerate(nodes):
             kind = int(label[at + j]) - 1
+            if least[at + j] == UNSEEN_THRESHOLD and not (possible(string, kind) and alone(texts[i], start, end)):
+                continue
             if kind >= 0 and built.seen[at + j] < 0 and not any(k == kind and s < end and e > start for k, s, e in base):
                 out[i][1].append((kind, start, end))
         at += len(nodes)
@@ -276,7 +333,8 @@ def fit_on(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     share = min(1.0, 1.2 * rows / found)
     thinned = suspect.filter(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * share))
     texts = [r["t"] for r in thinned.orderBy("h", "t").limit(rows).select("t").collect()]
-    return fit(graph([(t, base_spans(t), candidates(t)) for t in texts]))
+    found = [(t, base_spans(t), candidates(t)) for t in texts]
+    return fit(graph(found), shown_hidden(found))
 
 
 OUT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
@@ -287,8 +345,8 @@ def detect_pii(docs: DataFrame, model: Model | None) -> DataFrame:
 
     The counts and the digest are of the base spans, ``spans`` holds those of
     the field too, ``n_added`` counts them.  A null or empty text has none;
-    repeated rows stay; an empty table gives an empty one; other columns are
-    ignored.
+    repeated rows stay; a very long text is labelled whole; an empty table
+    gives an empty one; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
