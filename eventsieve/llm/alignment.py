@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventsieve.llm.texts import WordHash, pieces
+from eventsieve.llm.texts import WordHash, frequent_first, packed, pieces, unpacked
 from eventsieve.llm.vocabularies import ByteLevel, Chunks, Memo, byte_level_alphabet, in_batches, laid_out, picked, public_file, read_file
 from eventsieve.session import materialize, release
 
@@ -98,25 +98,6 @@ def sums_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.diff(sums[np.cumsum(sizes)], prepend=0) if len(sizes) else np.zeros(0, np.int64)
 
 
-def frequent_first(values: np.ndarray, times: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The values by falling number of times, and the places among them: small numbers, which pack well."""
-    order = np.argsort(-times, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return values[order], times[order], rank[places]
-
-
-def packed(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, all first bytes, then all second ones and so on, compressed."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n).T.copy().view("<u4").reshape(-1)
-
-
 class Block:
     """Groups and links of the tokens of some chunks, weighted by how often each occurs."""
 
