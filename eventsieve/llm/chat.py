@@ -158,27 +158,51 @@ def format_conversations(turns: DataFrame, vocabulary: str | None = None) -> tup
     return materialize(out), runs.select("conv", F.col("from").alias("place"), "owner", "n_turns", "n_tokens")
 
 
-READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+READ = (
+    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, shared_turns long, shared_chars long, "
+    "first_position long, n_tokens long, attended_tokens long"
+)
 
 
 def read_back(segments: DataFrame, paths: DataFrame) -> DataFrame:
-    """Every conversation parsed out of the segments on its path, with digests of what was read."""
-    shared = segments.select("owner", F.transform("turns", lambda t: F.struct(t["text"], t["loss_from"], t["loss_to"])).alias("turns"))
-    pieces = paths.join(shared, "owner").select("conv", "place", F.slice("turns", F.lit(1), F.col("n_turns").cast("int")).alias("turns"))
-    whole = pieces.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("place", "turns"))).alias("p"))
-    lines = whole.select("conv", F.flatten(F.transform("p", lambda x: x["turns"])).alias("turns"))
+    """Every conversation parsed out of the segments on its path, with digests of what was read.
+
+    ``shared_turns`` and ``shared_chars`` stand in segments of other
+    conversations; ``first_position`` is where its own segment's positions begin
+    (its tokens in all, where it has none), ``n_tokens`` the tokens of all its turns, and ``attended_tokens`` those
+    of the stretches that its own segment attends to.
+    """
+    attended = F.aggregate("attends", F.lit(0).cast("long"), lambda n, x: n + x["to"] - x["from"])
+    shared = segments.select(
+        "owner", F.transform("turns", lambda t: F.struct(t["text"], t["loss_from"], t["loss_to"])).alias("turns"), "first_position", attended.alias("attended"),
+    )
+    own = F.col("owner") == F.col("conv")
+    pieces = paths.join(shared, "owner").select(
+        "conv", "place", own.alias("own"), "n_tokens", F.slice("turns", F.lit(1), F.col("n_turns").cast("int")).alias("turns"),
+        F.when(own, F.col("first_position")).alias("first_position"), F.when(own, F.col("attended")).alias("attended"),
+    )
+    chars = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
+    whole = pieces.groupBy("conv").agg(
+        F.sort_array(F.collect_list(F.struct("place", "turns"))).alias("p"),
+        F.sum(F.when(F.col("own"), 0).otherwise(F.size("turns"))).cast("long").alias("shared_turns"),
+        F.sum(F.when(F.col("own"), 0).otherwise(chars)).cast("long").alias("shared_chars"),
+        F.coalesce(F.max("first_position"), F.sum("n_tokens")).alias("first_position"), F.sum("n_tokens").alias("n_tokens"),
+        F.coalesce(F.max("attended"), F.lit(0)).alias("attended_tokens"),
+    )
+    counts = ["shared_turns", "shared_chars", "first_position", "n_tokens", "attended_tokens"]
+    lines = whole.select("conv", F.flatten(F.transform("p", lambda x: x["turns"])).alias("turns"), *counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for conv, turns, *known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = "".join(t["text"] for t in turns)
                 read = parse(text)
                 learned = "".join(unescaped(t["text"][t["loss_from"] : t["loss_to"]]) for t in turns)
                 said = "".join(f"{r}\n{x}\n" for r, x in read)
                 rows.append((
                     None if conv == NO_CONVERSATION else conv, len(read), hashlib.sha256(said.encode()).hexdigest(),
-                    len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text),
+                    len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text), *known,
                 ))
             kinds = [pa.string() if "string" in c else pa.int64() for c in READ.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=[c.split()[0] for c in READ.split(", ")])
@@ -190,7 +214,7 @@ def q_chat(spark, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return read_back(*format_conversations(turns))
+    return read_back(*format_conversations(turns)).drop("first_position", "n_tokens", "attended_tokens")
 
 
 # The same rows in SQL.
@@ -203,11 +227,18 @@ sized AS (
   SELECT *, length(regexp_replace(text, '([\\<\[\]])', '\\\1', 'g')) AS body,
          CASE role WHEN 'user' THEN length('[INST]  [/INST]') WHEN 'assistant' THEN length('<s>  </s>') WHEN 'system' THEN length('<<SYS>>  <</SYS>>')
                    ELSE length('[ROLE ]  [/ROLE]') + length(regexp_replace(role, '([\\<\[\]])', '\\\1', 'g')) END AS marks
-  FROM turns)
+  FROM turns),
+prefixes AS (
+  SELECT *, string_agg(length(role) || ':' || role || length(text) || ':' || text, chr(0)) OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prefix
+  FROM sized),
+owned AS (SELECT *, min(conv_id) OVER (PARTITION BY prefix) AS owner FROM prefixes)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(body + marks) AS BIGINT) AS formatted_chars
-FROM sized GROUP BY conv_id
+       CAST(sum(body + marks) AS BIGINT) AS formatted_chars,
+       CAST(count_if(owner <> conv_id) AS BIGINT) AS shared_turns,
+       CAST(coalesce(sum(body + marks) FILTER (WHERE owner <> conv_id), 0) AS BIGINT) AS shared_chars
+FROM owned GROUP BY conv_id
 """

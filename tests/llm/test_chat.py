@@ -91,3 +91,19 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS owner", "2 AS key", "3 AS i")
     assert read(*C.format_conversations(docs)) == brute(rows)
     assert read(*C.format_conversations(docs.limit(0))) == {}
+
+
+def test_shared_and_attended_counts(spark):
+    rows = [(c, t, r, x) for c, turns in {
+        1: [("user", "a"), ("assistant", "b")], 2: [("user", "a"), ("assistant", "c c c")], 3: [("user", "a"), ("assistant", "b")], 4: [("user", "z")],
+        5: [("user", "a"), ("assistant", "c c c"), ("user", "more")],
+    }.items() for t, (r, x) in enumerate(turns)]
+    encode = encoder(read_ranks(public_vocabulary())).encode_ordinary
+    got = {r.conv_id: r for r in C.read_back(*C.format_conversations(spark.createDataFrame(rows, SCHEMA))).collect()}
+    size = lambda text: len(encode(text))
+    a, b, c, more, z = "[INST] a [/INST]", "<s> b </s>", "<s> c c c </s>", "[INST] more [/INST]", "[INST] z [/INST]"
+    expected = {  # shared turns and characters, where the own segment begins, all tokens, tokens of other segments it attends to
+        1: (0, 0, 0, size(a) + size(b), 0), 2: (1, len(a), size(a), size(a) + size(c), size(a)), 3: (2, len(a + b), size(a) + size(b), size(a) + size(b), 0),
+        4: (0, 0, 0, size(z), 0), 5: (2, len(a + c), size(a) + size(c), size(a) + size(c) + size(more), size(a) + size(c)),
+    }
+    assert {i: (r.shared_turns, r.shared_chars, r.first_position, r.n_tokens, r.attended_tokens) for i, r in got.items()} == expected
