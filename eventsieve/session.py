@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +106,31 @@ def release(*stored: DataFrame) -> None:
             delete_path(df.sparkSession, path)
 
 
+@contextmanager
+def only_result(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that stores a frame; on leaving, all other copies stored inside are deleted.
+
+    An operator that needs stored steps returns its result through it, so that
+    only what the caller reads stays behind; after an error nothing does.
+    """
+    before, kept = set(_STORED), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        stored = materialize(df)
+        kept.append(stored._stored_path)
+        return stored
+
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        for path in [p for p in _STORED if p not in before and p not in kept]:
+            _STORED.remove(path)
+            delete_path(spark, path)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving all copies stored inside; results must have been written by then."""

@@ -128,3 +128,21 @@ def test_correlation_of_columns_with_nulls_is_pairwise(spark, events):
     expected = df.toPandas().corr()
     for (x, y), v in got.items():
         assert v is None if "k" in (x, y) else v == pytest.approx(expected.loc[x, y], abs=1e-9)
+
+
+def test_only_the_result_stays_stored(spark):
+    from eventsieve import session
+
+    before = set(session._STORED)
+    with session.only_result(spark) as keep:
+        step = session.materialize(spark.range(10))
+        out = keep(step.filter("id > 3"))
+    assert set(session._STORED) - before == {out._stored_path} and out.count() == 6
+    with pytest.raises(ValueError):
+        with session.only_result(spark) as keep:
+            keep(spark.range(3))
+            session.materialize(spark.range(4))
+            raise ValueError
+    left = set(session._STORED) - before
+    assert left == {out._stored_path}  # nothing of the second
+    session.release(out)
