@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.llm.tokens import encoder, public_vocabulary, read_ranks
-from eventsieve.session import materialize
+from eventsieve.session import materialize, only_result
 
 # The template: what opens and closes a turn of each role.  Texts escape its first characters.
 MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": ("<s> ", " </s>"), "system": ("<<SYS>> ", " <</SYS>>")}
@@ -214,7 +214,8 @@ def q_chat(spark, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return read_back(*format_conversations(turns)).drop("first_position", "n_tokens", "attended_tokens")
+    with only_result(spark) as keep:
+        return keep(read_back(*format_conversations(turns)).drop("first_position", "n_tokens", "attended_tokens"))
 
 
 # The same rows in SQL.

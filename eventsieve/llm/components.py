@@ -15,22 +15,36 @@ from pyspark.sql import functions as F
 from eventsieve.session import materialize, release
 
 MAX_ROUNDS = 64
+HOT_DEGREE = 256
+MOST_HOT = 10_000  # nodes
 
 
-def _minimum(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"))
+def _with_minimum(edges: DataFrame, lowest: DataFrame, size: int) -> DataFrame:
+    """``edges(a, b)`` with ``m`` from ``lowest(a, m, degree)``.
+
+    A node with a large share of the links would put them all into one task of
+    a join.  At most ``size / least`` nodes have ``least`` links or more, so these
+    few are broadcast, whatever the table's size, and the others joined.
+    """
+    least = max(HOT_DEGREE, size // MOST_HOT)
+    hot, cold = F.broadcast(lowest.filter(F.col("degree") >= least).select("a", "m")), lowest.filter(F.col("degree") < least).select("a", "m")
+    return edges.join(hot, "a").unionByName(edges.join(hot.select("a"), "a", "left_anti").join(cold, "a"))
+
+
+def _lowest(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, size: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = _minimum(both).select("a", F.least("a", "m").alias("m"))
-    return both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    lowest = _lowest(both).select("a", F.least("a", "m").alias("m"), "degree")
+    return _with_minimum(both, lowest, 2 * size).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, size: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = _minimum(down)
-    linked = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    lowest = _lowest(down)
+    linked = _with_minimum(down, lowest, size).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(lowest.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
@@ -56,6 +70,6 @@ def connected_components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
         before, old = after, edges
-        edges = materialize(_small_star(_large_star(old)))
+        edges = materialize(_small_star(_large_star(old, after[0]), 2 * after[0]))
         release(old)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from eventsieve.llm.components import connected_components
 from eventsieve.llm.simhash import _Sets, _sorted_runs
-from eventsieve.session import materialize
+from eventsieve.session import materialize, only_result
 
 COSINE = 0.98
 TABLES = 20
@@ -160,48 +160,49 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     an empty table gives an empty one; other columns are ignored.
     """
     spark = vectors.sparkSession
-    hashed, classes = _classes(vectors)
-    named = classes.filter("rep is not null")
-    keyed = materialize(_keyed(named))
-    company = keyed.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    met = keyed.join(company, ["k", "key"]).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("long"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    dealt = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = dealt.select(
-        "rep", "k", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own"
-    ).join(named.select("rep", "n", "label", "embedding"), "rep")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["k", "key", "lo", "hi"]
-    sorted_cells = cells.repartition(parts, *order).sortWithinPartitions(*order, "rep").select(*order, "own", "rep", "n", "label", "embedding")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, key, lo, hi, side, rep, n, label, vectors_ in _sorted_runs(batches, 4):
-            turn = (k[1:] != k[:-1]) | (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            edges = np.flatnonzero(np.concatenate(([True], turn, [True])))
-            out = []
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                sizes = np.array([len(v) for v in vectors_[a:b]])
-                for size in np.unique(sizes):
-                    at = a + np.flatnonzero(sizes == size)
-                    x = np.stack(vectors_[at]).astype(np.float64)
-                    across = None if lo[a] == hi[a] else (side[at] == hi[a]).astype(int)
-                    out.append(cell_links(x, table_keys(_unit(x), label[at]), rep[at], n[at], across, int(k[a]), least))
-            if out:
-                arrays = [pa.array(np.concatenate([o[i] for o in out]), pa.int64()) for i in range(3)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["rep", "links", "root"])
-
-    found = materialize(sorted_cells.mapInArrow(run, "rep long, links long, root long"))
-    counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    grouped = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = (
-        classes.select("h1", "h2", "rep", "n")
-        .join(counted, "rep", "left").join(grouped, F.col("rep") == grouped["id"], "left")
-        .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("root"))
-    )
-    return hashed.join(known, ["h1", "h2"], "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("root")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    with only_result(spark) as keep:
+        hashed, classes = _classes(vectors)
+        named = classes.filter("rep is not null")
+        keyed = materialize(_keyed(named))
+        company = keyed.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        met = keyed.join(company, ["k", "key"]).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("long"))
+        own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+        dealt = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        cells = dealt.select(
+            "rep", "k", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own"
+        ).join(named.select("rep", "n", "label", "embedding"), "rep")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        order = ["k", "key", "lo", "hi"]
+        sorted_cells = cells.repartition(parts, *order).sortWithinPartitions(*order, "rep").select(*order, "own", "rep", "n", "label", "embedding")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for k, key, lo, hi, side, rep, n, label, vectors_ in _sorted_runs(batches, 4):
+                turn = (k[1:] != k[:-1]) | (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+                edges = np.flatnonzero(np.concatenate(([True], turn, [True])))
+                out = []
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    sizes = np.array([len(v) for v in vectors_[a:b]])
+                    for size in np.unique(sizes):
+                        at = a + np.flatnonzero(sizes == size)
+                        x = np.stack(vectors_[at]).astype(np.float64)
+                        across = None if lo[a] == hi[a] else (side[at] == hi[a]).astype(int)
+                        out.append(cell_links(x, table_keys(_unit(x), label[at]), rep[at], n[at], across, int(k[a]), least))
+                if out:
+                    arrays = [pa.array(np.concatenate([o[i] for o in out]), pa.int64()) for i in range(3)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["rep", "links", "root"])
+
+        found = materialize(sorted_cells.mapInArrow(run, "rep long, links long, root long"))
+        counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
+        grouped = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+        known = (
+            classes.select("h1", "h2", "rep", "n")
+            .join(counted, "rep", "left").join(grouped, F.col("rep") == grouped["id"], "left")
+            .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("root"))
+        )
+        return keep(hashed.join(known, ["h1", "h2"], "left").select(
+            "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("root")).alias("component_id"),
+        ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 
 def q_embeddings(spark, sf_dir: str) -> DataFrame:

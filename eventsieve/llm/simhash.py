@@ -27,7 +27,7 @@ from xxhash import xxh64_intdigest
 
 from eventsieve.llm.components import connected_components
 from eventsieve.llm.texts import is_plain_scan
-from eventsieve.session import materialize
+from eventsieve.session import materialize, only_result
 
 SEED = 42
 BLOCK = 1024
@@ -221,20 +221,22 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     Returns ``(doc_id, fingerprint, component_id)``, one row per input row.
     A null or empty text has fingerprint zero and is linked like any other;
     a text of fewer words than ``shingle`` is one shingle; repeated rows stay
-    repeated; an empty table gives an empty one; other columns are ignored.
+    repeated; a very long text is hashed whole; an empty table gives an empty
+    one; other columns are ignored.
     A null doc_id stays null and carries no group: its ``component_id`` is
     that of its fingerprint's smallest doc_id, null if it has none.
     """
-    fps = materialize(fingerprints(docs, shingle))
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    links = fingerprint_links(classes.filter("rep is not null"), max_bits)
-    grouped = connected_components(links)
-    roots = classes.join(grouped, classes.rep == grouped.id, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
-    return fps.join(roots, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    with only_result(docs.sparkSession) as keep:
+        fps = materialize(fingerprints(docs, shingle))
+        classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+        links = fingerprint_links(classes.filter("rep is not null"), max_bits)
+        grouped = connected_components(links)
+        roots = classes.join(grouped, classes.rep == grouped.id, "left").select(
+            "fp", F.coalesce("component", "rep").alias("component_id")
+        )
+        return keep(fps.join(roots, "fp").select(
+            "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        ))
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:

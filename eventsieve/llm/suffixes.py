@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve.llm.texts import WordHash, flat, is_plain_scan, pieces
-from eventsieve.session import materialize
+from eventsieve.session import materialize, only_result
 
 LENGTH = 200
 GRAM = 48
@@ -341,7 +341,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
 
     Texts are their UTF-8 bytes, a null one is empty; a text under ``length``
     bytes keeps all; copies, also within one text and overlapping ones, lose
-    every byte they cover, the first one too.  Rows are told apart by their
+    every byte they cover, the first one too; a very long text is searched whole.  Rows are told apart by their
     place in the input, so repeated and null ids do no harm.  An empty table
     gives an empty one; other columns are ignored.  ``kept`` may cut a
     character in two and is left out without ``keep_bytes``.
@@ -387,5 +387,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
 
 
 def q_suffixes(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_bytes=False)
+    with only_result(spark) as keep:
+        return keep(remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_bytes=False))
 

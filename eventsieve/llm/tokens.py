@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventsieve.session import delete_path, materialize, shared_path
+from eventsieve.session import delete_path, materialize, only_result, shared_path
 
 SEPARATOR = 50256
 DIGIT = 50_000
@@ -162,13 +162,14 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``(doc_id, n_tokens)`` of every document, counted in token files written for it.
 
     A null or empty text counts 0; null and repeated ids and repeated rows
-    come back as they are; an empty table gives an empty one; other columns
-    are ignored.  The files are deleted when the counts are stored.
+    come back as they are; a very long text counts whole; an empty table gives
+    an empty one; other columns are ignored.  The files are deleted when the counts are stored.
     """
     spark = docs.sparkSession
     path = shared_path(spark, "tokens")
     write_files(docs, path, vocabulary)
-    counts = materialize(scan_files(spark, path).select("doc_id", "n_tokens"))
+    with only_result(spark) as keep:
+        counts = keep(scan_files(spark, path).select("doc_id", "n_tokens"))
     delete_path(spark, path)
     return counts
 

@@ -97,3 +97,28 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 301)}, 1000: 1000, **{2000 + i: 1000 for i in range(300)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_hot_nodes_are_joined_apart(spark, monkeypatch):
+    import random
+
+    from eventsieve.llm import components
+
+    rng = random.Random(3)
+    links = [(0, i) for i in range(1, 400)] + [(500 + i, 900) for i in range(300)] + [(399, 500)] + [(2000 + rng.randrange(60), 2000 + rng.randrange(60)) for _ in range(70)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    expected = {x: root(x) for pair in links for x in pair if pair[0] != pair[1]}
+    for least, most in ((2, 10**9), (256, 10_000), (10**9, 10_000)):  # all hot, the hubs alone, none
+        monkeypatch.setattr(components, "HOT_DEGREE", least)
+        monkeypatch.setattr(components, "MOST_HOT", most)
+        got = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert got == expected
