@@ -71,19 +71,23 @@ class Vocabularies:
     def __reduce__(self):
         return Vocabularies, self.made  # tasks read the files' contents
 
-    def encode(self, texts: list[bytes]) -> list[tuple[list[int], list[int]] | None]:
-        """The ids of both sides for every text, None where their bytes are not a space and the text."""
+    def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of both sides for every text, as 32-bit numbers; None where their bytes are not a space and the text."""
         out = []
         for lo, hi in in_batches(texts):
             spaced = [b" " + t for t in texts[lo:hi]]
             sides = self.a.encode(spaced), self.b.encode([t.decode("utf-8", "surrogatepass") for t in texts[lo:hi]], num_threads=1)
-            right = self._spells(spaced, sides[0], 0) & self._spells(spaced, sides[1], 1)
-            out += [both if ok else None for ok, *both in zip(right.tolist(), *sides, strict=True)]
+            flat_sides = [laid_out(parts) for parts in sides]
+            right = self._spells(spaced, *flat_sides[0], 0) & self._spells(spaced, *flat_sides[1], 1)
+            cut = []
+            for ids, sizes in flat_sides:
+                raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+                cut.append([raw[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)])
+            out += [both if ok else None for ok, both in zip(right.tolist(), zip(*cut, strict=True), strict=True)]
         return out
 
-    def _spells(self, texts: list[bytes], parts: list[list[int]], side: int) -> np.ndarray:
+    def _spells(self, texts: list[bytes], ids: np.ndarray, sizes: np.ndarray, side: int) -> np.ndarray:
         """Whether the tokens' bytes, one after the other, are the text."""
-        ids, sizes = laid_out(parts)
         letters, lengths = self._spelled[side]
         wanted = np.fromiter(map(len, texts), np.int64, len(texts))
         right = sums_of(lengths[ids], sizes) == wanted
@@ -101,9 +105,11 @@ def sums_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Block:
     """Groups and links of the tokens of some chunks, weighted by how often each occurs."""
 
-    def __init__(self, tables: Tables, tokens: list[tuple[list[int], list[int]]], weight: np.ndarray):
+    def __init__(self, tables: Tables, tokens: list[tuple[bytes, bytes]], weight: np.ndarray):
         n = len(tokens)
-        (a, size_a), (b, size_b) = (laid_out([t[s] for t in tokens]) for s in (0, 1))
+        sides = [[t[s] for t in tokens] for s in (0, 1)]
+        a, b = (np.frombuffer(b"".join(parts), "<u4").astype(np.int64) for parts in sides)
+        size_a, size_b = (np.fromiter(map(len, parts), np.int64, n) // 4 for parts in sides)
         of_a, of_b = (np.repeat(np.arange(n), size) for size in (size_a, size_b))
         # A chunk has equally many bytes on both sides, so places go on from one to the next.
         end_a, end_b = np.cumsum(tables.a_length[a]), np.cumsum(tables.b_length[b])

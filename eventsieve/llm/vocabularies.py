@@ -27,8 +27,8 @@ import pyarrow as pa
 
 from eventsieve.llm.texts import WordHash, flat
 
-REMEMBERED = 1 << 17  # chunks
-REMEMBERED_BYTES = 1 << 22
+REMEMBERED = 1 << 18  # chunks
+REMEMBERED_BYTES = 1 << 23
 BATCH_BYTES = 1 << 18
 
 _LETTER, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
@@ -111,10 +111,10 @@ class ByteLevel:
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         """The ids of every text, without special tokens around them."""
         out: list = [None] * len(texts)
-        rest = []
+        rest, plain, quick = [], self.is_plain, self.quick and self.quick.encode_ordinary
         for i, t in enumerate(texts):
-            if self.is_plain(t):
-                out[i] = self.quick.encode_ordinary(t.decode())
+            if plain(t):
+                out[i] = quick(t.decode())
             else:
                 rest.append(i)
         for lo, hi in in_batches([texts[i] for i in rest]):
