@@ -41,10 +41,11 @@ def _large_star(edges: DataFrame, size: int) -> DataFrame:
     return _with_minimum(both, lowest, 2 * size).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame, size: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
+    # Links come as stars around smallest ids, so a node with many smaller neighbours is rare; AQE splits its rows.
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = _lowest(down)
-    linked = _with_minimum(down, lowest, size).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    lowest = _lowest(down).select("a", "m")
+    linked = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(lowest.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
@@ -70,6 +71,6 @@ def connected_components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
         before, old = after, edges
-        edges = materialize(_small_star(_large_star(old, after[0]), 2 * after[0]))
+        edges = materialize(_small_star(_large_star(old, after[0])))
         release(old)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
