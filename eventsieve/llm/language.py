@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from eventsieve.llm.texts import LOWER, flat, id_bucket, led_text, pieces
 
 ROWS_PER_LANGUAGE = 300
+LABEL_BYTES = 1 << 19  # text labelled at once: a byte takes some 100 bytes of tables
 RUNS = 10
 RUN_WORDS = 16
 SPLICED = 3
@@ -321,7 +322,7 @@ def label_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     names = pa.array(model.langs if model else [], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in pieces(batches, 1, LABEL_BYTES):
             pred, score, _, lengths, n_runs, (lang, start, end) = _label(model, batch.column(1))
             listed = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(n_runs))), pa.int32()),
@@ -351,7 +352,7 @@ def keep_identified(docs: DataFrame, model: Model | None, least_sureness: float)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, batches_text):
+        for batch in pieces(batches, batches_text, LABEL_BYTES):
             pred, _, sure, *_ = _label(model, batch.column(batches_text))
             keep = (np.array(pred) != UNDETERMINED) & (sure >= least_sureness)
             yield batch.filter(pa.array(keep)).select(range(batches_text))
