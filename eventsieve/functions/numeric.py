@@ -12,16 +12,25 @@ from eventsieve.functions.text import col_of
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
 
 
-def parse_number(c: str | Column) -> Column:
-    """Text or number to DOUBLE; bad text and NaN give null (pandas' coerce)."""
-    text = col_of(c).cast("string")
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+# Types whose values are the numbers that their texts are read as.
+NUMBER_TYPES = ("int", "bigint", "double")
+
+
+def parse_number(c: str | Column, kind: str | None = None) -> Column:
+    """Text or number to DOUBLE; bad text and NaN give null (pandas' coerce).
+
+    ``kind`` is the column's type where it is known: numbers are then not written as text and read again."""
+    if kind in NUMBER_TYPES:
+        value = col_of(c).cast("double")
+    else:
+        text = col_of(c).cast("string")
+        value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 
-def parse_flag(c: str | Column) -> Column:
+def parse_flag(c: str | Column, kind: str | None = None) -> Column:
     """Flag text to INT: unparsable -> 0, fractions truncated toward zero."""
-    value = parse_number(c)
+    value = parse_number(c, kind)
     return F.coalesce(value.try_cast("int"), F.lit(0))
 
 

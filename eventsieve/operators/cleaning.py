@@ -83,6 +83,14 @@ def flag_duplicates(df: DataFrame, key: str = "event_id", out: str = "is_duplica
     )
 
 
+def first_sequences(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """``(seq, _first)``: the sequence numbers of the rows that are the first of their (trimmed) key, as in ``flag_duplicates``.
+
+    For frames in which a sequence number has one key."""
+    keyed = df.select(SEQ, F.coalesce(strip_ws(F.col(key).cast("string")), F.lit("")).alias("_key"))
+    return keyed.groupBy("_key").agg(F.min(SEQ).alias(SEQ)).select(SEQ, F.lit(1).alias("_first"))
+
+
 def clean_transform(raw: DataFrame, rules: RuleConfig = DEFAULT_RULES, copies: str | None = None) -> DataFrame:
     """PRJ-4: normalise, deduplicate (``copies``: see ``deduplicate_first``), add ``notification_text``."""
     normalized = normalize_events(raw, rules)

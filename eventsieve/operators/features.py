@@ -73,11 +73,16 @@ def stored_features(events: DataFrame, columns: Sequence[str], rules: RuleConfig
     """PRJ-10 with this batch's medians, stored: only ``columns`` are written and read again.
 
     The medians are taken from the stored rows, so the events are read once."""
+    return features_and_medians(events, columns, rules)[0]
+
+
+def features_and_medians(events: DataFrame, columns: Sequence[str], rules: RuleConfig = DEFAULT_RULES) -> tuple[DataFrame, dict[str, float]]:
+    """``stored_features`` and the medians of the signals among ``columns``."""
     df, derived = _derived(events, rules)
     stored = materialize(df.withColumns(derived).select(*columns))
     signals = [c for c in NUMERIC_SIGNALS if c in columns]
     medians = signal_medians(stored, signals, read=F.col)
-    return stored.withColumns({c: F.coalesce(F.col(c), F.lit(float(medians[c]))) for c in signals})
+    return stored.withColumns({c: F.coalesce(F.col(c), F.lit(float(medians[c]))) for c in signals}), medians
 
 
 def _derived(events: DataFrame, rules: RuleConfig) -> tuple[DataFrame, dict[str, Column]]:
@@ -108,7 +113,8 @@ def _derived(events: DataFrame, rules: RuleConfig) -> tuple[DataFrame, dict[str,
         "event_type_follow": (event_type == "follow").cast("int"),
         "event_type_invalid": (~allowed).cast("int"),
     }
-    derived |= {c: parse_number(c) for c in NUMERIC_SIGNALS} | {c: parse_flag(c) for c in FLAG_COLUMNS}
+    kinds = dict(df.dtypes)
+    derived |= {c: parse_number(c, kinds[c]) for c in NUMERIC_SIGNALS} | {c: parse_flag(c, kinds[c]) for c in FLAG_COLUMNS}
     return df, derived
 
 

@@ -23,6 +23,9 @@ events without a time come first, are peers of each other, and have no age.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,23 +86,21 @@ def history_signals(
     return events.join(signals_by_event(events, user_col, ts_col, order_col, report_flag, rules), order_col).select(*events.columns, *SIGNALS)
 
 
-def rule_risk(rules: RuleConfig = DEFAULT_RULES) -> Column:
-    """Structural risk of a raw row: bad type, missing users, bad date, repeat."""
+def rule_risk(rules: RuleConfig = DEFAULT_RULES, kinds: Mapping[str, str] = MappingProxyType({})) -> Column:
+    """Structural risk of a raw row: bad type, missing users, bad date, repeat; ``kinds``: column types that are known."""
     event_type = F.lower(F.coalesce(strip_ws(F.col("event_type").cast("string")), F.lit("")))
     return (
         ~event_type.isin(*rules.allowed_event_types)
         | is_blank("source_user_id")
         | is_blank("target_user_id")
         | parse_timestamp(F.col("created_at").cast("string")).isNull()
-        | (parse_flag("is_duplicate") == 1)
+        | (parse_flag("is_duplicate", kinds.get("is_duplicate")) == 1)
     )
 
 
-def feedback_risk(rules: RuleConfig = DEFAULT_RULES) -> Column:
-    """History risk: high velocity, high report rate, or young and reported."""
-    velocity = F.coalesce(parse_number("interaction_velocity_5m"), F.lit(0.0))
-    age = F.coalesce(parse_number("account_age_days"), F.lit(0.0))
-    rate = F.coalesce(parse_number("historical_report_rate"), F.lit(0.0))
+def feedback_risk(rules: RuleConfig = DEFAULT_RULES, kinds: Mapping[str, str] = MappingProxyType({})) -> Column:
+    """History risk: high velocity, high report rate, or young and reported; ``kinds``: column types that are known."""
+    velocity, age, rate = (F.coalesce(parse_number(c, kinds.get(c)), F.lit(0.0)) for c in SIGNALS)
     return (
         (velocity >= rules.velocity_risk_min)
         | (rate >= rules.report_rate_risk_min)
@@ -110,8 +111,9 @@ def feedback_risk(rules: RuleConfig = DEFAULT_RULES) -> Column:
 def risk_labels(df: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """REA-1: ``historical_feedback_risk`` (clean rows only) and
     ``label_risky_event`` = rule risk or feedback risk."""
-    structural = rule_risk(rules)
-    feedback = ~structural & feedback_risk(rules)
+    kinds = dict(df.dtypes)
+    structural = rule_risk(rules, kinds)
+    feedback = ~structural & feedback_risk(rules, kinds)
     return df.withColumn("historical_feedback_risk", feedback.cast("int")).withColumn(
         "label_risky_event", (structural | feedback).cast("int")
     )

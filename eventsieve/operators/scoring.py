@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.config import (
@@ -19,7 +19,9 @@ from eventsieve.config import (
     RuleConfig,
 )
 from eventsieve.functions.numeric import linear_score
+from eventsieve.operators.indexing import broadcast_if_small
 from eventsieve.operators.scan import Scan, segmented_scan
+from eventsieve.session import materialize
 
 
 @dataclass(frozen=True)
@@ -54,19 +56,49 @@ def stratified_split(
 ) -> DataFrame:
     """ML-1: add ``split`` = ``test`` / ``train``.  Per class, the first
     ``max(1, round_half_even(n * test_fraction))`` rows in ``md5(id|seed)``
-    order are test.
+    order are test.  A null label is a class, a null id comes first.
 
-    The rank and the size of each class come from one segmented scan over
-    ``(label, key, id)``, so a class holding half of all rows is still ranked
-    by many tasks (a ``row_number`` per class would use one task each).  A null
-    label is a class.
+    Rows are not sorted: a row is test if its key comes before the class's last
+    test key, which ``_cutoffs`` finds from counts of keys.  ``features`` is read
+    for its ids and labels by that and once by the result: give it stored.  Only
+    rows that share the last test key are ranked, where not all of them are test.
     """
-    keyed = features.withColumns({"_key": split_key(id_col, rules.seed), "_one": F.lit(1).cast("long")})
+    keyed = features.withColumn("_key", F.coalesce(split_key(id_col, rules.seed), F.lit("")))
+    cuts = materialize(_cutoffs(keyed.select(F.col(label).alias("_class"), "_key"), rules))
+    cut_rows = broadcast_if_small(cuts)
+    placed = keyed.join(cut_rows, F.col(label).eqNullSafe(F.col("_class")), "left")
+    tied = (F.col("_key") == F.col("_last")) & (F.col("_taken") < F.col("_ties"))
+    done = ["_key", *cuts.columns]
+    split = F.when(F.col("_key") <= F.col("_last"), "test").otherwise("train")
+    if cuts.filter(F.col("_taken") < F.col("_ties")).isEmpty():
+        return placed.withColumn("split", split).drop(*done)
     ranked = segmented_scan(
-        keyed, (label,), [F.col("_key"), F.col(id_col)], [Scan((label,), running={"_rank": "_one"}, totals={"_size": "_one"})]
-    )
-    test_rows = F.greatest(F.lit(1), F.bround(F.col("_size") * F.lit(rules.test_fraction), 0).cast("bigint"))
-    return ranked.withColumn("split", F.when(F.col("_rank") <= test_rows, "test").otherwise("train")).drop("_key", "_one", "_rank", "_size")
+        placed.filter(tied).withColumn("_one", F.lit(1).cast("long")), (label,), [F.col(id_col)], [Scan((label,), running={"_rank": "_one"})]
+    ).withColumn("split", F.when(F.col("_rank") <= F.col("_taken"), "test").otherwise("train"))
+    return placed.filter(~tied).withColumn("split", split).drop(*done).unionByName(ranked.drop("_one", "_rank", *done))
+
+
+KEY_PREFIX = 4  # hex digits: at most 65,537 prefixes a class
+
+
+def _cutoffs(keyed: DataFrame, rules: RuleConfig) -> DataFrame:
+    """``(_class, _key)`` -> ``(_class, _last, _ties, _taken)``: the key of the class's last test row, the
+    rows of that key, and how many of them are test.
+
+    Counts of key prefixes find the prefix in which the test rows end, counts
+    of that prefix's keys the key; the windows run over such counts only."""
+    prefixes = keyed.groupBy("_class", F.substring("_key", 1, KEY_PREFIX).alias("_prefix")).agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    sized = prefixes.withColumns({"_cum": F.sum("_c").over(running), "_size": F.sum("_c").over(Window.partitionBy("_class"))})
+    wanted = F.greatest(F.lit(1), F.bround(F.col("_size") * F.lit(rules.test_fraction), 0).cast("bigint"))
+    ends = sized.withColumn("_left", wanted - F.col("_cum") + F.col("_c")).filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_c")))
+    ends = broadcast_if_small(materialize(ends.select(F.col("_class").alias("_of"), "_prefix", "_left")))
+    within = keyed.join(ends, F.col("_class").eqNullSafe(F.col("_of")) & (F.substring("_key", 1, KEY_PREFIX) == F.col("_prefix")))
+    keys = within.groupBy("_class", "_key").agg(F.count(F.lit(1)).alias("_ties"), F.first("_left").alias("_left"))
+    before = F.sum("_ties").over(Window.partitionBy("_class").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_ties")
+    taken = keys.withColumn("_taken", F.col("_left") - before).filter(F.col("_taken") > 0)
+    last = taken.filter(F.col("_taken") <= F.col("_ties"))
+    return last.select("_class", F.col("_key").alias("_last"), "_ties", "_taken")
 
 
 def train_statistics(train: DataFrame, columns=FEATURE_COLUMNS) -> tuple[tuple[float, ...], tuple[float, ...]]:

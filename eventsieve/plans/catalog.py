@@ -214,7 +214,7 @@ def q_correlation_matrix(spark, sf):
 
 def q_stratified_split(spark, sf):
     # The label needs no features.
-    return scoring.stratified_split(model_events(spark, sf).select("seq", LABEL_COLUMN)).select("seq", LABEL_COLUMN, "split")
+    return scoring.stratified_split(materialize(model_events(spark, sf).select("seq", LABEL_COLUMN))).select("seq", LABEL_COLUMN, "split")
 
 
 def q_standardized_features(spark, sf):
@@ -330,7 +330,7 @@ def _scored_job(spark, sf):
     from eventsieve.plans.modeling import run_model_job
 
     job, bi = shared_path(spark, "job"), shared_path(spark, "bi")
-    run_model_job(spark, materialize(model_events(spark, sf)), output_dir=job, stored_model=scoring.REFERENCE_MODEL)
+    run_model_job(spark, model_events(spark, sf), output_dir=job, stored_model=scoring.REFERENCE_MODEL)
     return build_bi_dataset(spark, job, bi, EXPORT_SALT)
 
 
@@ -605,9 +605,9 @@ def _fitted(spark, sf, names):
     from eventsieve.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    # The fits iterate over the training rows: checkpoint the split once so
-    # each pass reads stored rows, not the history windows again.
-    split = materialize(_split(spark, sf))
+    # The fits iterate over the training rows: the features are stored, and the
+    # split is an expression on them, so no pass reads the history windows again.
+    split = _split(spark, sf)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     mean, std = scoring.train_statistics(train)

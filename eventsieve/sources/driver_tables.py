@@ -81,7 +81,7 @@ def model_events(spark, sf_dir: str, rules: RuleConfig = DEFAULT_RULES) -> DataF
     (REA-3..5), the duplicate flag from the raw ids (REA-2) and the label
     from the rules and signals (REA-1).
     """
-    from eventsieve.operators.cleaning import flag_duplicates
+    from eventsieve.operators.cleaning import first_sequences
     from eventsieve.operators.history import history_signals, risk_labels
 
     events = read_driver_table(spark, sf_dir, "events").select(
@@ -98,7 +98,10 @@ def model_events(spark, sf_dir: str, rules: RuleConfig = DEFAULT_RULES) -> DataF
     raw = raw_events_from_driver(
         signals, ("interaction_velocity_5m", "account_age_days", "historical_report_rate")
     )
-    return risk_labels(flag_duplicates(raw), rules)
+    # Ids are compared alone, before the join; its key is the signals', so the wide rows are shuffled once.
+    firsts = first_sequences(raw_events(spark, sf_dir).select("seq", "event_id"))
+    flagged = raw.join(firsts, "seq", "left").withColumn("is_duplicate", F.when(F.col("_first").isNull(), 1).otherwise(0)).drop("_first")
+    return risk_labels(flagged, rules)
 
 
 # Fixed values of the dirtied signals: text that is no number, by remainder of seq.
