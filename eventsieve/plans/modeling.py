@@ -79,7 +79,7 @@ def fit_candidates(
     fits = {
         MODEL_BASELINE: lambda: models.fit_baseline(train),
         MODEL_LOGISTIC: logistic,
-        MODEL_FOREST: lambda: models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), rules),
+        MODEL_FOREST: lambda: models.fit_forest(_prepare(models.spread_evenly(train), MODEL_FOREST, mean, std), rules),
     }
     return {name: fits[name]() for name in names}
 
