@@ -671,10 +671,11 @@ def q_all_event_decisions(spark, sf):
 
     ensure_checkpoint_dir(spark)
     model = model_events(spark, sf).withColumn("_raw_type", F.col("event_type"))
-    split = materialize(scoring.stratified_split(features.engineer_features(model)))
+    columns = ["seq", "event_id", "_raw_type", *FEATURE_COLUMNS, LABEL_COLUMN, *EVENT_COLUMNS]
+    split = scoring.stratified_split(features.stored_features(model, columns))
     train = split.filter(F.col("split") == "train")
     mean, std = scoring.train_statistics(train)
-    forest = models.fit_forest(_prepare(train, MODEL_FOREST, mean, std), R)
+    forest = models.fit_forest(_prepare(models.spread_evenly(train), MODEL_FOREST, mean, std), R)
     scored = models.predict(forest, _prepare_for(forest, split, mean, std))
     return decisions.decide(scored.withColumn("event_type", F.col("_raw_type")), F.col("probability_risky"), R, keep=("seq",))
 
